@@ -76,19 +76,18 @@ def exact_quantiles(
     wanted: Mapping[str, list[float]],
     columns: Mapping[str, Column] | None = None,
     buffer_rows: int = BUFFER_ROWS,
+    at_most: int | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """Linearly interpolated quantiles of several columns, NULLs left out.
 
     ``columns`` may name expressions; by default a name is a column of ``df``.
+    ``at_most`` is a known bound for the rows of ``df``.
     """
     columns = dict(columns or {n: F.col(n) for n in wanted})
     numeric = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
-    counts = numeric.agg(*[F.count(n).alias(n) for n in wanted]).first()
 
-    if max(counts[n] for n in wanted) <= buffer_rows:
-        aggs = [
-            F.percentile(n, [float(p) for p in ps]).alias(n) for n, ps in wanted.items()
-        ]
+    if (df.count() if at_most is None else at_most) <= buffer_rows:
+        aggs = [F.percentile(n, [float(p) for p in ps]).alias(n) for n, ps in wanted.items()]
         row = numeric.agg(*aggs).first()
         return {
             (n, p): (None if row[n] is None else row[n][i])
@@ -96,9 +95,8 @@ def exact_quantiles(
             for i, p in enumerate(ps)
         }
 
-    places = {
-        (n, p): (counts[n] - 1) * p for n, ps in wanted.items() for p in ps if counts[n]
-    }
+    counts = numeric.agg(*[F.count(n).alias(n) for n in wanted]).first()
+    places = {(n, p): (counts[n] - 1) * p for n, ps in wanted.items() for p in ps if counts[n]}
     ranks = {(n, f(h)) for (n, _), h in places.items() for f in (math.floor, math.ceil)}
     at = values_at_ranks(numeric, {n: F.col(n) for n in wanted}, ranks)
     out: dict[tuple[str, float], float | None] = {
@@ -111,11 +109,11 @@ def exact_quantiles(
 
 
 def medians(
-    df: DataFrame, names: list[str], *, approx: bool = False, buffer_rows: int = BUFFER_ROWS
+    df: DataFrame, names: list[str], *, approx: bool = False, **options
 ) -> dict[str, float | None]:
     """Median of each column; ``approx`` trades exactness for one pass."""
     if approx:
         row = df.agg(*[F.percentile_approx(n, 0.5).cast("double").alias(n) for n in names]).first()
         return row.asDict()
-    found = exact_quantiles(df, {n: [0.5] for n in names}, buffer_rows=buffer_rows)
+    found = exact_quantiles(df, {n: [0.5] for n in names}, **options)
     return {n: found[n, 0.5] for n in names}

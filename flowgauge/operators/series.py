@@ -12,7 +12,6 @@ from flowgauge.operators.slices import (
     as_number,
     over_preceding_rows,
     slice_hot_groups,
-    small,
 )
 from flowgauge.session import settle
 
@@ -34,11 +33,13 @@ def lag_rolling(
     include_current: bool = True,
     fill: float | None = None,
     slice_rows: int = SLICE_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Lags by a number of rows and a mean over the last rows.
 
     ``include_current=False`` leaves the current row out of the mean.
-    ``fill`` replaces the NULLs at the head of each key.
+    ``fill`` replaces the NULLs at the head of each key. ``largest`` is a
+    known bound for the rows of any key.
     """
     first, last = (-(rolling_rows - 1), 0) if include_current else (-rolling_rows, -1)
 
@@ -50,7 +51,7 @@ def lag_rolling(
         return out
 
     back = max([*lags.values(), -first])
-    return over_preceding_rows(df, key, [ts, tie], back, columns, slice_rows)
+    return over_preceding_rows(df, key, [ts, tie], back, columns, slice_rows, largest)
 
 
 def time_lag_rolling(
@@ -65,6 +66,7 @@ def time_lag_rolling(
     rolling_minutes: int = 180,
     rolling_name: str = ROLLING_NAME,
     slice_rows: int = SLICE_ROWS,
+    frame_rows: int = 2_000,
 ) -> DataFrame:
     """Time-true lags and rolling mean, whatever the distance between rows.
 
@@ -73,21 +75,26 @@ def time_lag_rolling(
     * the rolling mean covers the last ``rolling_minutes``, both ends included,
       and ``<rolling_name>_n`` is the number of rows in it.
 
-    A range frame is summed anew for every row, and a window holds a whole
-    key, so keys above ``slice_rows`` rows take running sums instead: each
-    time looks up the sums at the ends of its frames (see ``_running_at``).
+    A window holds a whole key, and a range frame is summed anew for every
+    row. Keys with more than ``slice_rows`` rows, or with more than
+    ``frame_rows`` rows within one ``rolling_minutes``, take running sums
+    instead: each time looks up the sums at the ends of its frames (see
+    ``_running_at``).
     """
     micro = 60_000_000
     names = [*lag_minutes, rolling_name, f"{rolling_name}_n"]
 
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
+    spans = df.groupBy(key, F.window(ts, f"{rolling_minutes} minutes").alias("_w")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    hot = spans.groupBy(key).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_dense"))
+    hot = hot.filter((F.col("_n") > slice_rows) | (F.col("_dense") > frame_rows))
+    hot = settle(hot.select(key))
     if hot.isEmpty():
         return _range_windows(
             df, key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name
         )
 
-    hot = settle(hot.select(key))
-    hot = small(hot, hot.count())
     cold = _range_windows(
         df.join(hot, key, "left_anti"),
         key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name,

@@ -12,7 +12,8 @@ rows into slices and work on (key, slice) instead:
   each slice copied into it.
 
 A table without hot groups keeps the plain window plan; finding that out costs
-one partial aggregation on the key column.
+one partial aggregation on the key column, or nothing where the caller already
+knows a bound for the rows of the largest group.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import types as T
 from flowgauge.session import settle
 
 SLICE_ROWS = 5_000_000
-BROADCAST_ROWS = 500_000
 _SLICE = "_slice"
 _SPREAD = 4
 
@@ -76,9 +76,11 @@ def _matches(names: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint, only where the counted rows allow it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+    """(rows of the table, rows of its largest group), reading the keys only."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    return row["rows"] or 0, row["largest"] or 0
 
 
 def _crowded(rows: DataFrame, by: list[str], order: list[str], limit: int) -> DataFrame:
@@ -93,33 +95,41 @@ def _crowded(rows: DataFrame, by: list[str], order: list[str], limit: int) -> Da
 
 
 def slice_hot_groups(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    slice_rows: int = SLICE_ROWS,
+    largest: int | None = None,
 ) -> Sliced:
     """Cut every group of more than ``slice_rows`` rows along ``order``.
 
     Each round cuts the slices that are still too full into equal ranges of
     the first order column that varies inside them, so bursts get finer cuts
     and rows with one time are cut by the next column. The cut table holds at
-    most (rows / slice_rows) entries.
+    most (rows / slice_rows) entries. ``largest`` is a known bound for the
+    rows of any group.
     """
     group, order = list(group), list(order)
-    full = _crowded(df, group, order, slice_rows)
-    if full.isEmpty():
+    if largest is None:
+        _, largest = group_sizes(df, group)
+    if largest <= slice_rows:
         return Sliced(df, group, False)
 
-    rows = df.withColumn(_SLICE, F.array().cast("array<bigint>"))
-    by = [*group, _SLICE]
-    full = full.withColumn(_SLICE, F.array().cast("array<bigint>"))
+    rows, by, hot = df, group, False
+    full = _crowded(rows, by, order, slice_rows)
     while True:
         cuts = settle(full)
-        n_cuts = cuts.count()
-        if n_cuts == 0:
-            return Sliced(rows, group, True)
-        rows = _cut(rows, cuts, n_cuts, by, order, slice_rows)
+        if cuts.isEmpty():
+            return Sliced(rows, group, hot)
+        if not hot:
+            whole = F.array().cast("array<bigint>")
+            rows, cuts = rows.withColumn(_SLICE, whole), cuts.withColumn(_SLICE, whole)
+            by, hot = [*group, _SLICE], True
+        rows = _cut(rows, cuts, by, order, slice_rows)
         full = _crowded(rows.filter(F.size(_SLICE) > 0), by, order, slice_rows)
 
 
-def _cut(rows, cuts, n_cuts, by, order, slice_rows) -> DataFrame:
+def _cut(rows, cuts, by, order, slice_rows) -> DataFrame:
     parts = F.ceil(F.col("_n") * F.lit(_SPREAD) / F.lit(slice_rows)).cast("bigint")
     cuts = cuts.withColumn("_parts", F.greatest(parts, F.lit(2).cast("bigint")))
     renamed = cuts.select(*[F.col(c).alias(f"_c{c}") for c in cuts.columns])
@@ -135,7 +145,7 @@ def _cut(rows, cuts, n_cuts, by, order, slice_rows) -> DataFrame:
     cut = F.col("_c_n").isNotNull()
     finer = F.when(cut, F.concat(F.col(_SLICE), F.array(piece))).otherwise(F.col(_SLICE))
     keep = [c for c in rows.columns if c != _SLICE]
-    return rows.join(small(renamed, n_cuts), cond, "left").select(*keep, finer.alias(_SLICE))
+    return rows.join(renamed, cond, "left").select(*keep, finer.alias(_SLICE))
 
 
 def running_offsets(
@@ -189,9 +199,10 @@ def row_positions(
     order: Sequence[str],
     out: str,
     slice_rows: int = SLICE_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """0-based position of each row in its group, as ``row_number() - 1``."""
-    sliced = slice_hot_groups(df, group, order, slice_rows)
+    sliced = slice_hot_groups(df, group, order, slice_rows, largest)
     w = Window.partitionBy(*sliced.partition).orderBy(*order)
     number = F.row_number().over(w).cast("bigint") - 1
     if not sliced.hot:
@@ -212,6 +223,7 @@ def over_preceding_rows(
     back: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     slice_rows: int = SLICE_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Window columns that look at most ``back`` rows behind the current row.
 
@@ -219,7 +231,7 @@ def over_preceding_rows(
     key, or on (key, slice) with the last ``back`` rows before each slice
     copied into it.
     """
-    sliced = slice_hot_groups(df, [key], order, slice_rows)
+    sliced = slice_hot_groups(df, [key], order, slice_rows, largest)
     window = Window.partitionBy(*sliced.partition).orderBy(*order)
     if not sliced.hot:
         return df.withColumns(columns(window))

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 from datetime import datetime, timedelta
-from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.operators.quantiles import exact_quantiles, values_at_ranks
@@ -17,8 +15,10 @@ from flowgauge.operators.slices import (
     row_positions,
     running_offsets,
 )
+from flowgauge.session import settle
 
 MAX_CLASSES = 1000
+SORTED_ROWS = 1_000_000
 
 
 def _time_literal(df: DataFrame, ts: str, micros: int) -> Column:
@@ -28,56 +28,64 @@ def _time_literal(df: DataFrame, ts: str, micros: int) -> Column:
     return F.lit(moment.isoformat(sep=" ") + zone).cast(kind)
 
 
-@dataclass
-class Cut:
-    """The first test row in (key, time, id) order."""
+def _row_at(df: DataFrame, rank: int, rows: int, ts: str, tie: str) -> tuple[Column, int]:
+    """Time and id of the row at a rank by (time, id); few rows are just sorted."""
+    if rows <= SORTED_ROWS:
+        row = df.select(ts, tie).orderBy(ts, tie).offset(rank).limit(1).first()
+        return F.lit(str(row[ts])).cast(df.schema[ts].dataType), row[tie]
+    at = values_at_ranks(df, {"t": as_number(df, ts)}, [("t", rank)])["t", rank]
+    moment = _time_literal(df, ts, int(at))
+    rank -= df.filter(F.col(ts) < moment).count()
+    ties = df.filter(F.col(ts) == moment)
+    first = values_at_ranks(ties, {"i": as_number(df, tie)}, [("i", rank)])["i", rank]
+    return moment, int(first)
 
-    key: Any
-    ts_micros: int
-    tie: int
 
-
-def find_cut(df: DataFrame, rank: int, key: str, ts: str, tie: str) -> Cut | None:
-    """The row at a 0-based rank of the table ordered by key, time and id.
-
-    Rows are counted per key, then the rank is searched inside the one key it
-    falls into. No row is moved.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    starts = running_offsets(counts, [key], "n", "start")
-    row = starts.filter((F.col("start") <= rank) & (rank < F.col("start") + F.col("n"))).first()
-    if row is None:
-        return None
-    inside = df.filter(F.col(key) == F.lit(row[key]))
-    left = rank - row["start"]
-    at = int(values_at_ranks(inside, {"t": as_number(df, ts)}, [("t", left)])["t", left])
-    moment = _time_literal(df, ts, at)
-    left -= inside.filter(F.col(ts) < moment).count()
-    ties = inside.filter(F.col(ts) == moment)
-    first = int(values_at_ranks(ties, {"i": as_number(df, tie)}, [("i", left)])["i", left])
-    return Cut(row[key], at, first)
-
-
-def positional_split(
+def positional_rule(
     df: DataFrame,
     test_ratio: float = 0.2,
     key: str = "segment_id",
     ts: str = "recorded_at",
     tie: str = "id",
-) -> tuple[DataFrame, DataFrame]:
-    """First ``int(n * (1 - test_ratio))`` rows by (key, time, id), and the rest.
+) -> Column:
+    """True for the first ``int(n * (1 - test_ratio))`` rows by (key, time, id).
 
-    Both sides are plain filters against the cut row.
+    Rows are counted per key, the key holding the cut is found from the
+    counts, and the cut row inside that key. What is left is a comparison with
+    that row: no row of ``df`` is moved or numbered.
     """
-    rank = int(df.count() * (1 - test_ratio))
-    cut = find_cut(df, rank, key, ts, tie)
-    if cut is None:
-        return df, df.limit(0)
-    moment = _time_literal(df, ts, cut.ts_micros)
-    k, t, i = F.col(key), F.col(ts), F.col(tie)
-    earlier = (t < moment) | ((t == moment) & (i < cut.tie))
-    train = (k < F.lit(cut.key)) | ((k == F.lit(cut.key)) & earlier)
-    return df.filter(train), df.filter(~train)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    starts = running_offsets(counts, [key], "n", "start")
+    rows = starts.agg(F.sum("n")).first()[0] or 0
+    rank = int(rows * (1 - test_ratio))
+    row = starts.filter((F.col("start") <= rank) & (rank < F.col("start") + F.col("n"))).first()
+    if row is None:
+        return F.lit(True)
+    k, t = F.col(key), F.col(ts)
+    at_key = k == F.lit(row[key])
+    moment, first = _row_at(df.filter(at_key), rank - row["start"], row["n"], ts, tie)
+    return (k < F.lit(row[key])) | (
+        at_key & ((t < moment) | ((t == moment) & (F.col(tie) < first)))
+    )
+
+
+def chronological_rule(
+    df: DataFrame, test_ratio: float = 0.2, ts: str = "recorded_at", **options
+) -> Column:
+    """True for rows before the exact ``1 - test_ratio`` quantile of the times."""
+    p = 1 - test_ratio
+    at = exact_quantiles(df, {"t": [p]}, {"t": as_number(df, ts)}, **options)["t", p]
+    return F.lit(True) if at is None else F.col(ts) < _time_literal(df, ts, math.ceil(at))
+
+
+def split(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
+    """(train, test): the rows a rule accepts, and the rest."""
+    return df.filter(rule), df.filter(~rule)
+
+
+def tag_sets(df: DataFrame, rule: Column) -> DataFrame:
+    """All rows, told apart by ``set``."""
+    return df.withColumn("set", F.when(rule, "TRAIN").otherwise("TEST"))
 
 
 def global_positions(
@@ -90,30 +98,13 @@ def global_positions(
 ) -> DataFrame:
     """0-based position of each row in the table ordered by (key, time, id)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    starts = running_offsets(counts, [key], "_n", "_start").drop("_n")
-    placed = row_positions(df, [key], [ts, tie], out, slice_rows).join(starts, key)
-    return placed.withColumn(out, F.col(out) + F.col("_start")).drop("_start")
-
-
-def time_cutoff(df: DataFrame, test_ratio: float = 0.2, ts: str = "recorded_at") -> Column:
-    """First time of the test part: the exact quantile of the times."""
-    p = 1 - test_ratio
-    at = exact_quantiles(df, {"t": [p]}, {"t": as_number(df, ts)})["t", p]
-    return _time_literal(df, ts, math.ceil(at))
-
-
-def chronological_split(
-    df: DataFrame, test_ratio: float = 0.2, ts: str = "recorded_at"
-) -> tuple[DataFrame, DataFrame]:
-    """The oldest ``1 - test_ratio`` of the rows, and the most recent rest."""
-    cutoff = time_cutoff(df, test_ratio, ts)
-    return df.filter(F.col(ts) < cutoff), df.filter(F.col(ts) >= cutoff)
-
-
-def tag_sets(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Both parts in one table, told apart by ``set``."""
-    return train.withColumn("set", F.lit("TRAIN")).unionByName(
-        test.withColumn("set", F.lit("TEST"))
+    starts = running_offsets(counts, [key], "_n", "_start")
+    largest = starts.agg(F.max("_n")).first()[0] or 0
+    placed = row_positions(df, [key], [ts, tie], out, slice_rows, largest)
+    return (
+        placed.join(starts.drop("_n"), key)
+        .withColumn(out, F.col(out) + F.col("_start"))
+        .drop("_start")
     )
 
 
@@ -134,8 +125,15 @@ def stratified_folds(
     order. A class may be most of the table: rows are placed per (class, key),
     and only row counts are summed per class.
     """
-    classes = df.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(key, ts, tie)).alias("first")
+    counts = settle(
+        df.groupBy(label, key).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(F.struct(ts, tie)).alias("_first")
+        )
+    )
+    classes = counts.groupBy(label).agg(
+        F.sum("_n").alias("n"),
+        F.max("_n").alias("largest"),
+        F.min(F.struct(key, "_first")).alias("first"),
     )
     rows = classes.limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
@@ -148,9 +146,9 @@ def stratified_folds(
         ends[row[label]] = [sum(shares[: f + 1]) for f in range(k - 1)]
         place = upto
 
-    counts = df.groupBy(label, key).agg(F.count(F.lit(1)).alias("_n"))
-    starts = running_offsets(counts, [key], "_n", "_start", by=[label]).drop("_n")
-    placed = row_positions(df, [label, key], [ts, tie], "_pos", slice_rows)
+    starts = running_offsets(counts.drop("_first"), [key], "_n", "_start", by=[label]).drop("_n")
+    largest = max((r["largest"] for r in rows), default=0)
+    placed = row_positions(df, [label, key], [ts, tie], "_pos", slice_rows, largest)
     placed = placed.join(starts, [label, key])
     pos = F.col("_pos") + F.col("_start")
 

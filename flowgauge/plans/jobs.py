@@ -14,7 +14,7 @@ from flowgauge.functions import codes
 from flowgauge.operators import cleaning, encoding, enrich, series, splits, training
 from flowgauge.operators.metrics import score_summary
 from flowgauge.operators.quantiles import medians
-from flowgauge.operators.slices import SLICE_ROWS
+from flowgauge.operators.slices import SLICE_ROWS, group_sizes
 from flowgauge.sources import tables
 
 ONE_HOT = {"district_code": "dist", "road_type": "road"}
@@ -30,18 +30,18 @@ class FeatureFit:
 
 
 def fit_features(
-    readings: DataFrame, segments: DataFrame, key: str = "segment_id", categories: bool = True
+    readings: DataFrame, segments: DataFrame, key: str = "segment_id", rows: int | None = None
 ) -> FeatureFit:
     """Medians of the joined readings and of the cleaned speed; categories.
 
-    Categories are those of segments that have readings.
+    Categories are those of segments that have readings. ``rows`` is a known
+    bound for the number of readings.
     """
     joined = enrich.join_segments(readings, segments, key)
-    fill_values = cleaning.fit_fill_values(joined)
+    fill_values = cleaning.fit_fill_values(joined, at_most=rows)
     clean = cleaning.clean_readings(joined, fill_values)
-    speed = medians(clean, ["avg_speed_kmh"])["avg_speed_kmh"]
-    used = encoding.fit_categories(clean, list(ONE_HOT)) if categories else {}
-    return FeatureFit(fill_values, speed, used)
+    speed = medians(clean, ["avg_speed_kmh"], at_most=rows)["avg_speed_kmh"]
+    return FeatureFit(fill_values, speed, encoding.fit_categories(clean, list(ONE_HOT)))
 
 
 def feature_frame(
@@ -61,13 +61,14 @@ def feature_frame(
     ``fit`` of the training rows to keep test rows out of the medians, and
     ``include_current=False`` to keep the current speed out of the rolling mean.
     """
+    rows, largest = group_sizes(readings, [key])
     if fit is None:
-        fit = fit_features(readings, segments, key)
+        fit = fit_features(readings, segments, key, rows)
     joined = enrich.join_segments(readings, segments, key)
     clean = cleaning.clean_readings(joined, fit.fill_values)
     lagged = series.lag_rolling(
-        clean, key, ts, tie,
-        include_current=include_current, fill=fit.speed_median, slice_rows=slice_rows,
+        clean, key, ts, tie, include_current=include_current, fill=fit.speed_median,
+        slice_rows=slice_rows, largest=largest,
     )
     dummies = encoding.one_hot(fit.categories, ONE_HOT)
     return enrich.calendar_columns(lagged).withColumns(
@@ -94,17 +95,18 @@ def prepare(
     """
     ts = options.get("ts", "recorded_at")
     if leak_free:
-        cutoff = splits.time_cutoff(readings, test_ratio, ts)
-        fit = fit_features(readings.filter(F.col(ts) < cutoff), segments)
+        early = splits.chronological_rule(readings, test_ratio, ts)
+        fit = fit_features(readings.filter(early), segments)
         frame = feature_frame(readings, segments, fit, include_current=False, **options)
     else:
         frame = feature_frame(readings, segments, **options)
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if by_position:
-            train, test = splits.positional_split(frame, test_ratio)
+            rule = splits.positional_rule(frame, test_ratio)
         else:
-            train, test = splits.chronological_split(frame, test_ratio, ts)
+            rule = splits.chronological_rule(frame, test_ratio, ts)
+        train, test = splits.split(frame, rule)
         tables.overwrite(train, train_path)
         tables.overwrite(test, test_path)
     finally:

@@ -64,7 +64,9 @@ def _joined(spark, sf):
 
 
 def _clean(spark, sf):
-    return cleaning.clean_readings(_joined(spark, sf))
+    joined = _joined(spark, sf)
+    fill_values = cleaning.fit_fill_values(joined, at_most=src.readings(spark, sf).count())
+    return cleaning.clean_readings(joined, fill_values)
 
 
 # ---- segments and districts -------------------------------------------------
@@ -343,14 +345,15 @@ def feature_frame(spark, sf):
 @query
 def split_positional(spark, sf):
     clean = _clean(spark, sf)
-    train, test = splits.positional_split(clean)
-    return splits.tag_sets(train, test).select("id", "segment_id", "recorded_at", "set")
+    tagged = splits.tag_sets(clean, splits.positional_rule(clean))
+    return tagged.select("id", "segment_id", "recorded_at", "set")
 
 
 @query
 def split_time(spark, sf):
-    train, test = splits.chronological_split(src.readings(spark, sf))
-    return splits.tag_sets(train, test).select("id", "recorded_at", "set")
+    readings = src.readings(spark, sf)
+    tagged = splits.tag_sets(readings, splits.chronological_rule(readings))
+    return tagged.select("id", "recorded_at", "set")
 
 
 @query
@@ -370,8 +373,9 @@ def folds(spark, sf):
 
 @query
 def class_distribution(spark, sf):
-    train, test = splits.chronological_split(src.readings(spark, sf))
-    return rounded(stats.class_distribution(splits.tag_sets(train, test)))
+    readings = src.readings(spark, sf)
+    tagged = splits.tag_sets(readings, splits.chronological_rule(readings))
+    return rounded(stats.class_distribution(tagged))
 
 
 @query
@@ -483,7 +487,7 @@ def validate_requests(spark, sf):
 
 def _train_frame(spark, sf) -> DataFrame:
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
-    return splits.chronological_split(frame)[0]
+    return splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[0]
 
 
 def _model(spark, sf) -> PipelineModel:
@@ -535,7 +539,7 @@ def tuned_parameters(spark, sf):
 @query
 def evaluation_record(spark, sf):
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
-    test = splits.chronological_split(frame)[1]
+    test = splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[1]
     record = training.evaluate(_model(spark, sf), test)
     return record.withColumns(
         {

@@ -52,6 +52,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint a small intermediate table so that later jobs read it as is."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a small intermediate table to the shared folder and read it back.
+
+    Later jobs start from the written rows, whatever executors are lost, and
+    Spark knows the table's size when it decides on a broadcast.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
