@@ -18,19 +18,26 @@ BUFFER_ROWS = 1_000_000
 _BINS = 16_384
 
 
+def column_ends(values: DataFrame) -> dict[str, tuple]:
+    """(non-NULL values, smallest, largest) of every column, in one pass."""
+    row = values.agg(
+        *[F.struct(F.count(n), F.min(n), F.max(n)).alias(n) for n in values.columns]
+    ).first()
+    return {n: tuple(row[n]) for n in values.columns}
+
+
 def values_at_ranks(
-    df: DataFrame, columns: Mapping[str, Column], ranks: Iterable[tuple[str, int]]
+    df: DataFrame,
+    columns: Mapping[str, Column],
+    ranks: Iterable[tuple[str, int]],
+    ends: Mapping[str, tuple] | None = None,
 ) -> dict[tuple[str, int], float]:
     """Value of each named column at each 0-based rank among its non-NULL values."""
-    ranks = sorted(set(ranks))
-    if not ranks:
-        return {}
     values = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
-    ends = values.agg(
-        *[f(n).alias(f"{tag}_{n}") for n in columns for tag, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
+    if ends is None:
+        ends = column_ends(values)
     # (column, rank) -> range known to hold it, and the rows below that range
-    spans = {(n, r): (ends[f"lo_{n}"], ends[f"hi_{n}"], 0) for n, r in ranks}
+    spans = {(n, r): (*ends[n][1:], 0) for n, r in ranks}
     while any(lo < hi for lo, hi, _ in spans.values()):
         spans = _narrow(values, spans)
     return {target: lo for target, (lo, _, _) in spans.items()}
@@ -95,10 +102,10 @@ def exact_quantiles(
             for i, p in enumerate(ps)
         }
 
-    counts = numeric.agg(*[F.count(n).alias(n) for n in wanted]).first()
-    places = {(n, p): (counts[n] - 1) * p for n, ps in wanted.items() for p in ps if counts[n]}
+    ends = column_ends(numeric)
+    places = {(n, p): (ends[n][0] - 1) * p for n, ps in wanted.items() for p in ps if ends[n][0]}
     ranks = {(n, f(h)) for (n, _), h in places.items() for f in (math.floor, math.ceil)}
-    at = values_at_ranks(numeric, {n: F.col(n) for n in wanted}, ranks)
+    at = values_at_ranks(numeric, {n: F.col(n) for n in wanted}, ranks, ends)
     out: dict[tuple[str, float], float | None] = {
         (n, p): None for n, ps in wanted.items() for p in ps
     }
