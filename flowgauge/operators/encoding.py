@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -13,27 +13,30 @@ from flowgauge.functions.codes import MODEL_FEATURES
 MAX_CATEGORIES = 1000
 
 
+def in_order(df: DataFrame, column: str, values: Iterable[str]) -> list[str]:
+    """Categories sorted as the column's own type would be."""
+    whole = dict(df.dtypes)[column] in ("tinyint", "smallint", "int", "bigint")
+    return sorted(values, key=int) if whole else sorted(values)
+
+
 def fit_categories(
     df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
-) -> dict[str, list]:
+) -> dict[str, list[str]]:
     """Sorted categories of each column, all found in one pass.
 
     Every category becomes a column, so a column with more than
     ``max_categories`` is refused.
     """
-    found = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-        ).alias("p")
-    ).select("p.*").dropna().distinct()
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
+    )
+    found = df.select(F.inline(pairs)).dropna().distinct()
     rows = found.limit(len(columns) * max_categories + 1).collect()
     out = {}
     for c in columns:
-        values = [r["v"] for r in rows if r["c"] == c]
-        if len(values) > max_categories or len(rows) > len(columns) * max_categories:
+        out[c] = in_order(df, c, [r["v"] for r in rows if r["c"] == c])
+        if len(out[c]) > max_categories:
             raise ValueError(f"{c} has more than {max_categories} categories")
-        numeric = dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint")
-        out[c] = sorted(values, key=int) if numeric else sorted(values)
     return out
 
 

@@ -77,7 +77,9 @@ def tag_special_events(
     """Each reading with the special events active at its time, ends included.
 
     Events are listed per day they touch, so the join is an equality on the
-    day with the exact interval checked on the few events of that day.
+    day with the exact interval checked on the few events of that day. A stored
+    event table of small size is broadcast; a large one is merged by day, with
+    crowded days split at run time.
     """
     days = events.select(
         F.explode(

@@ -1,9 +1,9 @@
 """Exact quantiles and order statistics without gathering the values.
 
 ``percentile`` and ``median`` keep every distinct value of a column in one
-buffer. That is used only where the counted rows bound it. Beyond that the
-value at a rank is found by counting rows in ranges: each pass keeps the range
-that holds the rank and cuts it finer.
+buffer. That is used only where the rows, or the estimated distinct values, are
+few enough. Beyond that the value at a rank is found by counting rows in
+ranges: each pass keeps the range that holds the rank and cuts it finer.
 """
 
 from __future__ import annotations
@@ -18,12 +18,8 @@ BUFFER_ROWS = 1_000_000
 _BINS = 16_384
 
 
-def column_ends(values: DataFrame) -> dict[str, tuple]:
-    """(non-NULL values, smallest, largest) of every column, in one pass."""
-    row = values.agg(
-        *[F.struct(F.count(n), F.min(n), F.max(n)).alias(n) for n in values.columns]
-    ).first()
-    return {n: tuple(row[n]) for n in values.columns}
+def _ends(names: Iterable[str]) -> list[Column]:
+    return [F.struct(F.count(n), F.min(n), F.max(n)).alias(n) for n in names]
 
 
 def values_at_ranks(
@@ -35,7 +31,7 @@ def values_at_ranks(
     """Value of each named column at each 0-based rank among its non-NULL values."""
     values = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
     if ends is None:
-        ends = column_ends(values)
+        ends = values.agg(*_ends(columns)).first().asDict()
     # (column, rank) -> range known to hold it, and the rows below that range
     spans = {(n, r): (*ends[n][1:], 0) for n, r in ranks}
     while any(lo < hi for lo, hi, _ in spans.values()):
@@ -44,36 +40,49 @@ def values_at_ranks(
 
 
 def _narrow(values: DataFrame, spans: dict) -> dict:
-    open_spans = {t: s for t, s in spans.items() if s[0] < s[1]}
-    hits = []
-    for i, ((name, _), (lo, hi, _)) in enumerate(open_spans.items()):
-        width = F.lit(float(hi)) - F.lit(float(lo))
-        nth = F.floor((F.col(name) - F.lit(float(lo))) / width * _BINS).cast("int")
-        hit = F.struct(
+    """One pass that cuts every open range and keeps the parts with the ranks."""
+    ranges = sorted({(name, *span) for (name, _), span in spans.items() if span[0] < span[1]})
+
+    def cut(i: int, name: str, lo: float, hi: float) -> Column:
+        nth = F.floor((F.col(name) - F.lit(lo)) / (F.lit(hi) - F.lit(lo)) * _BINS).cast("int")
+        return F.struct(
             F.lit(i).alias("i"),
             F.least(nth, F.lit(_BINS - 1)).alias("bin"),
             F.col(name).alias("v"),
         )
-        hits.append(F.when(F.col(name).between(float(lo), float(hi)), hit))
-    bins = (
-        values.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .groupBy("h.i", "h.bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi"))
+
+    parts = [(cut(i, n, lo, hi), F.col(n).between(lo, hi)) for i, (n, lo, hi, _) in enumerate(ranges)]
+    if len(parts) == 1:
+        ((part, inside),) = parts
+        cuts = values.filter(inside).select(part.alias("h"))
+    else:
+        hits = F.array_compact(F.array(*[F.when(inside, part) for part, inside in parts]))
+        cuts = values.select(F.explode(hits).alias("h"))
+    bins = cuts.groupBy("h.i", "h.bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi")
     )
     w = Window.partitionBy("i").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.lit(False)
-    for i, ((_, rank), (_, _, below)) in enumerate(open_spans.items()):
-        left = rank - below
-        inside = inside | (
-            (F.col("i") == i) & (F.col("before") <= left) & (left < F.col("before") + F.col("n"))
+    before = F.coalesce(F.sum("n").over(w), F.lit(0))
+
+    asked = [
+        (target, ranges.index((target[0], *span)), target[1] - span[2])
+        for target, span in spans.items()
+        if span[0] < span[1]
+    ]
+    holds = [
+        F.when(
+            (F.col("i") == i) & (F.col("before") <= left) & (left < F.col("before") + F.col("n")), j
         )
+        for j, (_, i, left) in enumerate(asked)
+    ]
     found = (
-        bins.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).filter(inside).collect()
+        bins.withColumn("before", before)
+        .select("lo", "hi", "before", F.explode(F.array_compact(F.array(*holds))).alias("j"))
+        .collect()
     )
-    targets = list(open_spans)
     out = dict(spans)
     for row in found:
-        target = targets[row["i"]]
+        target = asked[row["j"]][0]
         out[target] = (row["lo"], row["hi"], spans[target][2] + row["before"])
     return out
 
@@ -84,43 +93,59 @@ def exact_quantiles(
     columns: Mapping[str, Column] | None = None,
     buffer_rows: int = BUFFER_ROWS,
     at_most: int | None = None,
-) -> dict[tuple[str, float], float | None]:
+    also: Mapping[str, Column] | None = None,
+) -> dict:
     """Linearly interpolated quantiles of several columns, NULLs left out.
 
-    ``columns`` may name expressions; by default a name is a column of ``df``.
-    ``at_most`` is a known bound for the rows of ``df``.
+    The result is keyed by (column, probability). ``columns`` may name
+    expressions; by default a name is a column of ``df``. ``at_most`` is a
+    known bound for the rows of ``df``. ``also`` names further aggregates of
+    ``df`` taken in the same pass; they come back under their names.
     """
-    columns = dict(columns or {n: F.col(n) for n in wanted})
-    numeric = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
-
-    if (df.count() if at_most is None else at_most) <= buffer_rows:
-        aggs = [F.percentile(n, [float(p) for p in ps]).alias(n) for n, ps in wanted.items()]
-        row = numeric.agg(*aggs).first()
-        return {
+    also = dict(also or {})
+    sources = dict(columns or {n: F.col(n) for n in wanted})
+    numeric = df.withColumns({f"q_{n}": c.cast("double") for n, c in sources.items()})
+
+    if at_most is not None and at_most <= buffer_rows:
+        sketched, extra, few = {}, {}, True
+    else:
+        sketch = [F.approx_count_distinct(f"q_{n}").alias(f"d_{n}") for n in wanted]
+        sketched = numeric.agg(
+            *_ends(f"q_{n}" for n in wanted), *sketch, *[c.alias(f"also_{n}") for n, c in also.items()]
+        ).first()
+        extra = {n: sketched[f"also_{n}"] for n in also}
+        few = max(sketched[f"d_{n}"] for n in wanted) <= buffer_rows
+
+    if few:
+        aggs = [F.percentile(f"q_{n}", [float(p) for p in ps]).alias(n) for n, ps in wanted.items()]
+        more = {} if extra else also
+        row = numeric.agg(*aggs, *[c.alias(f"also_{n}") for n, c in more.items()]).first()
+        extra |= {n: row[f"also_{n}"] for n in more}
+        return extra | {
             (n, p): (None if row[n] is None else row[n][i])
             for n, ps in wanted.items()
             for i, p in enumerate(ps)
         }
 
-    ends = column_ends(numeric)
+    ends = {n: sketched[f"q_{n}"] for n in wanted}
     places = {(n, p): (ends[n][0] - 1) * p for n, ps in wanted.items() for p in ps if ends[n][0]}
     ranks = {(n, f(h)) for (n, _), h in places.items() for f in (math.floor, math.ceil)}
-    at = values_at_ranks(numeric, {n: F.col(n) for n in wanted}, ranks, ends)
-    out: dict[tuple[str, float], float | None] = {
-        (n, p): None for n, ps in wanted.items() for p in ps
-    }
+    at = values_at_ranks(numeric, {n: F.col(f"q_{n}") for n in wanted}, ranks, ends)
+    found = {(n, p): None for n, ps in wanted.items() for p in ps}
     for (n, p), h in places.items():
         low, high = at[n, math.floor(h)], at[n, math.ceil(h)]
-        out[n, p] = low + (high - low) * (h - math.floor(h))
-    return out
+        found[n, p] = low + (high - low) * (h - math.floor(h))
+    return found | extra
+
 
+def medians(df: DataFrame, names: list[str], *, approx: bool = False, **options) -> dict:
+    """Median of each column; ``approx`` trades exactness for one pass.
 
-def medians(
-    df: DataFrame, names: list[str], *, approx: bool = False, **options
-) -> dict[str, float | None]:
-    """Median of each column; ``approx`` trades exactness for one pass."""
+    ``also`` works as in ``exact_quantiles``.
+    """
     if approx:
-        row = df.agg(*[F.percentile_approx(n, 0.5).cast("double").alias(n) for n in names]).first()
-        return row.asDict()
+        aggs = {n: F.percentile_approx(n, 0.5).cast("double") for n in names}
+        aggs |= options.get("also") or {}
+        return df.agg(*[c.alias(n) for n, c in aggs.items()]).first().asDict()
     found = exact_quantiles(df, {n: [0.5] for n in names}, **options)
-    return {n: found[n, 0.5] for n in names}
+    return {n: found[n, 0.5] for n in names} | {n: found[n] for n in options.get("also") or {}}

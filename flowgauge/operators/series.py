@@ -51,7 +51,7 @@ def lag_rolling(
         return out
 
     back = max([*lags.values(), -first])
-    return over_preceding_rows(df, key, [ts, tie], back, columns, slice_rows, largest)
+    return over_preceding_rows(df, key, [ts, tie], back, [value], columns, slice_rows, largest)
 
 
 def time_lag_rolling(
@@ -66,7 +66,7 @@ def time_lag_rolling(
     rolling_minutes: int = 180,
     rolling_name: str = ROLLING_NAME,
     slice_rows: int = SLICE_ROWS,
-    frame_rows: int = 2_000,
+    frame_rows: int = 200,
 ) -> DataFrame:
     """Time-true lags and rolling mean, whatever the distance between rows.
 
@@ -101,12 +101,12 @@ def time_lag_rolling(
     )
 
     rows = df.join(hot, key, "left_semi").withColumn("_t", as_number(df, ts))
-    points = rows.groupBy(key, "_t").agg(
+    points = settle(rows.groupBy(key, "_t").agg(
         F.sum(F.col(value).cast("decimal(20,6)")).alias("_sum"),
         F.count(value).alias("_values"),
         F.count(F.lit(1)).alias("_rows"),
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(tie))).alias("_v"),
-    )
+    ))
     shifts = {"to": (0, False), "from": (rolling_minutes * micro, True)}
     shifts |= {name: (m * micro, False) for name, m in lag_minutes.items()}
     found = _running_at(points, key, shifts, slice_rows)

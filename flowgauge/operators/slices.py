@@ -27,18 +27,22 @@ from pyspark.sql import types as T
 
 from flowgauge.session import settle
 
-SLICE_ROWS = 5_000_000
+SLICE_ROWS = 1_000_000
 _SLICE = "_slice"
-_SPREAD = 4
+_SPREAD = 2
 
 
 @dataclass
 class Sliced:
-    """Rows plus, where some group was hot, the slice column."""
+    """Rows plus, where some group was hot, the slice column and slice sizes."""
 
     rows: DataFrame
     group: list[str]
-    hot: bool
+    sizes: DataFrame | None = None
+
+    @property
+    def hot(self) -> bool:
+        return self.sizes is not None
 
     @property
     def partition(self) -> list[str]:
@@ -48,6 +52,14 @@ class Sliced:
         """Rows of the hot groups only."""
         return self.rows.filter(F.size(_SLICE) > 0)
 
+    def offsets(self) -> DataFrame:
+        """Per slice: its rows ``_size`` and the group's rows before it ``_before``."""
+        w = Window.partitionBy(*self.group).orderBy(_SLICE)
+        before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return self.sizes.select(
+            *self.partition, F.col("_n").alias("_size"), F.coalesce(before, F.lit(0)).alias("_before")
+        )
+
 
 def wall_micros(ts: Column) -> Column:
     """Microseconds of a zone-less time, independent of the session time zone."""
@@ -83,15 +95,20 @@ def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
     return row["rows"] or 0, row["largest"] or 0
 
 
-def _crowded(rows: DataFrame, by: list[str], order: list[str], limit: int) -> DataFrame:
+def _sizes(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     stats = [F.count(F.lit(1)).alias("_n")]
     for i, name in enumerate(order):
         number = as_number(rows, name)
         stats += [F.min(number).alias(f"_lo{i}"), F.max(number).alias(f"_hi{i}")]
-    splittable = F.lit(False)
+    return rows.groupBy(*by).agg(*stats)
+
+
+def _too_full(sizes: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """Groups above the limit that some order column can still cut."""
+    varies = F.lit(False)
     for i in range(len(order)):
-        splittable = splittable | (F.col(f"_lo{i}") < F.col(f"_hi{i}"))
-    return rows.groupBy(*by).agg(*stats).filter((F.col("_n") > limit) & splittable)
+        varies = varies | (F.col(f"_lo{i}") < F.col(f"_hi{i}"))
+    return sizes.filter((F.col("_n") > limit) & varies)
 
 
 def slice_hot_groups(
@@ -113,20 +130,20 @@ def slice_hot_groups(
     if largest is None:
         _, largest = group_sizes(df, group)
     if largest <= slice_rows:
-        return Sliced(df, group, False)
-
-    rows, by, hot = df, group, False
-    full = _crowded(rows, by, order, slice_rows)
+        return Sliced(df, group)
+
+    whole = F.array().cast("array<bigint>")
+    cuts = settle(_too_full(_sizes(df, group, order), order, slice_rows))
+    if cuts.isEmpty():
+        return Sliced(df, group)
+    rows, cuts = df.withColumn(_SLICE, whole), cuts.withColumn(_SLICE, whole)
+    by = [*group, _SLICE]
     while True:
-        cuts = settle(full)
-        if cuts.isEmpty():
-            return Sliced(rows, group, hot)
-        if not hot:
-            whole = F.array().cast("array<bigint>")
-            rows, cuts = rows.withColumn(_SLICE, whole), cuts.withColumn(_SLICE, whole)
-            by, hot = [*group, _SLICE], True
         rows = _cut(rows, cuts, by, order, slice_rows)
-        full = _crowded(rows.filter(F.size(_SLICE) > 0), by, order, slice_rows)
+        sizes = settle(_sizes(rows.filter(F.size(_SLICE) > 0), by, order))
+        cuts = _too_full(sizes, order, slice_rows)
+        if cuts.isEmpty():
+            return Sliced(rows, group, sizes)
 
 
 def _cut(rows, cuts, by, order, slice_rows) -> DataFrame:
@@ -186,13 +203,6 @@ def running_offsets(
     )
 
 
-def _slice_offsets(sliced: Sliced) -> DataFrame:
-    """Per hot slice: its rows ``_size`` and the rows before it ``_before``."""
-    sizes = sliced.in_slices().groupBy(*sliced.partition).agg(F.count(F.lit(1)).alias("_size"))
-    w = Window.partitionBy(*sliced.group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(w), F.lit(0)))
-
-
 def row_positions(
     df: DataFrame,
     group: Sequence[str],
@@ -208,7 +218,7 @@ def row_positions(
     if not sliced.hot:
         return df.withColumn(out, number)
     numbered = sliced.rows.withColumn(out, number)
-    offsets = _slice_offsets(sliced).drop("_size")
+    offsets = sliced.offsets().drop("_size")
     base = offsets.select(*[F.col(c).alias(f"_o{c}") for c in offsets.columns])
     cond = _matches(sliced.partition, "_o")
     position = F.col(out) + F.coalesce(F.col("_o_before"), F.lit(0))
@@ -221,25 +231,27 @@ def over_preceding_rows(
     key: str,
     order: Sequence[str],
     back: int,
+    uses: Sequence[str],
     columns: Callable[[WindowSpec], dict[str, Column]],
     slice_rows: int = SLICE_ROWS,
     largest: int | None = None,
 ) -> DataFrame:
     """Window columns that look at most ``back`` rows behind the current row.
 
-    ``columns`` maps the ordered window to the new columns. One shuffle on the
-    key, or on (key, slice) with the last ``back`` rows before each slice
-    copied into it.
+    ``columns`` maps the ordered window to the new columns, which read the
+    columns ``uses``. One shuffle on the key, or on (key, slice) with the last
+    ``back`` rows before each slice copied into it.
     """
     sliced = slice_hot_groups(df, [key], order, slice_rows, largest)
     window = Window.partitionBy(*sliced.partition).orderBy(*order)
     if not sliced.hot:
         return df.withColumns(columns(window))
 
-    offsets = _slice_offsets(sliced)
+    offsets = sliced.offsets()
     latest_first = Window.partitionBy(*sliced.partition).orderBy(*[F.col(c).desc() for c in order])
     tails = (
         sliced.in_slices()
+        .select(*dict.fromkeys([*sliced.partition, *order, *uses]))
         .withColumn("_rn", F.row_number().over(latest_first))
         .filter(F.col("_rn") <= back)
         .join(offsets, sliced.partition)
@@ -254,5 +266,6 @@ def over_preceding_rows(
         ).alias("_pos"),
     )
     copies = tails.join(wanted, [key, "_pos"]).drop("_pos").withColumn("_copy", F.lit(True))
-    rows = sliced.rows.withColumn("_copy", F.lit(False)).unionByName(copies)
+    rows = sliced.rows.withColumn("_copy", F.lit(False))
+    rows = rows.unionByName(copies, allowMissingColumns=True)
     return rows.withColumns(columns(window)).filter(~F.col("_copy")).drop("_copy", _SLICE)

@@ -18,7 +18,7 @@ from flowgauge.operators.slices import (
 from flowgauge.session import settle
 
 MAX_CLASSES = 1000
-SORTED_ROWS = 1_000_000
+SORTED_ROWS = 200_000
 
 
 def _time_literal(df: DataFrame, ts: str, micros: int) -> Column:
@@ -32,7 +32,9 @@ def _row_at(df: DataFrame, rank: int, rows: int, ts: str, tie: str) -> tuple[Col
     """Time and id of the row at a rank by (time, id); few rows are just sorted."""
     if rows <= SORTED_ROWS:
         row = df.select(ts, tie).orderBy(ts, tie).offset(rank).limit(1).first()
-        return F.lit(str(row[ts])).cast(df.schema[ts].dataType), row[tie]
+        zoneless = df.schema[ts].dataType.simpleString() == "timestamp_ntz"
+        moment = F.lit(str(row[ts])).cast("timestamp_ntz") if zoneless else F.lit(row[ts])
+        return moment, row[tie]
     at = values_at_ranks(df, {"t": as_number(df, ts)}, [("t", rank)])["t", rank]
     moment = _time_literal(df, ts, int(at))
     rank -= df.filter(F.col(ts) < moment).count()

@@ -79,15 +79,20 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A small fixed table whose size Spark knows, so that it may be broadcast."""
+    values = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def holidays(spark: SparkSession) -> DataFrame:
-    days = [(d,) for d in codes.HOLIDAYS_2024]
-    return spark.createDataFrame(days, "day string").select(F.col("day").cast("date").alias("day"))
+    days = literal_table(spark, [(d,) for d in codes.HOLIDAYS_2024], "day")
+    return days.select(F.col("day").cast("date").alias("day"))
 
 
 def special_events(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(
-        SPECIAL_EVENTS,
-        "event_name string, event_type string, start_time string, end_time string, impact_level int",
+    rows = literal_table(
+        spark, SPECIAL_EVENTS, "event_name, event_type, start_time, end_time, impact_level"
     )
     return rows.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")}

@@ -40,8 +40,12 @@ def fit_features(
     joined = enrich.join_segments(readings, segments, key)
     fill_values = cleaning.fit_fill_values(joined, at_most=rows)
     clean = cleaning.clean_readings(joined, fill_values)
-    speed = medians(clean, ["avg_speed_kmh"], at_most=rows)["avg_speed_kmh"]
-    return FeatureFit(fill_values, speed, encoding.fit_categories(clean, list(ONE_HOT)))
+    # the segments bound the categories; which of them occur is seen on the way
+    encoding.fit_categories(segments, list(ONE_HOT))
+    seen = {c: F.collect_set(F.col(c).cast("string")) for c in ONE_HOT}
+    found = medians(clean, ["avg_speed_kmh"], at_most=rows, also=seen)
+    categories = {c: encoding.in_order(clean, c, found[c]) for c in ONE_HOT}
+    return FeatureFit(fill_values, found["avg_speed_kmh"], categories)
 
 
 def feature_frame(

@@ -25,6 +25,7 @@ from flowgauge.operators import (
     status,
     training,
 )
+from flowgauge.operators.slices import group_sizes
 from flowgauge.plans import adapters as src
 from flowgauge.plans import jobs
 from flowgauge.session import scratch_path
@@ -63,9 +64,14 @@ def _joined(spark, sf):
     return enrich.join_segments(src.readings(spark, sf), src.segments(spark, sf))
 
 
-def _clean(spark, sf):
+def _sizes(spark, sf):
+    """(number of readings, readings of the largest key)"""
+    return group_sizes(src.readings(spark, sf), ["segment_id"])
+
+
+def _clean(spark, sf, rows=None):
     joined = _joined(spark, sf)
-    fill_values = cleaning.fit_fill_values(joined, at_most=src.readings(spark, sf).count())
+    fill_values = cleaning.fit_fill_values(joined, at_most=rows or src.readings(spark, sf).count())
     return cleaning.clean_readings(joined, fill_values)
 
 
@@ -296,7 +302,8 @@ def prob_level(spark, sf):
 
 @query
 def lag_rolling(spark, sf):
-    frame = series.lag_rolling(_clean(spark, sf))
+    rows, largest = _sizes(spark, sf)
+    frame = series.lag_rolling(_clean(spark, sf, rows), largest=largest)
     return rounded(
         frame.select("id", "segment_id", "speed_lag1h", "speed_lag24h", "speed_rolling3h")
     )
@@ -304,9 +311,10 @@ def lag_rolling(spark, sf):
 
 @query
 def lag_rolling_filled(spark, sf):
-    clean = _clean(spark, sf)
-    speed = quantiles.medians(clean, ["avg_speed_kmh"])["avg_speed_kmh"]
-    frame = series.lag_rolling(clean, include_current=False, fill=speed)
+    rows, largest = _sizes(spark, sf)
+    clean = _clean(spark, sf, rows)
+    speed = quantiles.medians(clean, ["avg_speed_kmh"], at_most=rows)["avg_speed_kmh"]
+    frame = series.lag_rolling(clean, include_current=False, fill=speed, largest=largest)
     return rounded(
         frame.select("id", "segment_id", "speed_lag1h", "speed_lag24h", "speed_rolling3h")
     )

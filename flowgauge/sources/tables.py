@@ -100,8 +100,12 @@ def append_facts(df: DataFrame, path: str, ts: str = "recorded_at", date: str =
 
 
 def absent_rows(new: DataFrame, existing: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
-    """One new row per key value that ``existing`` does not have yet."""
-    return keep_first(new, key, tie).join(existing.select(*key), list(key), "left_anti").select(*new.columns)
+    """One new row per key value that ``existing`` does not have yet.
+
+    Both sides are reduced to one row per key before they meet.
+    """
+    known = existing.select(*key).distinct()
+    return keep_first(new, key, tie).join(known, list(key), "left_anti").select(*new.columns)
 
 
 def insert_if_absent(new: DataFrame, path: str, key: Sequence[str], tie: str | None = None) -> None:

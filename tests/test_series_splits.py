@@ -124,3 +124,13 @@ def test_stratified_folds(skewed, k, limit):
     rows = splits.stratified_folds(skewed, k, slice_rows=limit)
     rows = rows.orderBy("segment_id", "recorded_at", "id").collect()
     assert [r.fold for r in rows] == expected_folds([r.congestion_level for r in rows], k)
+
+
+def test_zoned_times_cut_the_same(skewed, monkeypatch):
+    zoned = skewed.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    train, _ = splits.split(skewed, splits.positional_rule(skewed))
+    expected = {r.id for r in train.select("id").collect()}
+    for rows in (200_000, 0):
+        monkeypatch.setattr(splits, "SORTED_ROWS", rows)
+        train, _ = splits.split(zoned, splits.positional_rule(zoned))
+        assert {r.id for r in train.select("id").collect()} == expected

@@ -68,7 +68,7 @@ def test_lookback_reaches_over_several_slices(skewed, limit):
         }
 
     plain = skewed.withColumns(columns(Window.partitionBy("segment_id").orderBy(*ORDER)))
-    sliced = slices.over_preceding_rows(skewed, "segment_id", ORDER, 48, columns, limit)
+    sliced = slices.over_preceding_rows(skewed, "segment_id", ORDER, 48, ["avg_speed_kmh"], columns, limit)
     assert same(sliced, plain)
 
 
