@@ -135,7 +135,7 @@ HOTSPOT_ORDER = "congestion_level DESC NULLS FIRST, avg_speed_kmh ASC NULLS LAST
 
 def hotspots(limit: int, where: str = "") -> str:
     return f"""{RSS}
-SELECT *, row_number() OVER (ORDER BY {HOTSPOT_ORDER}) AS rank
+SELECT *, CAST(row_number() OVER (ORDER BY {HOTSPOT_ORDER}) AS INT) AS rank
 FROM (SELECT * FROM status {where} ORDER BY {HOTSPOT_ORDER} LIMIT {limit})"""
 
 
@@ -186,6 +186,10 @@ SPEED_CASE = "CASE level " + " ".join(f"WHEN {k} THEN {v}" for k, v in SPEED_EST
 PROFILE = "CASE hour " + " ".join(f"WHEN {h} THEN {p}::DOUBLE" for h, p in codes.HOUR_PROFILE.items()) + " END"
 WEEKEND = "CASE WHEN day_of_week >= 5 THEN {0} * 0.65::DOUBLE ELSE {0} END"
 SERVING = f"(CASE WHEN hour BETWEEN 6 AND 21 THEN {PROFILE} ELSE 0.1::DOUBLE END)"
+FALLBACK = (
+    "CASE WHEN s < 0.3::DOUBLE THEN 55.0::DOUBLE WHEN s < 0.6::DOUBLE THEN 30.0::DOUBLE "
+    "ELSE 12.0::DOUBLE END"
+)
 LEVEL_RULE = (
     "CASE WHEN {0} < 0.2::DOUBLE THEN 0 WHEN {0} < 0.5::DOUBLE THEN 1 "
     "WHEN {0} < 0.75::DOUBLE THEN 2 WHEN {0} IS NOT NULL THEN 3 END"
@@ -269,6 +273,12 @@ REQUEST_MESSAGES = [
     ("id % 12 NOT BETWEEN 1 AND 10", "lanes must be between 1 and 10"),
 ]
 
+CHECKED = f"""
+checked AS (
+  SELECT id, concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{m}' END" for c, m in REQUEST_MESSAGES)})
+           AS errors
+  FROM readings)"""
+
 
 def counted(checks: dict[str, str]) -> str:
     return R + " UNION ALL ".join(
@@ -353,8 +363,7 @@ FROM levels""",
 probs AS (
   SELECT id, {WEEKEND.format(PROFILE)} AS t, {WEEKEND.format(SERVING)} AS s FROM readings)
 SELECT id, {r6("t", "typical_prob")}, {LEVEL_RULE.format("t")} AS typical_level,
-       CASE WHEN s < 0.3::DOUBLE THEN 55.0::DOUBLE WHEN s < 0.6::DOUBLE THEN 30.0::DOUBLE
-            ELSE 12.0::DOUBLE END AS fallback_speed
+       {FALLBACK} AS fallback_speed
 FROM probs""",
     "prob_level": f"""{R},
 probs AS (
@@ -476,12 +485,24 @@ SELECT id, coalesce(weather_condition, 'clear') AS weather_condition,
        coalesce(vehicle_count, 300) AS vehicle_count FROM readings""",
     "insert_if_absent": f"""{RS}
 SELECT * FROM segments WHERE segment_id NOT IN (SELECT segment_id FROM readings)""",
-    "validate_requests": f"""{R},
-checked AS (
-  SELECT id, concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{m}' END" for c, m in REQUEST_MESSAGES)})
-           AS errors
-  FROM readings)
-SELECT id, errors = '' AS valid, errors FROM checked""",
+    "validate_requests": f"{R},{CHECKED} SELECT id, errors = '' AS valid, errors FROM checked",
+    "fallback_speed": f"""{R},
+probs AS (SELECT id, {WEEKEND.format(SERVING)} AS s FROM readings)
+SELECT id, {FALLBACK} AS fallback_speed FROM probs""",
+    "request_features": f"""{R},
+speeds AS (
+  SELECT *, {WEEKEND.format(SERVING)} AS s FROM readings),
+filled AS (
+  SELECT *, coalesce(avg_speed_kmh, {FALLBACK}) AS speed FROM speeds)
+SELECT id, speed AS avg_speed_kmh, speed AS speed_lag1h, speed AS speed_lag24h,
+       speed AS speed_rolling3h, coalesce(nullif(vehicle_count, 0), 300) AS vehicle_count,
+       CAST(is_holiday AS INT) AS is_holiday,
+       coalesce({case("weather_condition", codes.WEATHER_CODES)}, 0) AS weather_encoded
+FROM filled""",
+    "score_isolation": f"""{R},{CHECKED}
+SELECT id, nullif(errors, '') AS error, errors = '' AS has_level, errors = '' AS level_fits,
+       errors = '' AS odds_fit
+FROM checked""",
     "stream_status": f"""{with_(READINGS, SEGMENTS, STATUS)}
 SELECT segment_id, avg_speed_kmh, vehicle_count, congestion_level, weather_condition, recorded_at
 FROM newest""",

@@ -290,6 +290,12 @@ def hour_profile(spark, sf):
     return rounded(frame.select("id", "typical_prob", "typical_level", "fallback_speed"))
 
 
+@query
+def fallback_speed(spark, sf):
+    speed = codes.fallback_speed(F.col("hour"), F.col("day_of_week"))
+    return src.readings(spark, sf).select("id", speed.alias("fallback_speed"))
+
+
 @query
 def prob_level(spark, sf):
     prob = clamp(F.col("avg_speed_kmh") / F.lit(100.0), 0.0, 1.0)
@@ -490,6 +496,15 @@ def validate_requests(spark, sf):
     return checked.select("id", "valid", F.array_join("errors", "; ").alias("errors"))
 
 
+@query
+def request_features(spark, sf):
+    frame = scoring.request_features(scoring.with_request_defaults(src.requests(spark, sf)))
+    return frame.select(
+        "id", "avg_speed_kmh", "speed_lag1h", "speed_lag24h", "speed_rolling3h",
+        "vehicle_count", "is_holiday", "weather_encoded",
+    )
+
+
 # ---- model ------------------------------------------------------------------
 
 
@@ -513,6 +528,26 @@ def score_batch(spark, sf):
     return scored.withColumn("probabilities", F.to_json("probabilities"))
 
 
+@query
+def score_isolation(spark, sf):
+    """Which requests are scored, and whether their results fit together."""
+    scored = scoring.score(src.requests(spark, sf), _model(spark, sf), carry=["id"])
+    level = F.col("congestion_level")
+    odds = F.map_values("probabilities")
+    total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
+    texts = (F.col("congestion_label") == codes.level_label(level)) & (
+        F.col("estimated_speed_kmh") == codes.level_speed_estimate(level)
+    )
+    sums = (F.abs(total - 1) < 0.01) & (F.col("confidence") == F.array_max(odds))
+    return scored.select(
+        "id",
+        "error",
+        level.isin(codes.LEVELS).alias("has_level"),
+        texts.alias("level_fits"),
+        sums.alias("odds_fit"),
+    ).fillna(False)
+
+
 @query
 def prediction_rows(spark, sf):
     return scoring.prediction_rows(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowgauge.functions import calendar as cal
 from flowgauge.functions import codes
 from flowgauge.functions.numeric import clamp, mean_as_decimal, missing_or_zero
-from flowgauge.operators import cleaning, encoding, enrich, metrics, quality, scaling, stats, training
+from flowgauge.operators import cleaning, encoding, enrich, metrics, quality, scaling, stats, status, training
 from flowgauge.sources import schemas, tables
 
 
@@ -296,8 +296,14 @@ def test_facts_are_partitioned_and_pruned(spark, tmp_path):
     tables.append_facts(rows, path)
     stored = spark.read.parquet(path)
     assert stored.count() == 18 and stored.select("date").distinct().count() == 3
-    one = stored.filter("date = DATE '2024-01-02'")
-    assert "PartitionFilters: [isnotnull(date" in one._jdf.queryExecution().toString()
+    wide = stored.withColumns(
+        {c: F.lit(None) for c in ("hour", "avg_speed_kmh", "vehicle_count", "congestion_level", "weather_condition")}
+    )
+    as_of = F.lit("2024-01-03 06:00:00").cast("timestamp_ntz")
+    rows = status.history(wide, 2, 24, as_of=as_of, key="id", date_column="date")
+    assert rows.count() == 2
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "(date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_requests_tolerate_bad_lines(spark, tmp_path):
