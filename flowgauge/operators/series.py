@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowgauge.operators.slices import (
     SLICE_ROWS,
     as_number,
+    join_groups,
     over_preceding_rows,
     slice_hot_groups,
 )
@@ -101,15 +102,15 @@ def time_lag_rolling(
     )
 
     rows = df.join(hot, key, "left_semi").withColumn("_t", as_number(df, ts))
-    points = settle(rows.groupBy(key, "_t").agg(
+    points = rows.groupBy(key, "_t").agg(
         F.sum(F.col(value).cast("decimal(20,6)")).alias("_sum"),
         F.count(value).alias("_values"),
         F.count(F.lit(1)).alias("_rows"),
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(tie))).alias("_v"),
-    ))
+    )
     shifts = {"to": (0, False), "from": (rolling_minutes * micro, True)}
     shifts |= {name: (m * micro, False) for name, m in lag_minutes.items()}
-    found = _running_at(points, key, shifts, slice_rows)
+    found = _running_at(settle(points), key, shifts, slice_rows)
 
     total = F.col("to._sum") - F.col("from._sum")
     n_values = F.col("to._values") - F.col("from._values")
@@ -193,7 +194,7 @@ def _running_at(
         per_slice = sliced.rows.groupBy(*part).agg(*[a.alias(n) for n, a in totals.items()])
         w = Window.partitionBy(key).orderBy(part[-1]).rowsBetween(Window.unboundedPreceding, -1)
         earlier = per_slice.select(*part, *[a.over(w).alias(f"_b{n}") for n, a in totals.items()])
-        answers = answers.join(earlier, part).withColumns(
+        answers = join_groups(answers, settle(earlier), part).withColumns(
             {
                 **{
                     n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_b{n}"), F.lit(0))

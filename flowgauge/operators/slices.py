@@ -80,12 +80,13 @@ def as_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
-def _matches(names: Sequence[str], prefix: str) -> Column:
-    """Null-safe equality of each column with its prefixed twin."""
+def join_groups(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL, as in ``groupBy``."""
+    twins = right.select(*[F.col(c).alias(f"_r_{c}" if c in names else c) for c in right.columns])
     cond = F.lit(True)
     for name in names:
-        cond = cond & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
-    return cond
+        cond = cond & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
+    return left.join(twins, cond, how).drop(*[f"_r_{n}" for n in names])
 
 
 def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
@@ -149,20 +150,19 @@ def slice_hot_groups(
 def _cut(rows, cuts, by, order, slice_rows) -> DataFrame:
     parts = F.ceil(F.col("_n") * F.lit(_SPREAD) / F.lit(slice_rows)).cast("bigint")
     cuts = cuts.withColumn("_parts", F.greatest(parts, F.lit(2).cast("bigint")))
-    renamed = cuts.select(*[F.col(c).alias(f"_c{c}") for c in cuts.columns])
-    cond = _matches(by, "_c")
 
     piece = None
     for i, name in enumerate(order):
-        lo, hi = F.col(f"_c_lo{i}"), F.col(f"_c_hi{i}")
-        share = (as_number(rows, name) - lo).cast("decimal(38,0)") * F.col("_c_parts")
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        share = (as_number(rows, name) - lo).cast("decimal(38,0)") * F.col("_parts")
         nth = F.floor(share / (hi - lo + F.lit(1).cast("decimal(38,0)"))).cast("bigint")
         nth = F.coalesce(nth, F.lit(-1).cast("bigint"))
         piece = F.when(lo < hi, nth) if piece is None else piece.when(lo < hi, nth)
-    cut = F.col("_c_n").isNotNull()
-    finer = F.when(cut, F.concat(F.col(_SLICE), F.array(piece))).otherwise(F.col(_SLICE))
+    finer = F.when(F.col("_n").isNotNull(), F.concat(F.col(_SLICE), F.array(piece)))
     keep = [c for c in rows.columns if c != _SLICE]
-    return rows.join(renamed, cond, "left").select(*keep, finer.alias(_SLICE))
+    return join_groups(rows, cuts, by, "left").select(
+        *keep, F.coalesce(finer, F.col(_SLICE)).alias(_SLICE)
+    )
 
 
 def running_offsets(
@@ -218,12 +218,9 @@ def row_positions(
     if not sliced.hot:
         return df.withColumn(out, number)
     numbered = sliced.rows.withColumn(out, number)
-    offsets = sliced.offsets().drop("_size")
-    base = offsets.select(*[F.col(c).alias(f"_o{c}") for c in offsets.columns])
-    cond = _matches(sliced.partition, "_o")
-    position = F.col(out) + F.coalesce(F.col("_o_before"), F.lit(0))
-    keep = [F.col(c) for c in df.columns if c != out]
-    return numbered.join(base, cond, "left").select(*keep, position.alias(out))
+    placed = join_groups(numbered, sliced.offsets().drop("_size"), sliced.partition, "left")
+    position = F.col(out) + F.coalesce(F.col("_before"), F.lit(0))
+    return placed.select(*[c for c in df.columns if c != out], position.alias(out))
 
 
 def over_preceding_rows(
@@ -254,18 +251,17 @@ def over_preceding_rows(
         .select(*dict.fromkeys([*sliced.partition, *order, *uses]))
         .withColumn("_rn", F.row_number().over(latest_first))
         .filter(F.col("_rn") <= back)
-        .join(offsets, sliced.partition)
+    )
+    tails = (
+        join_groups(tails, offsets, sliced.partition)
         .withColumn("_pos", F.col("_before") + F.col("_size") - F.col("_rn"))
         .drop(_SLICE, "_rn", "_size", "_before")
     )
+    first = F.greatest(F.col("_before") - back, F.lit(0))
     wanted = offsets.filter("_before > 0").select(
-        key,
-        _SLICE,
-        F.explode(
-            F.sequence(F.greatest(F.col("_before") - back, F.lit(0)), F.col("_before") - 1)
-        ).alias("_pos"),
+        key, _SLICE, F.explode(F.sequence(first, F.col("_before") - 1)).alias("_pos")
     )
-    copies = tails.join(wanted, [key, "_pos"]).drop("_pos").withColumn("_copy", F.lit(True))
+    copies = join_groups(tails, wanted, [key, "_pos"]).drop("_pos").withColumn("_copy", F.lit(True))
     rows = sliced.rows.withColumn("_copy", F.lit(False))
     rows = rows.unionByName(copies, allowMissingColumns=True)
     return rows.withColumns(columns(window)).filter(~F.col("_copy")).drop("_copy", _SLICE)

@@ -12,6 +12,7 @@ from flowgauge.operators.quantiles import exact_quantiles, values_at_ranks
 from flowgauge.operators.slices import (
     SLICE_ROWS,
     as_number,
+    join_groups,
     row_positions,
     running_offsets,
 )
@@ -64,11 +65,13 @@ def positional_rule(
     if row is None:
         return F.lit(True)
     k, t = F.col(key), F.col(ts)
-    at_key = k == F.lit(row[key])
+    if row[key] is None:
+        at_key, before = k.isNull(), F.lit(False)
+    else:
+        at_key, before = k == F.lit(row[key]), k.isNull() | (k < F.lit(row[key]))
     moment, first = _row_at(df.filter(at_key), rank - row["start"], row["n"], ts, tie)
-    return (k < F.lit(row[key])) | (
-        at_key & ((t < moment) | ((t == moment) & (F.col(tie) < first)))
-    )
+    earlier = t.isNull() | (t < moment) | ((t == moment) & (F.col(tie) < first))
+    return before | (at_key & earlier)
 
 
 def chronological_rule(
@@ -77,7 +80,9 @@ def chronological_rule(
     """True for rows before the exact ``1 - test_ratio`` quantile of the times."""
     p = 1 - test_ratio
     at = exact_quantiles(df, {"t": [p]}, {"t": as_number(df, ts)}, **options)["t", p]
-    return F.lit(True) if at is None else F.col(ts) < _time_literal(df, ts, math.ceil(at))
+    if at is None:
+        return F.lit(True)
+    return F.col(ts).isNull() | (F.col(ts) < _time_literal(df, ts, math.ceil(at)))
 
 
 def split(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
@@ -90,6 +95,17 @@ def tag_sets(df: DataFrame, rule: Column) -> DataFrame:
     return df.withColumn("set", F.when(rule, "TRAIN").otherwise("TEST"))
 
 
+def _add_starts(placed: DataFrame, starts: DataFrame, names: list[str]) -> DataFrame:
+    """Join the counted groups; plainly, if no group has a NULL, so that rows
+    already partitioned by the group need no second shuffle."""
+    missing = F.lit(False)
+    for name in names:
+        missing = missing | F.col(name).isNull()
+    if starts.filter(missing).isEmpty():
+        return placed.join(starts, names)
+    return join_groups(placed, starts, names)
+
+
 def global_positions(
     df: DataFrame,
     key: str = "segment_id",
@@ -104,7 +120,7 @@ def global_positions(
     largest = starts.agg(F.max("_n")).first()[0] or 0
     placed = row_positions(df, [key], [ts, tie], out, slice_rows, largest)
     return (
-        placed.join(starts.drop("_n"), key)
+        _add_starts(placed, starts.drop("_n"), [key])
         .withColumn(out, F.col(out) + F.col("_start"))
         .drop("_start")
     )
@@ -151,7 +167,7 @@ def stratified_folds(
     starts = running_offsets(counts.drop("_first"), [key], "_n", "_start", by=[label]).drop("_n")
     largest = max((r["largest"] for r in rows), default=0)
     placed = row_positions(df, [label, key], [ts, tie], "_pos", slice_rows, largest)
-    placed = placed.join(starts, [label, key])
+    placed = _add_starts(placed, starts, [label, key])
     pos = F.col("_pos") + F.col("_start")
 
     fold = F.lit(0)

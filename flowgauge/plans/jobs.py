@@ -83,15 +83,14 @@ def feature_frame(
 def prepare(
     readings: DataFrame,
     segments: DataFrame,
-    train_path: str,
-    test_path: str,
+    path: str,
     *,
     test_ratio: float = 0.2,
     by_position: bool = False,
     leak_free: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Feature job: writes the train and test tables and returns them.
+    """Feature job: writes the train and test rows below ``path``, returns both.
 
     The split is chronological, or positional over (key, time) order with
     ``by_position``. ``leak_free`` fits medians on the training period only
@@ -104,25 +103,17 @@ def prepare(
         frame = feature_frame(readings, segments, fit, include_current=False, **options)
     else:
         frame = feature_frame(readings, segments, **options)
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if by_position:
-            rule = splits.positional_rule(frame, test_ratio)
-        else:
-            rule = splits.chronological_rule(frame, test_ratio, ts)
-        train, test = splits.split(frame, rule)
-        tables.overwrite(train, train_path)
-        tables.overwrite(test, test_path)
-    finally:
-        frame.unpersist()
-    spark = readings.sparkSession
-    return tables.read_table(spark, train_path), tables.read_table(spark, test_path)
+    if by_position:
+        rule = splits.positional_rule(frame, test_ratio)
+    else:
+        rule = splits.chronological_rule(frame, test_ratio, ts)
+    tables.write_sets(splits.tag_sets(frame, rule), path)
+    return tables.read_sets(readings.sparkSession, path)
 
 
 def train_and_evaluate(
     spark: SparkSession,
-    train_path: str,
-    test_path: str,
+    path: str,
     model_path: str,
     metrics_path: str,
     *,
@@ -131,12 +122,11 @@ def train_and_evaluate(
     features: Sequence[str] = codes.MODEL_FEATURES,
     forest: Mapping | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Training job: fit or tune, cross-validate, evaluate, save."""
+    """Training job on ``prepare``'s tables: fit or tune, cross-validate, evaluate, save."""
     keys = ["segment_id", "recorded_at", "id"]
     columns = [*keys, *features, training.LABEL]
-    train = tables.read_table(spark, train_path).select(*columns)
+    train, test = (part.select(*columns) for part in tables.read_sets(spark, path))
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = tables.read_table(spark, test_path).select(*columns)
     options = dict(forest or {})
     try:
         if tune:

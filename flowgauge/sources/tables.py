@@ -89,6 +89,18 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_sets(tagged: DataFrame, path: str) -> None:
+    """Train and test rows of ``tag_sets``, each in its own folder, in one pass."""
+    tagged.write.mode("overwrite").partitionBy("set").parquet(path)
+
+
+def read_sets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) as written by ``write_sets``."""
+    stored = read_table(spark, path)
+    train, test = (stored.filter(F.col("set") == name).drop("set") for name in ("TRAIN", "TEST"))
+    return train, test
+
+
 def append_facts(df: DataFrame, path: str, ts: str = "recorded_at", date: str = "date") -> None:
     """Append readings below one folder per date.
 

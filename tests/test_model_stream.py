@@ -20,9 +20,9 @@ FOREST = {"numTrees": 3, "maxDepth": 4}
 @pytest.fixture(scope="module")
 def trained(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("job")
-    paths = {n: str(folder / n) for n in ("train", "test", "model", "metrics")}
+    paths = {n: str(folder / n) for n in ("data", "model", "metrics")}
     train, test = jobs.prepare(
-        src.readings(spark, SF), src.segments(spark, SF), paths["train"], paths["test"]
+        src.readings(spark, SF), src.segments(spark, SF), paths["data"]
     )
     model, record = jobs.train_and_evaluate(
         spark, *paths.values(), folds=2, forest=FOREST
@@ -70,12 +70,9 @@ def test_importances_and_info(spark, trained):
 
 def test_positional_and_leak_free_preparation(spark, tmp_path):
     readings, segments = src.readings(spark, SF), src.segments(spark, SF)
-    train, test = jobs.prepare(
-        readings, segments, str(tmp_path / "a"), str(tmp_path / "b"), by_position=True
-    )
+    train, test = jobs.prepare(readings, segments, str(tmp_path / "a"), by_position=True)
     assert train.agg(F.max("segment_id")).first()[0] <= test.agg(F.min("segment_id")).first()[0]
-    early = jobs.fit_features(readings.filter("recorded_at < '2024-01-20'"), segments)
-    frame = jobs.feature_frame(readings, segments, early, include_current=False)
+    frame, _ = jobs.prepare(readings, segments, str(tmp_path / "b"), leak_free=True)
     assert frame.filter("speed_rolling3h IS NULL").isEmpty()
 
 

@@ -134,3 +134,19 @@ def test_zoned_times_cut_the_same(skewed, monkeypatch):
         monkeypatch.setattr(splits, "SORTED_ROWS", rows)
         train, _ = splits.split(zoned, splits.positional_rule(zoned))
         assert {r.id for r in train.select("id").collect()} == expected
+
+
+def test_rows_without_a_key_stay(skewed):
+    """The hot key's rows lose their key; nothing else changes."""
+    keyless = skewed.withColumn("segment_id", F.when(F.col("segment_id") != 1, F.col("segment_id")))
+    n = keyless.count()
+    for limit in (20, 5_000_000):
+        positions = splits.global_positions(keyless, slice_rows=limit).select("position")
+        assert positions.count() == n and positions.distinct().count() == n
+        assert splits.stratified_folds(keyless, 3, slice_rows=limit).count() == n
+        lagged = series.lag_rolling(keyless, slice_rows=limit).select("id", "speed_lag24h")
+        plain = series.lag_rolling(keyless, largest=0).select("id", "speed_lag24h")
+        assert lagged.exceptAll(plain).isEmpty() and lagged.count() == n
+    for ratio in (0.2, 0.9):
+        train, test = splits.split(keyless, splits.positional_rule(keyless, ratio))
+        assert (train.count(), test.count()) == (int(n * (1 - ratio)), n - int(n * (1 - ratio)))
