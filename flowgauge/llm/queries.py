@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import exact_dedup, line_dedup, simhash
+from flowgauge.llm import exact_dedup, line_dedup, packing, simhash
 from flowgauge.llm.common import table
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.tiktoken"
+
 QUERIES = {}
 ORACLE = {}
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -37,6 +47,11 @@ FROM documents
 """
 
 
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_counts(table(spark, sf_dir, "documents"))
