@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import exact_dedup, line_dedup, packing, simhash, token_counts
+from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, simhash, token_counts
 from flowgauge.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER))
 
 
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_counts(table(spark, sf_dir, "documents"))
