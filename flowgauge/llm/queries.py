@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, simhash, token_counts
+from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, secrets, simhash, token_counts
 from flowgauge.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_TOKENIZER))
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
