@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, secrets, simhash, token_counts
+from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts
 from flowgauge.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,12 @@ FROM documents
 """
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER))
