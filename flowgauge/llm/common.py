@@ -52,9 +52,12 @@ def per_row(df: DataFrame, work: Callable[..., tuple], schema: str, keep: list[s
 
 
 def without(df: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose ``name`` is not in ``ids``; NULL equals NULL, and no other column is touched."""
+    """Rows of ``df`` whose ``name`` is not in ``ids``; NULL equals NULL, and no other column is touched.
+
+    The ids grow with the corpus, so they are merged at every size.
+    """
     found = F.col(f"_df.{name}").eqNullSafe(F.col(f"_ids.{name}"))
-    return df.alias("_df").join(ids.select(name).alias("_ids"), found, "left_anti")
+    return df.alias("_df").join(ids.select(name).hint("merge").alias("_ids"), found, "left_anti")
 
 
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

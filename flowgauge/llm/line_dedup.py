@@ -77,6 +77,7 @@ def lines_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
 def _kept_lines(docs: DataFrame, gone: DataFrame, min_chars: int) -> DataFrame:
     """Columns of ``docs`` by position (c0, c1, ...), then n_lines, n_dropped and kept."""
     at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    gone = gone.hint("merge")  # it grows with the corpus: one plan for every size
     both = docs.toDF(*at.values()).join(gone, F.col(at["doc_id"]).eqNullSafe(F.col("doc_id")), "left")
     both = both.withColumn("whole", text_bytes(at["text"])).drop("doc_id", at["text"])
 
