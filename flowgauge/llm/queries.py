@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts
+from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts, url_filter
 from flowgauge.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.labelled_urls(spark))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
