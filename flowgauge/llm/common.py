@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BROADCAST_BYTES = 16 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for clusters where it isn't installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_flowgauge_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="flowgauge-package-")  # Spark's own file server hands it out
+        context.addPyFile(shutil.make_archive(f"{folder}/flowgauge", "zip", root.parent, root.name))
+        context._flowgauge_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
