@@ -16,11 +16,12 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import per_row, text_bytes, without
+from flowgauge.llm.common import per_row, text_bytes
 from flowgauge.llm.held_out import FOLDS, is_held_out, training_labels
 from flowgauge.llm.partition_sums import partition_sums
 from flowgauge.session import settle
@@ -188,14 +189,30 @@ def bins(raw: np.ndarray) -> np.ndarray:
     return np.clip(((raw + 1) / 3 * BINS).astype(np.int64), 0, BINS - 1)
 
 
-def quality_scores(
-    docs: DataFrame,
-    labels: DataFrame,
-    features: int = FEATURES,
-    ridge: float = RIDGE,
-    threshold: float = THRESHOLD,
-    seed: int = 7,
-) -> DataFrame:
+@dataclass
+class Model:
+    kernel: Kernel
+    weights: np.ndarray
+    known: np.ndarray  # raw scores, rising
+    value: np.ndarray  # what they are calibrated to
+
+    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Raw and calibrated scores of statistics."""
+        raw = self.kernel(x) @ self.weights
+        return raw, np.interp(raw, self.known, self.value)
+
+
+def fit(
+    own: DataFrame, labels: DataFrame, features: int = FEATURES, ridge: float = RIDGE, seed: int = 7
+) -> Model:
+    """Learn from the statistics ``own`` (doc_id, x) of the documents that ``labels`` (doc_id, quality) names."""
+    labelled = settle(own.join(training_labels(labels, "quality"), "doc_id"))
+    kernel = fit_kernel(labelled, features, seed)
+    weights = fit_ridge(labelled, kernel, ridge)
+    return Model(kernel, weights[0], *fit_calibration(labelled, kernel, weights))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, raw.
 
     ``labels`` has doc_id and quality (1 is good). Fold 0 of doc_id is never
@@ -206,20 +223,15 @@ def quality_scores(
     are read.
     """
     own = settle(document_statistics(docs))
-    labelled = settle(own.join(training_labels(labels, "quality"), "doc_id"))
-    kernel = fit_kernel(labelled, features, seed)
-    weights = fit_ridge(labelled, kernel, ridge)
-    known, value = fit_calibration(labelled, kernel, weights)
-    names, kind = ["doc_id", "raw", "score"], own.schema["doc_id"].dataType.simpleString()
+    model, names = fit(own, labels, **settings), ["doc_id", "raw", "score"]
 
     def score(batches):
         for batch in batches:
             if batch.num_rows:
-                raw = kernel(matrix(batch.column(1))) @ weights[0]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(raw), pa.array(np.interp(raw, known, value))], names=names
-                )
+                found = [pa.array(x) for x in model(matrix(batch.column(1)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=names)
 
+    kind = own.schema["doc_id"].dataType.simpleString()
     scored = own.mapInArrow(score, f"doc_id {kind}, raw double, score double")
     return scored.select(
         "doc_id",
@@ -230,7 +242,16 @@ def quality_scores(
     )
 
 
-def accept(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that are predicted good, all columns as they are; rows without an id are judged too."""
-    scored = quality_scores(docs, labels, **settings)
-    return without(docs, settle(scored.filter("predicted = 0").select("doc_id").distinct()))
+def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **settings) -> DataFrame:
+    """The rows of ``docs`` that are predicted good, all columns as they are.
+
+    The rows are judged in place, each by its own text, so no text is shuffled
+    and rows without an id are judged like any other.
+    """
+    model = fit(settle(document_statistics(docs)), labels, **settings)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(model(np.array([statistics(t) for t in text]).reshape(-1, len(STATISTICS)))[1])
+
+    return docs.filter(score(text_bytes()) >= threshold)
