@@ -64,13 +64,20 @@ def per_row(df: DataFrame, work: Callable[..., tuple], schema: str, keep: list[s
     return df.mapInArrow(run, whole)
 
 
-def without(df: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose ``name`` is not in ``ids``; NULL equals NULL, and no other column is touched.
+def text_key(name: str = "text") -> Column:
+    """A hash of the text; with the doc_id it names a row, also where ids are missing or repeated."""
+    return F.xxhash64(whole_text(name))
 
-    The ids grow with the corpus, so they are merged at every size.
+
+def without(docs: DataFrame, out: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text_key) is not in ``out``; NULL equals NULL, and all columns stay as they are.
+
+    ``out`` grows with the corpus, so it is merged at every size.
     """
-    found = F.col(f"_df.{name}").eqNullSafe(F.col(f"_ids.{name}"))
-    return df.alias("_df").join(ids.select(name).hint("merge").alias("_ids"), found, "left_anti")
+    same_id = F.col("_docs.doc_id").eqNullSafe(F.col("_out.doc_id"))
+    same_text = text_key("_docs.text") == F.col("_out.text_key")
+    named = out.select("doc_id", "text_key").hint("merge").alias("_out")
+    return docs.alias("_docs").join(named, same_id & same_text, "left_anti")
 
 
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

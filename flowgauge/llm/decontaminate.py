@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import whole_text, without
+from flowgauge.llm.common import text_key, whole_text, without
 from flowgauge.session import settle
 
 WINDOW_WORDS = 5
@@ -66,18 +66,19 @@ def window_hashes(hashes: Column, size: int) -> Column:
     return F.when(n > 0, windows)
 
 
-def windows(table: DataFrame, key: str, size: int = WINDOW_WORDS) -> DataFrame:
-    """(key, words, pos, hash): every window of every text; NULL counts as empty."""
-    rows = table.select(F.col(key), marked_words(whole_text()).alias("words"))
+def windows(table: DataFrame, *keys: Column, size: int = WINDOW_WORDS) -> DataFrame:
+    """(keys, words, pos, hash): every window of every text; NULL counts as empty."""
+    rows = table.select(*keys, marked_words(whole_text()).alias("words"))
     rows = rows.withColumn("hashes", word_hashes(F.col("words")))
     rows = rows.withColumn("windows", F.when(F.size("hashes") > 0, window_hashes(F.col("hashes"), size)))
     # the outer form: an inner explode would compute the windows twice, once to filter on them
-    return rows.select(key, "words", F.posexplode_outer("windows").alias("pos", "hash"))
+    return rows.select(*rows.columns[: len(keys)], "words", F.posexplode_outer("windows").alias("pos", "hash"))
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """(item_id, n_windows, ipos, hash, part, strict) of every item; equal rows of one item count once."""
-    found = windows(benchmark.select("item_id", "text").distinct(), "item_id", size).filter("hash IS NOT NULL")
+    items = benchmark.select("item_id", "text").distinct()
+    found = windows(items, F.col("item_id"), size=size).filter("hash IS NOT NULL")
     part = F.slice("words", F.col("pos") + 1, size)
     strict = F.size(F.filter(part, lambda w: ~is_slot(w))) < F.least(F.lit(PLAIN_WORDS), F.size(part))
     n = F.greatest(F.size("words") - size + 1, F.lit(1))
@@ -91,41 +92,42 @@ def _slots(item_part: Column, doc_part: Column) -> Column:
 
 
 def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Matched windows of documents with one block of items: (doc_id, item_id, n_windows, shift, ipos, slots)."""
-    found = windows(docs, "doc_id", size).join(F.broadcast(items), "hash")
+    """Matched windows of documents with one block of items: (doc_id, text_key, item_id, n_windows, shift, ipos, slots)."""
+    found = windows(docs, F.col("doc_id"), text_key().alias("text_key"), size=size).join(F.broadcast(items), "hash")
     theirs = F.slice("words", F.col("pos") + 1, size)
     found = found.filter(~F.col("strict") | (F.col("part") == theirs))
     return found.select(
-        "doc_id", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos",
+        "doc_id", "text_key", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos",
         _slots(F.col("part"), theirs).alias("slots"),
     )
 
 
 def consistent(found: DataFrame) -> DataFrame:
-    """Windows of the alignments whose slots map one to one: (doc_id, item_id, n_windows, ipos)."""
+    """Windows of the alignments whose slots map one to one: (doc_id, text_key, item_id, n_windows, ipos)."""
     pairs = F.array_distinct(F.flatten(F.collect_set("slots")))
-    lines = found.groupBy("doc_id", "item_id", "n_windows", "shift").agg(
+    lines = found.groupBy("doc_id", "text_key", "item_id", "n_windows", "shift").agg(
         F.collect_set("ipos").alias("places"), pairs.alias("pairs")
     )  # no more than an item's windows in either
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct("pairs.mine")) == n) & (F.size(F.array_distinct("pairs.theirs")) == n)
-    return lines.filter(one_to_one).select("doc_id", "item_id", "n_windows", F.explode("places").alias("ipos"))
+    return lines.filter(one_to_one).select(*lines.columns[:4], F.explode("places").alias("ipos"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: float = SHARE) -> DataFrame:
-    """One row per document and item it holds: doc_id, item_id, n_windows, n_found, share.
+    """One row per document and item it holds: doc_id, text_key, item_id, n_windows, n_found, share.
 
     A document without such an item has no row. Texts of fewer words than a
     window are one window; empty and NULL texts have none and match nothing.
-    Repeated rows of a document add nothing; if an item_id has several texts,
-    any of them is enough, and they must not have equal numbers of windows to
-    be told apart. Rows without an id keep it NULL. Other columns are not read.
+    Repeated rows of a document add nothing; rows of one doc_id (or of none)
+    with different texts are different documents. If an item_id has several
+    texts, they count as one where they have equally many windows. Other
+    columns are not read.
     """
     items = settle(item_windows(benchmark, size))
     blocks = max(1, -(-items.count() // BLOCK_ROWS))
     of_block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     found = [matches(docs, items.filter(of_block == b), size) for b in range(blocks)]
-    covered = consistent(reduce(DataFrame.unionByName, found)).groupBy("doc_id", "item_id", "n_windows")
+    covered = consistent(reduce(DataFrame.unionByName, found)).groupBy("doc_id", "text_key", "item_id", "n_windows")
     n = covered.agg(F.count_distinct("ipos").alias("n_found"))
     part = F.col("n_found") / F.col("n_windows")
     return n.withColumn("share", part).filter(F.col("n_found") >= F.ceil(F.col("n_windows") * share - 1e-9))
@@ -133,4 +135,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: float = SHARE) -> DataFrame:
     """``docs`` without the documents that hold an item, all columns as they are."""
-    return without(docs, settle(leaks(docs, benchmark, size, share).select("doc_id").distinct()))
+    return without(docs, settle(leaks(docs, benchmark, size, share).select("doc_id", "text_key").distinct()))

@@ -36,7 +36,7 @@ def query(fn):
 
 @query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query
@@ -88,7 +88,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 @query

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import per_row, text_bytes, without
+from flowgauge.llm.common import per_row, text_bytes, text_key, without
 from flowgauge.llm.components import components
 from flowgauge.session import settle
 
@@ -59,12 +59,13 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every row; NULL text counts as empty."""
+    """(doc_id, text_key, fp) of every row; NULL text counts as empty."""
 
     def work(text):
         return (fingerprint(text, shingle_words),)
 
-    return per_row(docs.select("doc_id", text_bytes().alias("text")), work, "fp bigint", ["doc_id"])
+    rows = docs.select("doc_id", text_key().alias("text_key"), text_bytes().alias("text"))
+    return per_row(rows, work, "fp bigint", ["doc_id", "text_key"])
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -121,7 +122,7 @@ def near_duplicates(
     max_bits: int = MAX_BITS,
     paired_block: int = PAIRED_BLOCK,
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id.
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id, text_key.
 
     ``component_id`` is the smallest doc_id that is reachable by links. NULL
     texts count as empty, and all texts without words are copies of each
@@ -137,7 +138,7 @@ def near_duplicates(
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = grouped.join(ids, "root").select("fp", "component_id")
     return own.join(of_print, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_key"
     )
 
 
@@ -148,5 +149,5 @@ def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:
     without a doc_id go if any document of their group has one.
     """
     found = near_duplicates(docs, **settings)
-    out = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    out = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_key").distinct()
     return without(docs, settle(out))
