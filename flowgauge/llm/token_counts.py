@@ -107,10 +107,10 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, id_bytes: int =
     Separators aren't counted. Ids after a file's last separator are a last
     document without one. Empty blocks and files without ids give nothing.
     """
-    found = settle(block_separators(blocks, separator, id_bytes))
+    found = settle(block_separators(blocks, separator, id_bytes).filter("n_ids > 0"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     file_end = Window.partitionBy("file").orderBy(F.col("block").desc())
-    totals = found.select("file", "block", "n_ids", F.size("at").alias("n"), F.element_at("at", -1).alias("last"))
+    totals = found.select("file", "block", "n_ids", F.size("at").alias("n"), F.array_max("at").alias("last"))
     start = F.coalesce(F.sum("n_ids").over(before), F.lit(0))
     scanned = (
         totals.withColumn("start", start)
@@ -122,12 +122,8 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, id_bytes: int =
     )
     placed = found.join(scanned, ["file", "block"])
     # an open last document ends at the file's end, as if a separator stood there
-    ends_open = F.col("final") & (F.coalesce(F.element_at("at", -1), F.lit(-1)) < F.col("n_ids") - 1)
-    open_ids = F.col("n_ids") > 0
-    left = F.col("start") + F.col("n_ids") - 1 - F.coalesce(
-        F.col("start") + F.element_at("at", -1), F.col("previous")
-    )
-    at = F.when(ends_open & open_ids & (left > 0), F.concat("at", F.array("n_ids"))).otherwise(F.col("at"))
+    ends_open = F.col("final") & (F.coalesce(F.array_max("at"), F.lit(-1)) < F.col("n_ids") - 1)
+    at = F.when(ends_open, F.concat("at", F.array("n_ids"))).otherwise(F.col("at"))
     ends = placed.select("file", "start", "n_before", "previous", at.alias("at"))
     shifted = F.concat(F.array(F.col("previous") - F.col("start")), F.col("at"))
     each = ends.select("file", "n_before", F.posexplode(F.arrays_zip(F.col("at").alias("end"), shifted.alias("begin"))))
