@@ -19,9 +19,8 @@ def ascii_low(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-def assign_at(text, start):
+def assign_at(text, low, start):
     """End of the whole match and of its value, by the rule's parts one after the other."""
-    low = ascii_low(text)
     for name in NAMES:
         if not low.startswith(name, start):
             continue
@@ -50,9 +49,9 @@ def assign_at(text, start):
 
 
 def brute_base(text):
-    found, at = [], 0
+    found, at, low = [], 0, ascii_low(text)
     while at < len(text):
-        hit = assign_at(text, at)
+        hit = assign_at(text, low, at)
         if hit and hit[1] >= 8:
             found.append((at, hit[0], "assign"))
         at = hit[0] if hit else at + 1
