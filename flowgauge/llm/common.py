@@ -41,6 +41,12 @@ def text_bytes(name: str = "text") -> Column:
     return whole_text(name).cast("binary")
 
 
+def values(column: pa.Array, step: int = 256) -> Iterator:
+    """The values of an Arrow column as Python objects, of which few exist at a time."""
+    for at in range(0, len(column), step):
+        yield from column.slice(at, step).to_pylist()
+
+
 def per_row(df: DataFrame, work: Callable[..., tuple], schema: str, keep: list[str]) -> DataFrame:
     """``work(*values) -> tuple`` on every row, in Arrow batches of bounded bytes.
 
@@ -55,8 +61,8 @@ def per_row(df: DataFrame, work: Callable[..., tuple], schema: str, keep: list[s
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in given))
-            out = zip(*(work(*v) for v in values))
+            rows = zip(*(values(batch.column(batch.schema.get_field_index(c))) for c in given))
+            out = zip(*(work(*row) for row in rows))
             made = [pa.array(x, type=f.type) for x, f in zip(out, out_types)]
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(kept + made, names=keep + out_types.names)

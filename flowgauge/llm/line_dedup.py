@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import per_row, text_bytes
+from flowgauge.llm.common import per_row, text_bytes, values
 from flowgauge.session import settle
 
 MIN_CHARS = 40
@@ -44,7 +44,7 @@ def long_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, first, h1, h2 = batch.column(0), [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(values(batch.column(1))):
                 found = {line_hash(line, min_chars) for line in text.split(b"\n")} - {None}
                 first += [i] * len(found)
                 h1 += [a for a, _ in found]

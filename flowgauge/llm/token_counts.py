@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import text_bytes
+from flowgauge.llm.common import text_bytes, values
 from flowgauge.session import settle
 
 #: End of document: the first id that the vocabulary leaves free.
@@ -68,7 +68,7 @@ def write_flat(docs: DataFrame, ranks: str, separator: int = SEPARATOR, block_id
             return pa.RecordBatch.from_arrays(arrays, names=["file", "block", "ids", "begun"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), values(batch.column(1))):
                 names.append((len(held), doc_id))
                 held += np.array([*encode(text.decode("utf-8")), separator], dtype="<u2").tobytes()
                 while len(held) >= full:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import per_row, text_bytes
+from flowgauge.llm.common import per_row, text_bytes, values
 from flowgauge.llm.held_out import is_held_out, training_labels
 from flowgauge.llm.partition_sums import partition_sums
 from flowgauge.session import settle
@@ -105,7 +105,7 @@ def stem_counts(sample: DataFrame) -> DataFrame:
     def run(batches):
         counts = (Counter(), Counter())
         for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, y in zip(values(batch.column(0)), values(batch.column(1))):
                 counts[y > 0.5].update(stems_of(words_of(text)))
         clean, toxic = counts
         stems = [s for s in toxic.keys() | clean.keys()]
