@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions import calendar as cal
 from flowgauge.functions import codes
+from flowgauge.operators.slices import wall_micros
 
 
 def join_segments(
@@ -95,8 +96,27 @@ def tag_special_events(
     return readings.join(days, active, how).drop("_day", "_start", "_end")
 
 
-def slot_of(ts: str, step: str):
-    return F.window(F.col(ts), step)["start"]
+def step_micros(step: str) -> int:
+    """Length of a step such as ``30 minutes`` in microseconds."""
+    number, unit = step.split()
+    seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+    return int(number) * seconds[unit.rstrip("s")] * 1_000_000
+
+
+def slot_number(ts: Column, start: Column, step: str) -> Column:
+    """0-based number of the slot that holds a time, counted from ``start``."""
+    return F.floor((wall_micros(ts) - wall_micros(start)) / F.lit(step_micros(step))).cast("bigint")
+
+
+def slot_start(number: Column, start: Column, step: str) -> Column:
+    """Where a slot begins."""
+    seconds = (number * F.lit(step_micros(step) // 1_000_000)).cast("decimal(18,6)")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def slot_count(start: Column, end: Column, step: str) -> Column:
+    """Slots that begin at or after ``start`` and end by ``end``."""
+    return F.greatest(slot_number(end, start, step), F.lit(0).cast("bigint"))
 
 
 def slot_grid(keys: DataFrame, start, end, step: str = "30 minutes") -> DataFrame:
@@ -106,6 +126,23 @@ def slot_grid(keys: DataFrame, start, end, step: str = "30 minutes") -> DataFram
     return keys.withColumn("slot", F.explode(slots))
 
 
+def slot_values(
+    readings: DataFrame, start, end, step: str, key: str, ts: str, value: str
+) -> DataFrame:
+    """(key, number, n_readings, mean_value) of the slots that hold readings.
+
+    Readings are combined per (key, slot) before the shuffle, so a hot key is
+    spread over its slots.
+    """
+    start, end = F.lit(start), F.lit(end)
+    number = slot_number(F.col(ts), start, step)
+    return (
+        readings.filter((F.col(ts) >= start) & (number < slot_count(start, end, step)))
+        .groupBy(key, number.alias("number"))
+        .agg(F.count(F.lit(1)).alias("n_readings"), F.avg(value).alias("mean_value"))
+    )
+
+
 def densify(
     readings: DataFrame,
     keys: DataFrame,
@@ -116,16 +153,9 @@ def densify(
     ts: str = "recorded_at",
     value: str = "avg_speed_kmh",
 ) -> DataFrame:
-    """The grid with the readings of each slot: their number and mean value.
-
-    Readings are combined per (key, slot) before the shuffle, so a hot key is
-    spread over its slots.
-    """
-    seen = (
-        readings.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
-        .groupBy(key, slot_of(ts, step).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("n_readings"), F.avg(value).alias("mean_value"))
-    )
+    """The grid with the readings of each slot: their number and mean value."""
+    seen = slot_values(readings, start, end, step, key, ts, value)
+    seen = seen.withColumn("slot", slot_start(F.col("number"), F.lit(start), step)).drop("number")
     return (
         slot_grid(keys, start, end, step)
         .join(seen, [key, "slot"], "left")
@@ -133,13 +163,46 @@ def densify(
     )
 
 
-def slot_gaps(dense: DataFrame, key: str = "segment_id") -> DataFrame:
-    """Per key: slots, observed and missing slots, first and last missing slot."""
-    missing = F.col("n_readings") == 0
-    return dense.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_slots"),
-        F.count_if(~missing).alias("n_observed"),
-        F.count_if(missing).alias("n_missing"),
-        F.min(F.when(missing, F.col("slot"))).alias("first_missing"),
-        F.max(F.when(missing, F.col("slot"))).alias("last_missing"),
+def slot_gaps(
+    readings: DataFrame,
+    keys: DataFrame,
+    start,
+    end,
+    step: str = "30 minutes",
+    key: str = "segment_id",
+    ts: str = "recorded_at",
+    value: str = "avg_speed_kmh",
+) -> DataFrame:
+    """Per key: slots, observed and missing slots, first and last missing slot.
+
+    Only observed slots are looked at, of which a key has as many as the grid
+    at most. In order they are numbered like the grid up to the first gap, and
+    from the end down to the last one.
+    """
+    start, end = F.lit(start), F.lit(end)
+    n = slot_count(start, end, step)
+    seen = slot_values(readings, start, end, step, key, ts, value)
+    up = Window.partitionBy(key).orderBy("number")
+    placed = seen.select(
+        key,
+        "number",
+        (F.row_number().over(up) - 1).cast("bigint").alias("_nth"),
+        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_all"),
+    )
+    from_end = n - F.col("_all") + F.col("_nth")  # its number if no slot after it were missing
+    observed = placed.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_observed"),
+        F.min(F.when(F.col("number") > F.col("_nth"), F.col("_nth"))).alias("_first"),
+        F.max(F.when(F.col("number") < from_end, from_end)).alias("_last"),
+    )
+    missing = n - F.coalesce(F.col("n_observed"), F.lit(0))
+    first = F.coalesce("_first", "n_observed", F.lit(0))
+    last = F.coalesce(F.col("_last"), n - 1 - F.coalesce("n_observed", F.lit(0)))
+    return keys.join(observed, key, "left").select(
+        key,
+        n.alias("n_slots"),
+        F.coalesce("n_observed", F.lit(0)).cast("bigint").alias("n_observed"),
+        missing.cast("bigint").alias("n_missing"),
+        F.when(missing > 0, slot_start(first, start, step)).alias("first_missing"),
+        F.when(missing > 0, slot_start(last, start, step)).alias("last_missing"),
     )

@@ -18,6 +18,11 @@ BUFFER_ROWS = 1_000_000
 _BINS = 16_384
 
 
+def _known(column: Column) -> Column:
+    """The column as a double, with NaN as missing."""
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
 def _ends(names: Iterable[str]) -> list[Column]:
     return [F.struct(F.count(n), F.min(n), F.max(n)).alias(n) for n in names]
 
@@ -28,8 +33,8 @@ def values_at_ranks(
     ranks: Iterable[tuple[str, int]],
     ends: Mapping[str, tuple] | None = None,
 ) -> dict[tuple[str, int], float]:
-    """Value of each named column at each 0-based rank among its non-NULL values."""
-    values = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    """Value of each named column at each 0-based rank among its values; NULL and NaN are none."""
+    values = df.select(*[_known(c).alias(n) for n, c in columns.items()])
     if ends is None:
         ends = values.agg(*_ends(columns)).first().asDict()
     # (column, rank) -> range known to hold it, and the rows below that range
@@ -95,7 +100,7 @@ def exact_quantiles(
     at_most: int | None = None,
     also: Mapping[str, Column] | None = None,
 ) -> dict:
-    """Linearly interpolated quantiles of several columns, NULLs left out.
+    """Linearly interpolated quantiles of several columns, NULLs and NaNs left out.
 
     The result is keyed by (column, probability). ``columns`` may name
     expressions; by default a name is a column of ``df``. ``at_most`` is a
@@ -104,7 +109,7 @@ def exact_quantiles(
     """
     also = dict(also or {})
     sources = dict(columns or {n: F.col(n) for n in wanted})
-    numeric = df.withColumns({f"q_{n}": c.cast("double") for n, c in sources.items()})
+    numeric = df.withColumns({f"q_{n}": _known(c) for n, c in sources.items()})
 
     if at_most is not None and at_most <= buffer_rows:
         sketched, extra, few = {}, {}, True
@@ -144,7 +149,7 @@ def medians(df: DataFrame, names: list[str], *, approx: bool = False, **options)
     ``also`` works as in ``exact_quantiles``.
     """
     if approx:
-        aggs = {n: F.percentile_approx(n, 0.5).cast("double") for n in names}
+        aggs = {n: F.percentile_approx(_known(F.col(n)), 0.5) for n in names}
         aggs |= options.get("also") or {}
         return df.agg(*[c.alias(n) for n, c in aggs.items()]).first().asDict()
     found = exact_quantiles(df, {n: [0.5] for n in names}, **options)

@@ -19,6 +19,9 @@ from flowgauge.session import settle
 ROW_LAGS = {"speed_lag1h": 2, "speed_lag24h": 48}
 ROLLING_NAME = "speed_rolling3h"
 ROLLING_ROWS = 6
+#: Running sums are kept in this type; values from ``_LARGEST`` on never enter one.
+_EXACT = "decimal(38,10)"
+_LARGEST = 1e17
 
 
 def lag_rolling(
@@ -76,34 +79,49 @@ def time_lag_rolling(
     * the rolling mean covers the last ``rolling_minutes``, both ends included,
       and ``<rolling_name>_n`` is the number of rows in it.
 
+    A row without a time has no past: NULL lags and mean, and 0 rows.
+
     A window holds a whole key, and a range frame is summed anew for every
     row. Keys with more than ``slice_rows`` rows, or with more than
     ``frame_rows`` rows within one ``rolling_minutes``, take running sums
     instead: each time looks up the sums at the ends of its frames (see
-    ``_running_at``).
+    ``_running_at``). The sums are exact to ten decimals, so their differences
+    lose nothing; a key with values that these don't hold (NaN, infinite or
+    beyond 1e17) keeps the window.
     """
     micro = 60_000_000
     names = [*lag_minutes, rolling_name, f"{rolling_name}_n"]
-
+    whole, df = df, df.filter(F.col(ts).isNotNull())
+    kind = whole.schema[value].dataType
+    nothing = {n: F.lit(None).cast(kind) for n in lag_minutes}
+    nothing |= {rolling_name: F.lit(None).cast("double"), names[-1]: F.lit(0).cast("bigint")}
+    timeless = whole.filter(F.col(ts).isNull()).withColumns(nothing)
+
+    number = F.col(value).cast("double")
+    odd = F.coalesce(F.isnan(number) | (F.abs(number) >= F.lit(_LARGEST)), F.lit(False))
     spans = df.groupBy(key, F.window(ts, f"{rolling_minutes} minutes").alias("_w")).agg(
-        F.count(F.lit(1)).alias("_n")
+        F.count(F.lit(1)).alias("_n"), F.bool_or(odd).alias("_odd")
+    )
+    hot = spans.groupBy(key).agg(
+        F.sum("_n").alias("_n"), F.max("_n").alias("_dense"), F.bool_or("_odd").alias("_odd")
     )
-    hot = spans.groupBy(key).agg(F.sum("_n").alias("_n"), F.max("_n").alias("_dense"))
-    hot = hot.filter((F.col("_n") > slice_rows) | (F.col("_dense") > frame_rows))
-    hot = settle(hot.select(key))
+    hot = hot.filter(((F.col("_n") > slice_rows) | (F.col("_dense") > frame_rows)) & ~F.col("_odd"))
+    hot = settle(hot.select(F.col(key).alias("_hot")))
     if hot.isEmpty():
-        return _range_windows(
+        found = _range_windows(
             df, key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name
         )
+        return found.unionByName(timeless)
 
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     cold = _range_windows(
-        df.join(hot, key, "left_anti"),
+        df.join(hot, is_hot, "left_anti"),
         key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name,
     )
 
-    rows = df.join(hot, key, "left_semi").withColumn("_t", as_number(df, ts))
+    rows = df.join(hot, is_hot, "left_semi").withColumn("_t", as_number(df, ts))
     points = rows.groupBy(key, "_t").agg(
-        F.sum(F.col(value).cast("decimal(20,6)")).alias("_sum"),
+        F.sum(F.col(value).cast(_EXACT)).alias("_sum"),
         F.count(value).alias("_values"),
         F.count(F.lit(1)).alias("_rows"),
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(tie))).alias("_v"),
@@ -122,8 +140,8 @@ def time_lag_rolling(
     out[rolling_name] = F.when(n_values > 0, total.cast("double") / n_values)
     out[f"{rolling_name}_n"] = F.col("to._rows") - F.col("from._rows")
     found = found.select(key, "_t", *[c.alias(n) for n, c in out.items()])
-    warm = rows.join(found, [key, "_t"]).select(*df.columns, *names)
-    return cold.select(*df.columns, *names).unionByName(warm)
+    warm = join_groups(rows, found, [key, "_t"]).select(*df.columns, *names)
+    return cold.select(*df.columns, *names).unionByName(warm).unionByName(timeless)
 
 
 def _range_windows(df, key, ts, tie, value, lag_minutes, tolerance, rolling, rolling_name):
@@ -177,7 +195,7 @@ def _running_at(
     )
     questions = points.select(key, F.col("_t").alias("_asked"), F.explode(asks).alias("a")).select(
         key, F.col("a.at").alias("_t"), "a._kind", "_asked", "a._shift",
-        F.lit(None).cast("decimal(30,6)").alias("_sum"), zero.alias("_values"),
+        F.lit(None).cast(_EXACT).alias("_sum"), zero.alias("_values"),
         zero.alias("_rows"), F.lit(None).cast(data.schema["_last"].dataType).alias("_last"),
     )
     sliced = slice_hot_groups(data.unionByName(questions), [key], ["_t"], slice_rows)
@@ -187,7 +205,7 @@ def _running_at(
         "_rows": F.sum("_rows"), "_last": F.max("_last"),
     }
     w = Window.partitionBy(*part).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    answers = sliced.rows.withColumns({n: a.over(w) for n, a in totals.items()}).filter(
+    answers = sliced.spread(sliced.rows).withColumns({n: a.over(w) for n, a in totals.items()}).filter(
         F.col("_shift").isNotNull()
     )
     if sliced.hot:
@@ -203,7 +221,7 @@ def _running_at(
                 "_last": F.greatest("_last", "_b_last"),
             }
         )
-    answers = answers.withColumn("_sum", F.coalesce(F.col("_sum"), F.lit(0).cast("decimal(30,6)")))
+    answers = answers.withColumn("_sum", F.coalesce(F.col("_sum"), F.lit(0).cast(_EXACT)))
     state = F.struct("_sum", "_values", "_rows", "_last")
     per_shift = [F.any_value(F.when(F.col("_shift") == n, state), True).alias(n) for n in shifts]
     return answers.groupBy(key, F.col("_asked").alias("_t")).agg(*per_shift)

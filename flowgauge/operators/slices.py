@@ -52,6 +52,14 @@ class Sliced:
         """Rows of the hot groups only."""
         return self.rows.filter(F.size(_SLICE) > 0)
 
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """``rows`` dealt out by (group, slice).
+
+        A window by (group, slice) is content with rows that already lie
+        together by group, say after a join, and would leave a hot group in one task.
+        """
+        return rows.repartition(*self.partition) if self.hot else rows
+
     def offsets(self) -> DataFrame:
         """Per slice: its rows ``_size`` and the group's rows before it ``_before``."""
         w = Window.partitionBy(*self.group).orderBy(_SLICE)
@@ -69,7 +77,12 @@ def wall_micros(ts: Column) -> Column:
 
 
 def as_number(df: DataFrame, name: str) -> Column:
-    """Order column as bigint: microseconds for times, itself for integers."""
+    """Order column as a bigint that never falls where the column rises.
+
+    Microseconds for times, itself for integers; other numbers lose their
+    fraction and strings all but their first seven bytes, so different values
+    may share a number.
+    """
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return wall_micros(F.col(name))
@@ -77,6 +90,13 @@ def as_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(F.col(name))
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(name)).cast("bigint")
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.substring(F.hex(F.encode(F.col(name), "utf-8")), 1, 14), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    if isinstance(kind, T.DoubleType | T.FloatType | T.DecimalType):
+        number = F.col(name).cast("double")
+        within = F.greatest(F.least(number, F.lit(9e18)), F.lit(-9e18))  # NaN is the largest
+        return F.when(F.isnan(number), F.lit(2**63 - 1)).otherwise(within.cast("bigint"))
     return F.col(name).cast("bigint")
 
 
@@ -217,7 +237,7 @@ def row_positions(
     number = F.row_number().over(w).cast("bigint") - 1
     if not sliced.hot:
         return df.withColumn(out, number)
-    numbered = sliced.rows.withColumn(out, number)
+    numbered = sliced.spread(sliced.rows).withColumn(out, number)
     placed = join_groups(numbered, sliced.offsets().drop("_size"), sliced.partition, "left")
     position = F.col(out) + F.coalesce(F.col("_before"), F.lit(0))
     return placed.select(*[c for c in df.columns if c != out], position.alias(out))
@@ -247,8 +267,7 @@ def over_preceding_rows(
     offsets = sliced.offsets()
     latest_first = Window.partitionBy(*sliced.partition).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        sliced.in_slices()
-        .select(*dict.fromkeys([*sliced.partition, *order, *uses]))
+        sliced.spread(sliced.in_slices().select(*dict.fromkeys([*sliced.partition, *order, *uses])))
         .withColumn("_rn", F.row_number().over(latest_first))
         .filter(F.col("_rn") <= back)
     )
@@ -263,5 +282,5 @@ def over_preceding_rows(
     )
     copies = join_groups(tails, wanted, [key, "_pos"]).drop("_pos").withColumn("_copy", F.lit(True))
     rows = sliced.rows.withColumn("_copy", F.lit(False))
-    rows = rows.unionByName(copies, allowMissingColumns=True)
+    rows = sliced.spread(rows.unionByName(copies, allowMissingColumns=True))
     return rows.withColumns(columns(window)).filter(~F.col("_copy")).drop("_copy", _SLICE)

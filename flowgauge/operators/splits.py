@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowgauge.operators.quantiles import exact_quantiles, values_at_ranks
 from flowgauge.operators.slices import (
@@ -18,7 +19,6 @@ from flowgauge.operators.slices import (
 )
 from flowgauge.session import settle
 
-MAX_CLASSES = 1000
 SORTED_ROWS = 200_000
 
 
@@ -40,6 +40,8 @@ def _row_at(df: DataFrame, rank: int, rows: int, ts: str, tie: str) -> tuple[Col
     moment = _time_literal(df, ts, int(at))
     rank -= df.filter(F.col(ts) < moment).count()
     ties = df.filter(F.col(ts) == moment)
+    if not isinstance(df.schema[tie].dataType, T.IntegralType):  # a number would not tell all ids apart
+        return moment, ties.select(tie).orderBy(tie).offset(rank).limit(1).first()[tie]
     first = values_at_ranks(ties, {"i": as_number(df, tie)}, [("i", rank)])["i", rank]
     return moment, int(first)
 
@@ -141,7 +143,9 @@ def stratified_folds(
     Classes are laid end to end in order of their first row, place j counts
     for fold ``j % k``, and each class fills its folds with blocks of rows in
     order. A class may be most of the table: rows are placed per (class, key),
-    and only row counts are summed per class.
+    and only row counts are summed per class. Where a class ends in each fold
+    is a small table that the rows are joined with, however many classes there
+    are.
     """
     counts = settle(
         df.groupBy(label, key).agg(
@@ -149,29 +153,26 @@ def stratified_folds(
         )
     )
     classes = counts.groupBy(label).agg(
-        F.sum("_n").alias("n"),
-        F.max("_n").alias("largest"),
-        F.min(F.struct(key, "_first")).alias("first"),
+        F.sum("_n").alias("_rows"),
+        F.max("_n").alias("_largest"),
+        F.min(F.struct(F.col(key).alias("k"), F.col(f"_first.{ts}").alias("t"), F.col(f"_first.{tie}").alias("i"))).alias("_at"),
     )
-    rows = classes.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    ends = {}
-    place = 0
-    for row in sorted(rows, key=lambda r: tuple(r["first"])):
-        upto = place + row["n"]
-        shares = [(upto - f + k - 1) // k - (place - f + k - 1) // k for f in range(k)]
-        ends[row[label]] = [sum(shares[: f + 1]) for f in range(k - 1)]
-        place = upto
+    classes = classes.select(label, "_rows", "_largest", "_at.k", "_at.t", "_at.i")
+    laid = running_offsets(classes, ["k", "t", "i"], "_rows", "_place")
+
+    def rows_in(f: int) -> Column:
+        """Rows of a class whose places count for fold ``f``."""
+        upto = F.col("_place") + F.col("_rows")
+        return F.floor((upto - f + k - 1) / k) - F.floor((F.col("_place") - f + k - 1) / k)
+
+    ends = F.array(*[sum((rows_in(g) for g in range(1, f + 1)), rows_in(0)) for f in range(k - 1)])
+    ends = settle(laid.select(label, ends.cast("array<bigint>").alias("_ends"), "_largest"))
 
     starts = running_offsets(counts.drop("_first"), [key], "_n", "_start", by=[label]).drop("_n")
-    largest = max((r["largest"] for r in rows), default=0)
+    largest = ends.agg(F.max("_largest")).first()[0] or 0
     placed = row_positions(df, [label, key], [ts, tie], "_pos", slice_rows, largest)
     placed = _add_starts(placed, starts, [label, key])
+    placed = _add_starts(placed, ends.drop("_largest"), [label])
     pos = F.col("_pos") + F.col("_start")
-
-    fold = F.lit(0)
-    for f in range(k - 1):
-        end = F.create_map(*[F.lit(x) for c, e in ends.items() for x in (c, e[f])])
-        fold = fold + (pos >= F.element_at(end, F.col(label))).cast("int")
+    fold = F.size(F.filter("_ends", lambda end: pos >= end)) if k > 1 else F.lit(0)
     return placed.select(*df.columns, fold.alias(out))

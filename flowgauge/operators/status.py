@@ -126,7 +126,7 @@ def history(
     *,
     as_of=None,
     until_as_of: bool = False,
-    limit: int = 200,
+    limit: int | None = None,
     key: str = "segment_id",
     ts: str = "recorded_at",
     tie: str = "id",
@@ -145,7 +145,8 @@ def history(
         rows = rows.filter(F.col(ts) <= now)
     if date_column:
         rows = rows.filter(F.col(date_column) >= since.cast("date"))
-    newest = rows.orderBy(F.col(ts).desc(), F.col(tie).desc()).limit(limit)
+    newest = rows.orderBy(F.col(ts).desc(), F.col(tie).desc())
+    newest = newest if limit is None else newest.limit(limit)
     return newest.select(
         ts, "hour", "avg_speed_kmh", "vehicle_count", "congestion_level", "weather_condition"
     )
@@ -155,7 +156,9 @@ def segments_with_district(segments: DataFrame, districts: DataFrame, district=N
     """Segments with the name of their district; those without one drop out."""
     names = districts.select(F.col("code").alias("district_code"), F.col("name").alias("district_name"))
     rows = optional_equals(segments, "district_code", district).join(names, "district_code")
-    return rows.select(*segments.columns, "district_name").orderBy("district_code", "street_name")
+    return rows.select(*segments.columns, "district_name").orderBy(
+        "district_code", "street_name", "segment_id"
+    )
 
 
 def find_by_key(df: DataFrame, key: str, value) -> DataFrame:

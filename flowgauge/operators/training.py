@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -18,7 +20,9 @@ from flowgauge.functions.numeric import round_half_even
 from flowgauge.operators import metrics
 from flowgauge.operators.encoding import assembler
 from flowgauge.operators.scaling import fit_scaling, scaler_stage
-from flowgauge.operators.splits import MAX_CLASSES, stratified_folds
+from flowgauge.operators.slices import join_groups
+from flowgauge.operators.splits import stratified_folds
+from flowgauge.session import settle
 
 LABEL = "congestion_level"
 WEIGHT = "class_weight"
@@ -46,17 +50,6 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return counts.withColumn("weight", rows / (classes * F.col("n")))
 
 
-def fit_class_weights(df: DataFrame, label: str = LABEL) -> dict[int, float]:
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["weight"] for r in rows}
-
-
-def weight_column(weights: Mapping[int, float], label: str = LABEL) -> Column:
-    return codes.lookup(F.col(label), weights, default=1.0)
-
-
 def forest_pipeline(
     train: DataFrame,
     features: Sequence[str] = codes.MODEL_FEATURES,
@@ -78,7 +71,9 @@ def forest_pipeline(
 
 
 def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
-    return train.withColumn(WEIGHT, weight_column(fit_class_weights(train, label), label))
+    """Each row with the balanced weight of its class, joined from the table of classes."""
+    weights = settle(class_weights(train, label).select(label, F.col("weight").alias(WEIGHT)))
+    return join_groups(train, weights, [label])
 
 
 def train_forest(
@@ -96,6 +91,31 @@ def weighted_f1(label: str = LABEL) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
 
 
+@dataclass
+class Search:
+    """What a grid search tried, its mean score each, and the best model fitted on all rows."""
+
+    tried: list[dict]
+    avgMetrics: list[float]
+    bestModel: PipelineModel
+
+    @property
+    def best(self) -> dict:
+        return self.tried[max(range(len(self.tried)), key=self.avgMetrics.__getitem__)]
+
+
+def fold_scores(
+    folded: DataFrame, folds: int, features: Sequence[str], label: str, **forest
+) -> list[float]:
+    """Weighted F1 of each fold; scaling and class weights are learned from the other folds."""
+    scores = []
+    for fold in range(folds):
+        model = train_forest(folded.filter(F.col("fold") != fold), features, label, **forest)
+        held = model.transform(folded.filter(F.col("fold") == fold))
+        scores.append(weighted_f1(label).evaluate(held))
+    return scores
+
+
 def tune_forest(
     train: DataFrame,
     quick: bool = True,
@@ -106,23 +126,19 @@ def tune_forest(
     label: str = LABEL,
     parallelism: int = 2,
     **keys,
-) -> CrossValidatorModel:
-    """Grid search by weighted F1 over stratified folds."""
-    weighted = stratified_folds(with_weights(train, label), folds, label, **keys)
-    pipeline = forest_pipeline(weighted, features, label)
-    model = pipeline.getStages()[-1]
-    builder = ParamGridBuilder()
-    for name, values in (grid or (QUICK_GRID if quick else FULL_GRID)).items():
-        builder = builder.addGrid(model.getParam(name), list(values))
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=builder.build(),
-        evaluator=weighted_f1(label),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    return search.fit(weighted)
+) -> Search:
+    """Grid search by weighted F1 over stratified folds; of equal scores the first wins."""
+    axes = grid or (QUICK_GRID if quick else FULL_GRID)
+    tried = [dict(zip(axes, values)) for values in product(*axes.values())]
+    folded = stratified_folds(train, folds, label, **keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            runs = [pool.submit(fold_scores, folded, folds, features, label, **t) for t in tried]
+            means = [sum(run.result()) / folds for run in runs]
+    finally:
+        folded.unpersist()
+    best = tried[max(range(len(tried)), key=means.__getitem__)]
+    return Search(tried, means, train_forest(train, features, label, **best))
 
 
 def cross_validate(
@@ -133,16 +149,11 @@ def cross_validate(
     keys: Mapping[str, str] | None = None,
     **forest,
 ) -> DataFrame:
-    """Weighted F1 of each stratified fold; scaling is fitted inside the fold."""
-    folded = stratified_folds(with_weights(train, label), folds, label, **(keys or {}))
+    """Weighted F1 of each stratified fold; scaling and weights are fitted inside the fold."""
+    folded = stratified_folds(train, folds, label, **(keys or {}))
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scores = []
-        for fold in range(folds):
-            rest = folded.filter(F.col("fold") != fold)
-            model = forest_pipeline(rest, features, label, **forest).fit(rest)
-            held = model.transform(folded.filter(F.col("fold") == fold))
-            scores.append((fold, weighted_f1(label).evaluate(held)))
+        scores = [*enumerate(fold_scores(folded, folds, features, label, **forest))]
     finally:
         folded.unpersist()
     return train.sparkSession.createDataFrame(scores, "fold int, score double")
@@ -231,4 +242,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """A saved model; a missing path is a ``FileNotFoundError``."""
+    try:
+        return PipelineModel.load(path)
+    except Exception as e:
+        if any(said in str(e) for said in ("does not exist", "PATH_NOT_FOUND", "Input path")):
+            raise FileNotFoundError(f"no model at {path}; train it first") from e
+        raise

@@ -342,6 +342,21 @@ SELECT segment_id, count(*) AS n_slots,
        count(*) FILTER (n_readings > 0) AS n_observed, count(*) FILTER (n_readings = 0) AS n_missing,
        min(slot) FILTER (n_readings = 0) AS first_missing,
        max(slot) FILTER (n_readings = 0) AS last_missing
+FROM dense GROUP BY 1""",
+    "slot_gaps_offset": f"""{R},
+grid AS (
+  SELECT segment_id, unnest(generate_series(TIMESTAMP '2024-01-03 00:10:00', TIMESTAMP '2024-01-09 06:10:00',
+                                            INTERVAL 30 MINUTE)) AS slot
+  FROM (SELECT DISTINCT segment_id FROM readings)),
+dense AS (
+  SELECT g.segment_id, slot, count(r.id) AS n_readings
+  FROM grid g LEFT JOIN readings r ON r.segment_id = g.segment_id
+       AND recorded_at >= slot AND recorded_at < slot + INTERVAL 30 MINUTE
+  GROUP BY 1, 2)
+SELECT segment_id, count(*) AS n_slots,
+       count(*) FILTER (n_readings > 0) AS n_observed, count(*) FILTER (n_readings = 0) AS n_missing,
+       min(slot) FILTER (n_readings = 0) AS first_missing,
+       max(slot) FILTER (n_readings = 0) AS last_missing
 FROM dense GROUP BY 1""",
     "slot_grid_daily": f"""{R},{GRID}
 SELECT segment_id, CAST(slot AS DATE) AS day, count(*) AS n_slots,

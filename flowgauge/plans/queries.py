@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = "2024-01-31 00:00:00"
 GRID_START, GRID_END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
+OFFSET_START, OFFSET_END = "2024-01-03 00:10:00", "2024-01-09 06:40:00"
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 8}
 
 
@@ -143,7 +145,7 @@ def level_summary_district(spark, sf):
 
 @query
 def history_one_key(spark, sf):
-    return status.history(src.readings(spark, sf), 8, 168, as_of=ntz(AS_OF))
+    return status.history(src.readings(spark, sf), 8, 168, as_of=ntz(AS_OF), limit=200)
 
 
 # ---- statistics -------------------------------------------------------------
@@ -229,7 +231,15 @@ def event_tagging(spark, sf):
 def slot_gaps(spark, sf):
     readings = src.readings(spark, sf)
     keys = readings.select("segment_id").distinct()
-    return enrich.slot_gaps(enrich.densify(readings, keys, ntz(GRID_START), ntz(GRID_END)))
+    return enrich.slot_gaps(readings, keys, ntz(GRID_START), ntz(GRID_END))
+
+
+@query
+def slot_gaps_offset(spark, sf):
+    """Slots that begin ten minutes past the half hours."""
+    readings = src.readings(spark, sf)
+    keys = readings.select("segment_id").distinct()
+    return enrich.slot_gaps(readings, keys, ntz(OFFSET_START), ntz(OFFSET_END))
 
 
 @query
@@ -573,8 +583,8 @@ def tuned_parameters(spark, sf):
         _train_frame(spark, sf), grid={"numTrees": [5], "maxDepth": [4, 8]}, folds=3
     )
     rows = [
-        (str({p.name: v for p, v in tried.items()}), float(score))
-        for tried, score in zip(found.getEstimatorParamMaps(), found.avgMetrics)
+        (str(tried), float(score))
+        for tried, score in zip(found.tried, found.avgMetrics)
     ]
     return spark.createDataFrame(rows, "parameters string, f1_weighted double")
 
@@ -583,7 +593,7 @@ def tuned_parameters(spark, sf):
 def evaluation_record(spark, sf):
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
     test = splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[1]
-    record = training.evaluate(_model(spark, sf), test)
+    record = training.evaluate(_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
     return record.withColumns(
         {
             "confusion_matrix": F.to_json("confusion_matrix"),

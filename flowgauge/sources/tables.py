@@ -30,8 +30,10 @@ def exists(spark: SparkSession, path: str) -> bool:
         read_table(spark, path)
     except FileNotFoundError:
         return False
-    except AnalysisException:  # an empty folder has no schema
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            return False
+        raise
     return True
 
 
@@ -114,20 +116,39 @@ def append_facts(df: DataFrame, path: str, ts: str = "recorded_at", date: str =
 def absent_rows(new: DataFrame, existing: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
     """One new row per key value that ``existing`` does not have yet.
 
-    Both sides are reduced to one row per key before they meet.
+    Both sides are reduced to one row per key before they meet. A key with a
+    NULL is equal to none, so such rows all count; only one that ``existing``
+    has with the same values in all the columns they share is left out.
     """
+    whole, rest = _by_whole_key(new, key)
     known = existing.select(*key).distinct()
-    return keep_first(new, key, tie).join(known, list(key), "left_anti").select(*new.columns)
+    fresh = keep_first(whole, key, tie).join(known, list(key), "left_anti").select(*new.columns)
+    same = F.lit(True)
+    for name in (c for c in new.columns if c in existing.columns):
+        same = same & F.col(f"_new.`{name}`").eqNullSafe(F.col(f"_old.`{name}`"))
+    loaded = _by_whole_key(existing, key)[1]
+    return fresh.unionByName(rest.alias("_new").join(loaded.alias("_old"), same, "left_anti"))
+
 
+def _by_whole_key(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key has no NULL, the others)."""
+    whole = F.lit(True)
+    for name in key:
+        whole = whole & F.col(name).isNotNull()
+    return df.filter(whole), df.filter(~whole)
 
-def insert_if_absent(new: DataFrame, path: str, key: Sequence[str], tie: str | None = None) -> None:
-    """Append the rows whose key is not in the table; loading twice adds nothing."""
+
+def insert_if_absent(new: DataFrame, path: str, key: Sequence[str], tie: str) -> None:
+    """Append the rows whose key is not in the table; loading twice adds nothing.
+
+    Of new rows with one key the one with the smallest ``tie`` is taken.
+    """
     spark = new.sparkSession
-    tie = tie or key[0]
     if exists(spark, path):
         rows = absent_rows(new, spark.read.parquet(path), key, tie)
     else:
-        rows = keep_first(new, key, tie)
+        whole, rest = _by_whole_key(new, key)
+        rows = keep_first(whole, key, tie).unionByName(rest)
     rows.write.mode("append").parquet(path)
 
 
@@ -155,7 +176,24 @@ def read_requests(spark: SparkSession, path: str, schema: str = schemas.REQUESTS
 
 
 def append_predictions(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """Append predictions below one folder per target date; a prediction that is there already is not added.
+
+    Each gets an ``id`` made of its segment, target, version and inputs, which
+    is equal on every load, and its time of writing as ``created_at``.
+    """
+    made = ["segment_id", "target_datetime", "model_version", "input_features"]
+    named = rows.withColumns(
+        {
+            "id": F.xxhash64(*made),
+            "created_at": F.current_timestamp(),
+            "date": F.col("target_datetime").cast("date"),
+        }
+    )
+    spark = rows.sparkSession
+    fresh = keep_first(named, ["id"], "predicted_at")
+    if exists(spark, path):
+        fresh = fresh.join(spark.read.parquet(path).select("id"), "id", "left_anti")
+    fresh.write.mode("append").partitionBy("date").parquet(path)
 
 
 def counts_while_writing(df: DataFrame, path: str, name: str = "load") -> Mapping[str, int]:

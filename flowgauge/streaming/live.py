@@ -13,6 +13,41 @@ from flowgauge.operators.scoring import score
 from flowgauge.operators.status import STATUS_COLUMNS, latest_per_key
 
 BATCH = "batch_id"
+#: After so many batches the changes are merged into one table by key.
+COMPACT_EVERY = 50
+
+
+def _written(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that are completely written below ``path``, rising."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [status.getPath() for status in files.listStatus(folder)]
+    return sorted(
+        int(p.getName().partition("=")[2])
+        for p in found
+        if p.getName().startswith(f"{BATCH}=") and files.exists(hadoop.Path(p, "_SUCCESS"))
+    )
+
+
+def _forget(spark: SparkSession, path: str, batches: Sequence[int]) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for n in batches:
+        folder = hadoop.Path(f"{path}/{BATCH}={n}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _current(spark: SparkSession, path: str, upto: int | None, before: int | None, newest) -> DataFrame:
+    """The newest row per key from the last merged table below ``before`` and the changes since."""
+    merged = [n for n in _written(spark, f"{path}/merged") if before is None or n < before]
+    since = merged[-1] if merged else -1
+    changes = [n for n in _written(spark, f"{path}/changes") if n > since and (upto is None or n <= upto)]
+    folders = [f"{path}/merged/{BATCH}={since}"] * bool(merged) + [f"{path}/changes/{BATCH}={n}" for n in changes]
+    if not folders:
+        raise FileNotFoundError(f"no status at {path} yet")
+    return newest(spark.read.parquet(*folders))
 
 
 def start_status(
@@ -24,19 +59,36 @@ def start_status(
     ts: str = "recorded_at",
     tie: str = "id",
     columns: Sequence[str] = STATUS_COLUMNS,
+    compact_every: int = COMPACT_EVERY,
     **trigger,
 ) -> StreamingQuery:
     """Keep the newest reading of every key up to date below ``path``.
 
     The newest reading is a streaming aggregate, so a late older reading
     changes nothing. Each batch writes the keys it changed to its own folder;
-    a repeated batch overwrites that folder and adds nothing.
+    a repeated batch overwrites that folder and adds nothing. Every
+    ``compact_every`` batches the changes are merged with the last merged
+    table into a new one of a row per key. The merged table before it and its
+    changes stay for readers that have begun, and older folders go, so neither
+    a read nor the folder grows with the life of the stream.
     """
     newest = F.max_by(F.struct(*dict.fromkeys([*columns, ts, tie])), F.struct(ts, tie))
     changed = readings.groupBy(key).agg(newest.alias("_newest")).select(key, "_newest.*")
 
+    def newest_of(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, key, ts, tie, [*dict.fromkeys([*columns, ts, tie])])
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/changes/{BATCH}={batch_id}")
+        if (batch_id + 1) % compact_every:
+            return
+        spark = batch.sparkSession
+        merged = _current(spark, path, batch_id, batch_id, newest_of)
+        merged.write.mode("overwrite").parquet(f"{path}/merged/{BATCH}={batch_id}")
+        kept = [n for n in _written(spark, f"{path}/merged") if n < batch_id][-1:]
+        if kept:
+            _forget(spark, f"{path}/merged", [n for n in _written(spark, f"{path}/merged") if n < kept[0]])
+            _forget(spark, f"{path}/changes", [n for n in _written(spark, f"{path}/changes") if n <= kept[0]])
 
     return (
         changed.writeStream.outputMode("update")
@@ -56,8 +108,8 @@ def read_status(
     tie: str = "id",
     columns: Sequence[str] = STATUS_COLUMNS,
 ) -> DataFrame:
-    """The current status of every key from the written changes."""
-    return latest_per_key(spark.read.parquet(path), key, ts, tie, columns)
+    """The current status of every key from the last merged table and the changes since."""
+    return _current(spark, path, None, None, lambda rows: latest_per_key(rows, key, ts, tie, columns))
 
 
 def hourly_windows(

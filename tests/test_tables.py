@@ -174,7 +174,7 @@ def test_grid_and_gaps(spark):
     assert dense.count() == 8
     first = dense.filter("segment_id = 'a'").orderBy("slot").first()
     assert (first.n_readings, first.mean_value) == (2, 15.0)
-    gaps = {r.segment_id: r for r in enrich.slot_gaps(dense).collect()}
+    gaps = {r.segment_id: r for r in enrich.slot_gaps(readings, keys, start, end).collect()}
     assert (gaps["a"].n_missing, gaps["a"].first_missing) == (2, at("2024-01-01 00:30:00"))
     assert (gaps["b"].n_observed, gaps["b"].last_missing) == (0, at("2024-01-01 01:30:00"))
 
@@ -206,9 +206,10 @@ def test_scaling_uses_the_population_deviation(spark):
 
 def test_class_weights_average_one(spark):
     df = spark.createDataFrame([(c,) for c in [0] * 6 + [1] * 3 + [3]], "congestion_level int")
-    weights = training.fit_class_weights(df)
+    weighted = training.with_weights(df)
+    weights = {r.congestion_level: r.class_weight for r in weighted.distinct().collect()}
     assert weights == pytest.approx({0: 10 / 18, 1: 10 / 9, 3: 10 / 3})
-    mean = df.agg(F.avg(training.weight_column(weights))).first()[0]
+    mean = weighted.agg(F.avg("class_weight")).first()[0]
     assert mean == pytest.approx(1.0)
 
 
@@ -274,7 +275,7 @@ def test_insert_if_absent_twice_adds_once(spark, tmp_path):
     new = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, v int")
     tables.insert_if_absent(new, path, ["k"], "v")
     tables.insert_if_absent(new, path, ["k"], "v")
-    tables.insert_if_absent(spark.createDataFrame([("a", 9), ("c", 9)], "k string, v int"), path, ["k"])
+    tables.insert_if_absent(spark.createDataFrame([("a", 9), ("c", 9)], "k string, v int"), path, ["k"], "v")
     rows = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     assert rows == [("a", 1), ("b", 3), ("c", 9)]
 
