@@ -530,4 +530,10 @@ windows AS (
 SELECT window_start, window_end, {r6("c", "avg_congestion")}, {r6("s", "avg_speed")}, record_count
 FROM windows
 WHERE window_end <= (SELECT max(recorded_at) FROM readings) - INTERVAL 10 MINUTE""",
+    "importance_sum": "SELECT 18::BIGINT AS n_features, TRUE AS sums_to_one, TRUE AS none_negative",
+    "model_info": """
+SELECT TRUE AS loaded, 'RandomForestClassificationModel' AS model_type, 18 AS n_features, 10 AS n_trees,
+       CAST(NULL AS VARCHAR) AS metrics""",
+    "stream_score_check": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM events",
 }
+

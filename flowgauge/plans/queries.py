@@ -523,7 +523,18 @@ def _train_frame(spark, sf) -> DataFrame:
     return splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[0]
 
 
-def _model(spark, sf) -> PipelineModel:
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
+
+
+def small_model(spark, sf) -> PipelineModel:
+    """The small forest of a set of tables, fitted once per application."""
+    name = (spark.sparkContext.applicationId, sf)
+    if name not in _MODELS:
+        _MODELS[name] = _fit_model(spark, sf)
+    return _MODELS[name]
+
+
+def _fit_model(spark, sf) -> PipelineModel:
     train = _train_frame(spark, sf).select(*codes.MODEL_FEATURES, training.LABEL).persist()
     try:
         return training.train_forest(train, **SMALL_FOREST)
@@ -533,7 +544,7 @@ def _model(spark, sf) -> PipelineModel:
 
 @query
 def score_batch(spark, sf):
-    model = _model(spark, sf)
+    model = small_model(spark, sf)
     scored = scoring.score(src.requests(spark, sf), model, carry=["id"])
     return scored.withColumn("probabilities", F.to_json("probabilities"))
 
@@ -541,7 +552,7 @@ def score_batch(spark, sf):
 @query
 def score_isolation(spark, sf):
     """Which requests are scored, and whether their results fit together."""
-    scored = scoring.score(src.requests(spark, sf), _model(spark, sf), carry=["id"])
+    scored = scoring.score(src.requests(spark, sf), small_model(spark, sf), carry=["id"])
     level = F.col("congestion_level")
     odds = F.map_values("probabilities")
     total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
@@ -561,13 +572,24 @@ def score_isolation(spark, sf):
 @query
 def prediction_rows(spark, sf):
     return scoring.prediction_rows(
-        src.requests(spark, sf), _model(spark, sf), predicted_at=ntz(AS_OF)
+        src.requests(spark, sf), small_model(spark, sf), predicted_at=ntz(AS_OF)
     )
 
 
 @query
 def feature_importance(spark, sf):
-    return training.feature_importances(spark, _model(spark, sf))
+    return training.feature_importances(spark, small_model(spark, sf))
+
+
+@query
+def importance_sum(spark, sf):
+    """All importances: how many, and whether they are shares of one whole."""
+    rows = training.feature_importances(spark, small_model(spark, sf), limit=None)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_features"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        (F.min("importance") >= 0).alias("none_negative"),
+    )
 
 
 @query
@@ -593,7 +615,7 @@ def tuned_parameters(spark, sf):
 def evaluation_record(spark, sf):
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
     test = splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[1]
-    record = training.evaluate(_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
+    record = training.evaluate(small_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
     return record.withColumns(
         {
             "confusion_matrix": F.to_json("confusion_matrix"),
@@ -604,7 +626,7 @@ def evaluation_record(spark, sf):
 
 @query
 def model_info(spark, sf):
-    return training.model_info(spark, _model(spark, sf))
+    return training.model_info(spark, small_model(spark, sf))
 
 
 # ---- streams ----------------------------------------------------------------
@@ -637,10 +659,21 @@ def stream_hourly(spark, sf):
 
 @query
 def stream_score(spark, sf):
-    model = _model(spark, sf)
+    model = small_model(spark, sf)
     out, state = scratch_path(spark, "scored"), scratch_path(spark, "state")
     incoming = src.reading_stream(spark, sf).withColumn("lanes", (F.col("id") % 12).cast("int"))
     scored = live.score_stream(incoming, model, carry=["id"])
     _finish(live.start_append(scored, out, state, availableNow=True))
     rows = spark.read.schema(scored.schema).parquet(out)
     return rows.withColumn("probabilities", F.to_json("probabilities"))
+
+
+@query
+def stream_score_check(spark, sf):
+    """Rows scored on the stream, and those that differ from the same rows scored in a batch."""
+    columns = ["id", "segment_id", "congestion_level", "confidence", "estimated_speed_kmh", "error"]
+    incoming = src.readings(spark, sf).withColumn("lanes", (F.col("id") % 12).cast("int"))
+    batch = scoring.score(incoming, small_model(spark, sf), carry=["id"]).select(columns)
+    stream = stream_score(spark, sf).select(columns)
+    different = stream.exceptAll(batch).agg(F.count(F.lit(1)).alias("n_different"))
+    return stream.agg(F.count(F.lit(1)).alias("n_rows")).join(different)
