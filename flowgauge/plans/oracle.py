@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
-from flowgauge.functions import codes
 from flowgauge.plans.adapters import SPECIAL_EVENTS
 
+# ---------------------------------------------------------------------------
+# Fixed values, written out here a second time: the SQL must not take them from
+# the module that it is compared with.
+# ---------------------------------------------------------------------------
+WEATHER = {"clear": 0, "fog": 1, "rain": 2, "heavy_rain": 3}
+LABELS = {0: "Thông thoáng", 1: "Chậm", 2: "Kẹt nhẹ", 3: "Kẹt nặng"}
+COLORS = {0: "#27ae60", 1: "#f39c12", 2: "#e67e22", 3: "#c0392b"}
+SUMMARY = {0: "thong_thoang", 1: "cham", 2: "ket_nhe", 3: "ket_nang"}
+ADVICE = {
+    0: "✅ Đường thông thoáng, có thể di chuyển bình thường.",
+    1: "🟡 Giao thông chậm. Nên xuất phát sớm 10-15 phút.",
+    2: "🟠 Kẹt xe nhẹ! Hãy cân nhắc tuyến đường thay thế.",
+    3: "🔴 Kẹt xe nặng! Nên đổi tuyến đường hoặc chờ thêm 30-60 phút.",
+}
+HOURS = {
+    0: 0.05, 1: 0.05, 2: 0.05, 3: 0.05, 4: 0.08, 5: 0.12,
+    6: 0.45, 7: 0.85, 8: 0.75, 9: 0.55, 10: 0.35, 11: 0.30,
+    12: 0.45, 13: 0.40, 14: 0.30, 15: 0.35, 16: 0.65, 17: 0.90,
+    18: 0.85, 19: 0.65, 20: 0.45, 21: 0.35, 22: 0.20, 23: 0.10,
+}
+HOLIDAYS = [
+    "2024-01-01", "2024-02-08", "2024-02-09", "2024-02-10", "2024-02-11",
+    "2024-02-12", "2024-04-18", "2024-04-30", "2024-05-01", "2024-09-02",
+]
+# ---------------------------------------------------------------------------
+
 READINGS = """
 readings AS (
   SELECT event_id AS id, user_id AS segment_id, ts AS recorded_at,
@@ -52,8 +77,8 @@ newest AS (
 status AS (
   SELECT s.*, n.avg_speed_kmh, n.vehicle_count, n.congestion_level, n.weather_condition,
          n.recorded_at,
-         {case("n.congestion_level", codes.LEVEL_LABELS)} AS status_label,
-         {case("n.congestion_level", codes.LEVEL_COLORS)} AS status_color
+         {case("n.congestion_level", LABELS)} AS status_label,
+         {case("n.congestion_level", COLORS)} AS status_color
   FROM segments s LEFT JOIN newest n USING (segment_id))"""
 
 JOINED = """
@@ -111,7 +136,7 @@ def cyclic() -> str:
 CALENDAR = f"""
   CAST(day_of_week >= 5 AS INT) AS is_weekend,
   CAST(hour BETWEEN 6 AND 8 OR hour BETWEEN 16 AND 19 AS INT) AS is_rush_hour,
-  coalesce({case("weather_condition", codes.WEATHER_CODES)}, 0) AS weather_encoded,
+  coalesce({case("weather_condition", WEATHER)}, 0) AS weather_encoded,
   {cyclic()}"""
 
 
@@ -142,7 +167,7 @@ FROM (SELECT * FROM status {where} ORDER BY {HOTSPOT_ORDER} LIMIT {limit})"""
 def summary(where: str = "") -> str:
     counts = ", ".join(
         f"count(*) FILTER (coalesce(congestion_level, 0) = {k}) AS {n}"
-        for k, n in codes.SUMMARY_NAMES.items()
+        for k, n in SUMMARY.items()
     )
     return f"""{RSS}
 SELECT {counts}, count(*) AS total_segments,
@@ -165,7 +190,7 @@ HEATMAP_COLUMNS = ", ".join(
 EVENT_ROWS = ", ".join(
     f"('{n}', '{t}', TIMESTAMP '{a}', TIMESTAMP '{b}', {i})" for n, t, a, b, i in SPECIAL_EVENTS
 )
-HOLIDAY_LIST = ", ".join(f"DATE '{d}'" for d in codes.HOLIDAYS_2024)
+HOLIDAY_LIST = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
 
 GRID = """
 grid AS (
@@ -183,7 +208,7 @@ dense AS (
 SPEED_ESTIMATES = {0: "57.5::DOUBLE", 1: "32.5::DOUBLE", 2: "14.0::DOUBLE", 3: "5.0::DOUBLE"}
 SPEED_CASE = "CASE level " + " ".join(f"WHEN {k} THEN {v}" for k, v in SPEED_ESTIMATES.items()) + " END"
 
-PROFILE = "CASE hour " + " ".join(f"WHEN {h} THEN {p}::DOUBLE" for h, p in codes.HOUR_PROFILE.items()) + " END"
+PROFILE = "CASE hour " + " ".join(f"WHEN {h} THEN {p}::DOUBLE" for h, p in HOURS.items()) + " END"
 WEEKEND = "CASE WHEN day_of_week >= 5 THEN {0} * 0.65::DOUBLE ELSE {0} END"
 SERVING = f"(CASE WHEN hour BETWEEN 6 AND 21 THEN {PROFILE} ELSE 0.1::DOUBLE END)"
 FALLBACK = (
@@ -370,9 +395,9 @@ FROM readings""",
     "speed_level": f"""{R},
 levels AS (
   SELECT id, CASE WHEN avg_speed_kmh IS NULL THEN NULL ELSE congestion_level END AS level FROM readings)
-SELECT id, level, {case("level", codes.LEVEL_LABELS)} AS label,
-       {case("level", codes.LEVEL_COLORS)} AS color, {SPEED_CASE} AS estimated_speed_kmh,
-       {case("level", codes.RECOMMENDATIONS)} AS recommendation
+SELECT id, level, {case("level", LABELS)} AS label,
+       {case("level", COLORS)} AS color, {SPEED_CASE} AS estimated_speed_kmh,
+       {case("level", ADVICE)} AS recommendation
 FROM levels""",
     "hour_profile": f"""{R},
 probs AS (
@@ -437,7 +462,7 @@ tagged AS (
   FROM readings),
 counts AS (SELECT set, congestion_level, count(*) AS n FROM tagged GROUP BY ALL),
 shares AS (SELECT *, n / (sum(n) OVER (PARTITION BY set))::DOUBLE AS s FROM counts)
-SELECT set, congestion_level, {case("congestion_level", codes.LEVEL_LABELS)} AS label_text, n,
+SELECT set, congestion_level, {case("congestion_level", LABELS)} AS label_text, n,
        {r6("s", "share")}, {r6("s * 100", "percent")}
 FROM shares""",
     "class_weights": f"""{R},
@@ -512,7 +537,7 @@ filled AS (
 SELECT id, speed AS avg_speed_kmh, speed AS speed_lag1h, speed AS speed_lag24h,
        speed AS speed_rolling3h, coalesce(nullif(vehicle_count, 0), 300) AS vehicle_count,
        CAST(is_holiday AS INT) AS is_holiday,
-       coalesce({case("weather_condition", codes.WEATHER_CODES)}, 0) AS weather_encoded
+       coalesce({case("weather_condition", WEATHER)}, 0) AS weather_encoded
 FROM filled""",
     "score_isolation": f"""{R},{CHECKED}
 SELECT id, nullif(errors, '') AS error, errors = '' AS has_level, errors = '' AS level_fits,

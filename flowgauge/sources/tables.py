@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowgauge.operators.cleaning import fill_defaults
-from flowgauge.operators.quality import keep_first
+from flowgauge.operators.quality import duplicate_keys, keep_first, null_violations
 from flowgauge.sources import schemas
 
 
@@ -87,6 +87,16 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return fill_defaults(df.select(*columns), schemas.DEFAULTS.get(table, {}))
 
 
+def table_violations(df: DataFrame, table: str) -> DataFrame:
+    """(check_name, n_violations) of a base table's required columns and unique keys."""
+    found = null_violations(df, schemas.REQUIRED[table])
+    found = found.select(F.concat("check_name", F.lit(" is required")).alias("check_name"), "n_violations")
+    for name in schemas.UNIQUE.get(table, []):
+        repeated = duplicate_keys(df, [name]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_violations"))
+        found = found.unionByName(repeated.select(F.lit(f"{name} is unique").alias("check_name"), "n_violations"))
+    return found
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -218,6 +218,13 @@ def test_null_keys_load_once(spark, tmp_path):
         assert {tuple(r) for r in rows} == {(None, 1), (None, 2), ("a", 2)}
 
 
+def test_violations_of_base_tables(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", None), (None, "z")]
+    segments = spark.createDataFrame(rows, "segment_id string, street_name string")
+    found = {r.check_name: r.n_violations for r in tables.table_violations(segments, "road_segments").collect()}
+    assert found == {"segment_id is required": 1, "street_name is required": 1, "segment_id is unique": 2}
+
+
 def test_other_errors_are_not_taken_for_a_missing_table(spark, tmp_path):
     (tmp_path / "t.parquet").write_text("not parquet")
     with pytest.raises(Exception):
