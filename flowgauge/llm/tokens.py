@@ -11,7 +11,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 import tokenizers  # noqa: E402
 
 #: Pieces of text whose ids one Python worker remembers; later ones are encoded each time.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 #: A stop or comma between a letter and a blank.
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
 _OPEN: dict[str, WordIds] = {}
