@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor cannot shorten.
 
 The patterns find assignments to password-like names, access keys and long
-hexadecimal strings. Beyond them, a string with letters and digits that
-follows a sensitive word is a candidate. Its novelty is what it adds to the
+hexadecimal strings. Beyond them, a string with letters that follows a
+sensitive word is a candidate, also right after the ``=`` of an unquoted
+assignment. Its novelty is what it adds to the
 compressed size of its surroundings: zstandard, primed with a dictionary of
 common identifiers, compresses the text before it without and with the
 candidate. Names, paths and repeated values add little; a key adds nearly its
@@ -12,7 +13,11 @@ own length.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
+from collections.abc import Iterator
+from itertools import pairwise
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -31,15 +36,18 @@ ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 8, 16, 32
 
 _NAMES = ("password", "passwd", "secret", "token", "api")
 
-#: A string with a digit in it, and what stands before it in a sensitive context.
-_CANDIDATE = re.compile(
-    r"(?<![A-Za-z0-9+/_.=~$-])(?=[A-Za-z+/_.=~$-]*[0-9])[A-Za-z0-9+/_.=~$-]{12,}"
-)
+#: A run that holds candidates, an inner ``=`` with what follows it, and what stands before a candidate in a sensitive context.
+_RUN = re.compile(r"[A-Za-z0-9+/_.=~$-]{12,}")
+_INNER = re.compile(r"=+(?=[^=])")
 _SENSITIVE = re.compile(
     r"(?:passphrase|pass|pwd|credentials?|private|secret|token|auth|bearer|signature|access|client|session|cookie|key|salt|hmac|jwt|oauth)"
     r"[A-Za-z0-9_]*[\"']?\x20*(?:[:=]|=>|\x20is\x20|\x20)[\x20\"'`(\[]*$",
     re.ASCII | re.IGNORECASE,
 )
+#: Characters of a candidate.
+LEAST_CHARS = 12
+#: Characters of a run that are measured again from each of its starts; a longer rest only from the first.
+REST = 4096
 #: Characters before a candidate in which the sensitive word must stand.
 REACH = 48
 #: Characters before a candidate that count as its surroundings.
@@ -83,6 +91,24 @@ def _compressor() -> zstandard.ZstdCompressor:
     return _TOOLS[0]
 
 
+def _pair_bits() -> dict[str, float]:
+    """Bits by which a pair of letters is likelier in identifiers than among 27 equal signs."""
+    words = f" {' '.join(re.findall('[a-z]+', IDENTIFIERS.lower()))} "
+    pairs, firsts = Counter(map("".join, pairwise(words))), Counter(words)
+    signs = " abcdefghijklmnopqrstuvwxyz"
+    return {a + b: math.log2((pairs[a + b] + 0.5) / (firsts[a] + 13.5) * 27) for a in signs for b in signs}
+
+
+_PAIR_BITS = _pair_bits()
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z][a-z]{2})|[^A-Za-z]+")
+
+
+def like_words(value: str) -> bool:
+    """Whether the letter pairs of ``value`` are those of words rather than of equally likely letters."""
+    said = f" {_CAMEL.sub(' ', value).strip().lower()} "
+    return sum(_PAIR_BITS[a + b] for a, b in pairwise(said)) > 0
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the fixed patterns: leftmost matches that don't overlap, then those long enough."""
     low, found = text.lower(), []
@@ -102,17 +128,35 @@ def novelty(before: str, candidate: str) -> float:
     return (len(compress(context + candidate.encode())) - len(compress(context))) / len(candidate)
 
 
+def candidates(text: str, run_start: int, run_end: int) -> Iterator[tuple[int, int]]:
+    """Parts of a run that follow a sensitive word: from its start or an inner ``=``, to its end or the next ``=``."""
+    inner = [(m.start(), m.end()) for m in _INNER.finditer(text, run_start, run_end)]
+    starts = [run_start] + [after for _, after in inner]
+    ends = [at for at, _ in inner] + [run_end]
+    first = True
+    for start, end in zip(starts, ends):
+        if run_end - start >= LEAST_CHARS and _SENSITIVE.search(text, max(0, start - REACH), start):
+            if first or run_end - start <= REST:
+                yield start, run_end
+            if LEAST_CHARS <= end - start < run_end - start:
+                yield start, end
+            first = False
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], least: float = NOVELTY) -> list[tuple[int, int, str]]:
     """Candidates after a sensitive word that lie outside ``taken`` and add ``least`` of their length."""
     found = []
-    for m in _CANDIDATE.finditer(text):
-        start, end, value = m.start(), m.end(), m[0]
-        if not any(c.isalpha() for c in value) or any(a < end and start < b for a, b, _ in taken):
-            continue
-        if not _SENSITIVE.search(text, max(0, start - REACH), start):
-            continue
-        if novelty(text[max(0, start - SURROUNDINGS) : start], value) >= least:
-            found.append((start, end, "novel"))
+    for m in _RUN.finditer(text):
+        done = m.start()
+        for start, end in candidates(text, *m.span()):
+            value = text[start:end]
+            if start < done or not any(c.isalpha() for c in value) or any(a < end and start < b for a, b, _ in taken):
+                continue
+            if not any(c.isdigit() for c in value) and like_words(value):
+                continue
+            if novelty(text[max(0, start - SURROUNDINGS) : start], value) >= least:
+                found.append((start, end, "novel"))
+                done = end
     return found
 
 
