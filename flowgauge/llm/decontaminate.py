@@ -16,9 +16,10 @@ matched windows are shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.llm.common import text_key, whole_text, without
@@ -30,7 +31,7 @@ SHARE = 0.8
 PLAIN_WORDS = 2
 #: Rows of the items' windows that are broadcast at once (about 100 bytes each).
 BLOCK_ROWS = 250_000
-_NAME, _NUMBER, _UNIT, _POINT = "\x01", "\x02", "\x03", "\x04"
+_NAME, _NUMBER, _UNIT, _POINT, _FIRST = "\x01", "\x02", "\x03", "\x04", "\x05"
 #: Words that are a unit if they follow a number.
 UNITS = (
     "mm cm m km ft in inch inches yd mi mile miles g mg kg lb lbs oz ton tons l ml litre litres liter liters gallon "
@@ -40,77 +41,206 @@ UNITS = (
 
 
 def marked_words(text: Column) -> Column:
-    """Template words in order; a placeholder is its type's mark and then the value."""
+    """Words in order: numbers, units and capitalised words bear a mark and are lowered like all others."""
     text = F.regexp_replace(text, r" (?<=[\p{Ll}\p{N},;:] )(\p{Lu}\p{Ll}+)", f" {_NAME}$1")
+    text = F.regexp_replace(text, rf"\p{{Lu}}(?=\p{{Ll}})(?<![\p{{L}}\p{{N}}{_NAME}].)", f"{_FIRST}$0")
     text = F.regexp_replace(F.lower(text), r"[.,](?<=\p{Nd}.)(?=\p{Nd})", _POINT)
     text = F.regexp_replace(text, rf"[\p{{Nd}}{_POINT}]+", f" {_NUMBER}$0 ")
-    text = F.regexp_replace(text, rf" (?<=\p{{Nd}} ) *({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1 ")
-    text = F.trim(F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{_NAME}-{_POINT}]+", " "))
+    text = F.regexp_replace(text, rf" (?<=\p{{Nd}} ) *{_FIRST}?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1 ")
+    text = F.trim(F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{_NAME}-{_FIRST}]+", " "))
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
 def is_slot(word: Column) -> Column:
-    return word < "\x05"
+    return word < _FIRST
 
 
-def word_hashes(words: Column) -> Column:
-    """A hash per template word, which for a placeholder is that of its type."""
-    return F.transform(words, lambda w: F.xxhash64(F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
+def bare(word: Column) -> Column:
+    """A word without its mark."""
+    return F.when(word < "\x06", F.substring(word, 2, 1 << 20)).otherwise(word)
 
 
-def window_hashes(hashes: Column, size: int) -> Column:
-    """A hash per window; fewer words than a window are one window, and no words none."""
-    n = F.size(hashes)
-    starts = F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1)))
-    windows = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, size)))
-    return F.when(n > 0, windows)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where it's used inside a lambda."""
+    return F.transform(F.array(value), body)[0]
 
 
-def windows(table: DataFrame, *keys: Column, size: int = WINDOW_WORDS) -> DataFrame:
-    """(keys, words, pos, hash): every window of every text; NULL counts as empty."""
+#: A word in the three forms: capitalised words are placeholders, only those inside a sentence are (numbers and units in both), none is.
+_FORMS = (
+    lambda w: F.when(w < "\x06", F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(_NAME)).otherwise(w),
+    lambda w: F.when(w < "\x06", F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(bare(w))).otherwise(w),
+    bare,
+)
+
+
+def _moved(numbers: Column, by: Column) -> Column:
+    return F.transform(numbers, lambda i: i + by)
+
+
+def window_hashes(words: Column, form: Callable[[Column], Column], starts: Column, size: int) -> Column:
+    """A hash per window that starts there; fewer words than a window are one window."""
+    hashes = F.transform(words, lambda w: F.xxhash64(form(w)))
+    return _let(hashes, lambda hashes: F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, size))))
+
+
+def filed_windows(words: Column, size: int) -> Column:
+    """(at, hash) of every window in the first form, and of those that the second and the third one change.
+
+    ``at`` is the window's place plus the number of windows times the form.
+    """
+    n = F.greatest(F.size(words) - size + 1, F.lit(1))
+
+    def around(places: Column) -> Column:
+        """The windows that hold one of the words."""
+        near = F.transform(places, lambda j: F.sequence(F.greatest(j - size + 1, F.lit(0)), F.least(j, n - 1)))
+        return F.array_distinct(F.flatten(near))
+
+    def filed(marked: Column) -> Column:
+        first = around(F.filter(marked, lambda j: ~is_slot(F.get(words, j))))
+        slots = around(F.filter(marked, lambda j: is_slot(F.get(words, j))))
+        return _let(first, lambda first: _let(slots, lambda slots: joined((F.sequence(F.lit(0), n - 1), first, slots))))
+
+    def joined(starts: tuple[Column, ...]) -> Column:
+        at = F.concat(*[_moved(s, n * k) for k, s in enumerate(starts)])
+        hashes = F.concat(*[window_hashes(words, form, s, size) for form, s in zip(_FORMS, starts)])
+        return F.struct(at.alias("at"), hashes.alias("hash"))
+
+    marked = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda j: F.get(words, j) < "\x06")
+    return F.when(F.size(words) > 0, _let(marked, filed))
+
+
+def windows(table: DataFrame, *keys: str, size: int = WINDOW_WORDS) -> DataFrame:
+    """(keys, words, pos, form, hash): every window of every text in its forms; NULL counts as empty."""
     rows = table.select(*keys, marked_words(whole_text()).alias("words"))
-    rows = rows.withColumn("hashes", word_hashes(F.col("words")))
-    rows = rows.withColumn("windows", F.when(F.size("hashes") > 0, window_hashes(F.col("hashes"), size)))
+    rows = rows.select("*", filed_windows(F.col("words"), size).alias("filed"))
     # the outer form: an inner explode would compute the windows twice, once to filter on them
-    return rows.select(*rows.columns[: len(keys)], "words", F.posexplode_outer("windows").alias("pos", "hash"))
+    rows = rows.select(*keys, "words", F.col("filed.at").alias("places"), F.posexplode_outer("filed.hash").alias("at", "hash"))
+    n, at = F.greatest(F.size("words") - size + 1, F.lit(1)), F.get("places", F.col("at"))
+    return rows.select(*keys, "words", F.pmod(at, n).alias("pos"), F.floor(at / n).alias("form"), "hash")
+
+
+def hash_before(size: int) -> Column:
+    """The hash of the window before, in the same form; NULL for the first.
+
+    Without lambdas: in a join's condition they would end the generated code,
+    and every window of a text would be kept with a copy of its words.
+    """
+    part = [F.get("words", F.col("pos") - 1 + k) for k in range(size)]
+    capital, placed, plain = (F.xxhash64(F.array(*[F.xxhash64(form(w)) for w in part])) for form in _FORMS)
+    form = F.col("form")
+    return F.when(F.col("pos") > 0, F.when(form == 0, capital).when(form == 1, placed).otherwise(plain))
 
 
-def item_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """(item_id, n_windows, ipos, hash, part, strict) of every item; equal rows of one item count once."""
-    items = benchmark.select("item_id", "text").distinct()
-    found = windows(items, F.col("item_id"), size=size).filter("hash IS NOT NULL")
+def item_words(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(item_id, item_key, text, mine, n_windows, needed) of every item; equal rows of one item count once.
+
+    ``mine`` is (word, kind, key) of every word: kind is the mark of a slot or
+    empty, and words with one key must have one value. A word seen capitalised
+    inside a sentence is a name wherever it stands. A number is told apart by
+    the unit after it. ``needed`` plain words make a window match by template.
+    """
+    items = benchmark.select("item_id", "text").distinct().filter(F.size(marked_words(whole_text())) > 0)
+    items = items.select("item_id", text_key().alias("item_key"), "text", marked_words(whole_text()).alias("words"))
+
+    def described(words: Column, names: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            kind = F.when(w.startswith(_NUMBER) | w.startswith(_UNIT), F.substring(w, 1, 1))
+            kind = kind.when(F.array_contains(names, bare(w)), _NAME).otherwise("")
+            unit = F.when(w.startswith(_NUMBER) & F.get(words, i + 1).startswith(_UNIT), F.get(words, i + 1))
+            key = F.when(kind != "", F.concat(kind, bare(w), F.coalesce(unit, F.lit(""))))
+            return F.struct(bare(w).alias("word"), kind.alias("kind"), key.alias("key"))
+
+        return F.transform(words, one)
+
+    names = F.transform(F.filter("words", lambda w: w.startswith(_NAME)), bare)
+    items = items.select("item_id", "item_key", "text", _let(names, lambda x: described(F.col("words"), x)).alias("mine"))
+    n = F.greatest(F.size("mine") - size + 1, F.lit(1))
+    plain = F.transform(F.sequence(F.lit(1), n), lambda i: _plain_words(F.slice("mine", i, size)))
+    least = F.least(F.lit(PLAIN_WORDS), F.size("mine"))
+    return items.select("*", n.alias("n_windows"), F.when(F.array_max(plain) >= least, least).otherwise(1).alias("needed"))
+
+
+def _plain_words(part: Column) -> Column:
+    return F.size(F.filter(part, lambda m: m["key"].isNull()))
+
+
+def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(item_id, item_key, ipos, hash, before) of the windows that documents are matched with."""
+    found = windows(items, "item_id", "item_key", "needed", size=size)
     part = F.slice("words", F.col("pos") + 1, size)
-    strict = F.size(F.filter(part, lambda w: ~is_slot(w))) < F.least(F.lit(PLAIN_WORDS), F.size(part))
-    n = F.greatest(F.size("words") - size + 1, F.lit(1))
-    return found.select("item_id", n.alias("n_windows"), F.col("pos").alias("ipos"), "hash", part.alias("part"), strict.alias("strict"))
+    edge = F.when(F.col("form") == 0, "\x06").otherwise(_FIRST)
+    plain = (F.col("form") == 2) | (F.size(F.filter(part, lambda w: w >= edge)) >= F.col("needed"))
+    found = found.withColumn("plain", plain).filter("plain AND hash IS NOT NULL")
+    ways = found.select("item_id", "item_key", F.col("pos").alias("ipos"), "hash", hash_before(size).alias("before"))
+    filed = Window.partitionBy("item_id", "item_key").orderBy("ipos").rangeBetween(-1, -1)
+    hit = F.array_contains(F.collect_set("hash").over(filed), F.col("before"))
+    return ways.withColumn("before", F.when(hit, F.col("before")))
+
+
+def matches(docs: DataFrame, items: DataFrame, parts: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """Places of documents that match one block of items: (doc_id, text_key, item_id, n_windows, ipos).
+
+    The first of matching windows in a row leads to the alignment, on which
+    the item and the document are compared word by word.
+    """
+    docs = docs.select("doc_id", text_key().alias("text_key"), "text")
+    found = windows(docs, "doc_id", "text_key", size=size).join(F.broadcast(items), "hash")
+    found = found.filter((F.col("pos") == 0) | F.col("before").isNull() | (F.col("before") != hash_before(size)))
+    found = found.join(F.broadcast(parts.drop("item_id", "text").dropDuplicates(["item_key"])), "item_key")
+    shift = F.col("pos") - F.col("ipos")
+    places = covered(F.col("mine"), F.col("words"), shift, F.col("n_windows"), F.col("needed"), size)
+    # the outer form here too: the inner one would compare twice
+    found = found.select("doc_id", "text_key", "item_id", "n_windows", F.explode_outer(places).alias("ipos"))
+    return found.filter("ipos IS NOT NULL")
+
+
+def covered(mine: Column, words: Column, shift: Column, n: Column, needed: Column, size: int) -> Column:
+    """Windows of an item that an alignment covers, by position.
+
+    A window counts if it's the same word by word. If one with ``needed``
+    plain words is consistent, so does every consistent one: its plain words
+    are the same, and its slots hold the value that the most places of the
+    alignment give to the item's value (its own, if as many do).
+    """
+
+    def spot(m: Column, i: Column) -> Column:
+        word = F.get(words, i + shift)
+        literal = F.coalesce(bare(word) == m["word"], F.lit(False))
+        number, unit = word.startswith(_NUMBER), word.startswith(_UNIT)
+        fits = F.when(m["kind"] == _NUMBER, number).when(m["kind"] == _UNIT, unit).when(m["kind"] == _NAME, ~number & ~unit)
+        fits = F.coalesce(fits, F.lit(False)) | literal
+        return F.struct(m["key"].alias("key"), bare(word).alias("value"), literal.alias("literal"), fits.alias("fits"))
 
+    def votes(spots: Column) -> Column:
+        """(places, whether the item's own, value, key) of every value of a slot."""
+        pairs = F.filter(spots, lambda s: s["key"].isNotNull() & s["fits"])
+        count = lambda pairs, p: F.size(F.filter(pairs, lambda q: q == p))
+        return _let(pairs, lambda pairs: F.transform(
+            F.array_distinct(pairs), lambda p: F.struct(count(pairs, p).alias("n"), p["literal"], p["value"], p["key"].alias("key"))
+        ))
 
-def _slots(item_part: Column, doc_part: Column) -> Column:
-    """(value in the item, value in the document) of every placeholder of a window."""
-    pairs = F.arrays_zip(item_part.alias("mine"), doc_part.alias("theirs"))
-    return F.filter(pairs, lambda p: is_slot(p["mine"]))
+    def judged(spots: Column, votes: Column) -> Column:
+        def one(s: Column) -> Column:
+            best = F.array_max(F.filter(votes, lambda v: v["key"] == s["key"]))["value"]
+            agrees = s["fits"] & (s["key"].isNull() | F.coalesce(best == s["value"], F.lit(False)))
+            return F.struct(s["key"].alias("key"), s["literal"].alias("literal"), agrees.alias("agrees"))
 
+        return F.transform(spots, one)
 
-def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Matched windows of documents with one block of items: (doc_id, text_key, item_id, n_windows, shift, ipos, slots)."""
-    found = windows(docs, F.col("doc_id"), text_key().alias("text_key"), size=size).join(F.broadcast(items), "hash")
-    theirs = F.slice("words", F.col("pos") + 1, size)
-    found = found.filter(~F.col("strict") | (F.col("part") == theirs))
-    return found.select(
-        "doc_id", "text_key", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos",
-        _slots(F.col("part"), theirs).alias("slots"),
-    )
+    def window(spots: Column, i: Column) -> Column:
+        part = F.slice(spots, i + 1, size)
+        agrees = F.forall(part, lambda s: s["agrees"])
+        return F.struct(
+            i.alias("i"), F.forall(part, lambda s: s["literal"]).alias("literal"), agrees.alias("agrees"),
+            (agrees & (_plain_words(part) >= needed)).alias("leads"),
+        )
 
+    def places(all_: Column) -> Column:
+        led = F.exists(all_, lambda w: w["leads"])
+        return _let(led, lambda led: F.transform(F.filter(all_, lambda w: w["literal"] | (led & w["agrees"])), lambda w: w["i"]))
 
-def consistent(found: DataFrame) -> DataFrame:
-    """Windows of the alignments whose slots map one to one: (doc_id, text_key, item_id, n_windows, ipos)."""
-    pairs = F.array_distinct(F.flatten(F.collect_set("slots")))
-    lines = found.groupBy("doc_id", "text_key", "item_id", "n_windows", "shift").agg(
-        F.collect_set("ipos").alias("places"), pairs.alias("pairs")
-    )  # no more than an item's windows in either
-    n = F.size("pairs")
-    one_to_one = (F.size(F.array_distinct("pairs.mine")) == n) & (F.size(F.array_distinct("pairs.theirs")) == n)
-    return lines.filter(one_to_one).select(*lines.columns[:4], F.explode("places").alias("ipos"))
+    spots = _let(F.transform(mine, spot), lambda s: _let(votes(s), lambda v: judged(s, v)))
+    return _let(spots, lambda s: _let(F.transform(F.sequence(F.lit(0), n - 1), lambda i: window(s, i)), places))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: float = SHARE) -> DataFrame:
@@ -123,12 +253,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share
     texts, they count as one where they have equally many windows. Other
     columns are not read.
     """
-    items = settle(item_windows(benchmark, size))
+    parts = settle(item_words(benchmark, size))
+    items = settle(item_windows(parts, size))
     blocks = max(1, -(-items.count() // BLOCK_ROWS))
-    of_block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    found = [matches(docs, items.filter(of_block == b), size) for b in range(blocks)]
-    covered = consistent(reduce(DataFrame.unionByName, found)).groupBy("doc_id", "text_key", "item_id", "n_windows")
-    n = covered.agg(F.count_distinct("ipos").alias("n_found"))
+    of_block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)) if blocks > 1 else F.lit(0)
+    found = [matches(docs, items.filter(of_block == b), parts.filter(of_block == b), size) for b in range(blocks)]
+    places = reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_key", "item_id", "n_windows")
+    n = places.agg(F.count_distinct("ipos").alias("n_found"))
     part = F.col("n_found") / F.col("n_windows")
     return n.withColumn("share", part).filter(F.col("n_found") >= F.ceil(F.col("n_windows") * share - 1e-9))
 

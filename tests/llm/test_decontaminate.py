@@ -138,3 +138,16 @@ def test_against_brute_force(spark, sf_dir):
     wanted = brute_leaks(rows + made, item_rows)
     assert set(rows_of(decontaminate.leaks(both, items), "doc_id", "item_id", "n_windows", "n_found")) == wanted
     assert {i for i, *_ in wanted} >= {i for i, _ in made}
+
+
+APPLES = "Alice has 3 apples. Alice buys 4 more apples than Bob. How many apples does Alice have now?"
+SUM = "What is 23 + 45 + 67 + 89 + 12 and 34?"
+NOUNS = "Der alte Mann kauft im Laden drei Brote und trägt die Taschen mit dem Hund nach Hause zur Familie."
+
+
+def test_names_and_numbers_wherever_they_stand(make, spark):
+    items = spark.createDataFrame([(1, APPLES), (2, SUM), (3, NOUNS), (4, "1 2 3 4 5 6 7 8")], "item_id bigint, text string")
+    changed = APPLES.replace("Alice", "Maria").replace("Bob", "Peter").replace("3", "8").replace("4", "15")
+    texts = [changed, f"{FILLER} {changed}", changed.lower(), APPLES.upper(), NOUNS.lower(), NOUNS.upper(),
+             "What is 71 + 82 + 93 + 14 + 25 and 36?", "1 2 3 4 5 91 92 93", FILLER]
+    assert found(make, items, texts) == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 3), (5, 3), (6, 2)}
