@@ -151,3 +151,20 @@ def test_names_and_numbers_wherever_they_stand(make, spark):
     texts = [changed, f"{FILLER} {changed}", changed.lower(), APPLES.upper(), NOUNS.lower(), NOUNS.upper(),
              "What is 71 + 82 + 93 + 14 + 25 and 36?", "1 2 3 4 5 91 92 93", FILLER]
     assert found(make, items, texts) == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 3), (5, 3), (6, 2)}
+
+
+def test_slots_that_disagree_cost_only_their_windows(make, spark):
+    items = spark.createDataFrame([(1, QUESTION), (2, TRAVEL), (3, PAY)], "item_id bigint, text string")
+    one_altered = QUESTION.replace("gave 12", "gave 13")  # 5 of 24 windows differ, the others are the same
+    coincide = QUESTION.replace("12", "5").replace("30", "5").replace("7", "5")
+    rows = {r.doc_id: r for r in decontaminate.leaks(make(list(enumerate([one_altered, coincide, TRAVEL_2, PAY_2]))), items).collect()}
+    assert {(i, r.item_id, r.n_found) for i, r in rows.items()} == {(1, 1, 24), (2, 2, rows[2].n_windows), (3, 3, rows[3].n_windows - 5)}
+
+
+TRAVEL = "The red train needs 60 km in 60 minutes and then it waits until the next signal shows green."
+TRAVEL_2 = TRAVEL.replace("60 km", "90 km").replace("60 minutes", "45 minutes")
+PAY = (
+    "A man pays 12 coins for bread at the old market and walks home with his dog along the river until he meets his "
+    "neighbour who gave him 12 pears and a basket of nuts from the garden behind the small white house."
+)
+PAY_2 = PAY.replace("12 pears", "13 pears")
