@@ -63,6 +63,15 @@ def test_packing_is_nearly_full():
     assert sum(times for _, times in packed) <= 1.001 * lengths.sum() / 4096 + 1
 
 
+@pytest.mark.parametrize("histogram,capacity,optimum", [
+    ({2066: 6000, 1063: 6000, 1043: 6000, 983: 12000}, 4096, 9000),  # no filling reaches 99.95 %
+    ({2066: 60000, 1063: 60000, 1043: 60000, 983: 120000}, 4096, 90000),
+])
+def test_few_lengths_against_the_optimum(histogram, capacity, optimum):
+    packed = configurations.pack(histogram, capacity)
+    assert sum(times for _, times in packed) <= 1.002 * optimum
+
+
 def test_fractional_solution_covers_no_more_than_there_is():
     sizes, counts = np.array([7, 5, 4, 3]), np.array([10, 20, 30, 40])
     covered = Counter()
