@@ -7,7 +7,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts, toxicity, url_filter
+from flowgauge.llm import (
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    packing,
+    quality,
+    secrets,
+    setsketch,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from flowgauge.llm.common import ship, table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -116,3 +128,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
