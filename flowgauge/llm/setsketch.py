@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.llm.bloom import bit_table
-from flowgauge.llm.common import per_row, text_bytes, text_key, values
+from flowgauge.llm.common import text_bytes, text_key, values
 from flowgauge.llm.components import components
 from flowgauge.llm.joins import counted_join, spread_join
 from flowgauge.llm.words import WordHashes, followed_by, mix
@@ -52,7 +52,7 @@ MARGIN = 6.0
 HUBS = 2
 _ONE_WORD = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0xD1342543DE82EF95)
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17
 
 
 def shingle_set(text: bytes, hashes: WordHashes, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -137,10 +137,11 @@ def likely_similarity(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray,
 
 
 def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class binary, bands array) of every row.
+    """(doc_id, text_key, n_shingles, class binary, bands array, bits array) of every row.
 
-    ``class`` is a 128-bit hash of the set, and ``bands`` are the registers,
-    four to a bigint; both are NULL for texts without words.
+    ``class`` is a 128-bit hash of the set, ``bands`` are the registers, four
+    to a bigint, and ``bits`` their last bits, 64 to a bigint; all are NULL for
+    texts without words.
     """
     rows = docs.select("doc_id", text_key().alias("text_key"), text_bytes().alias("text"))
     out = T.StructType(
@@ -150,6 +151,7 @@ def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
             T.StructField("n_shingles", T.LongType()),
             T.StructField("class", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("bits", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -161,10 +163,19 @@ def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
             owner = np.repeat(np.arange(len(sets)), sizes)
             registers = sketches(np.concatenate(sets) if sets else np.empty(0, np.uint64), owner, len(sets))
             bands = [None if not n else r for n, r in zip(sizes, registers.view("<i8"))]
+            last = np.packbits((registers & 1).astype(np.uint8), axis=1).view("<i8")
+            bits = [None if not n else r for n, r in zip(sizes, last)]
             classes = [None if not len(s) else xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             return pa.RecordBatch.from_arrays(
-                [ids, keys, pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "n_shingles", "class", "bands"],
+                [
+                    ids,
+                    keys,
+                    pa.array(sizes, pa.int64()),
+                    pa.array(classes, pa.binary()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bits, pa.list_(pa.int64())),
+                ],
+                names=out.names,
             )
 
         for batch in batches:
@@ -188,22 +199,19 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle_words:
     A bit table of the wanted rows keeps most other texts from being moved.
     """
     named = settle(classes.join(wanted.hint("merge"), "node", "left_semi").select("node", "rep.doc_id", "rep.text_key"))
-    same = [F.xxhash64("doc_id", "text_key")]
-    table = docs.sparkSession.sparkContext.broadcast(bit_table(named.select(same[0].alias("h"))))
+    wanted_rows = bit_table(named.select(F.xxhash64("doc_id", "text_key").alias("h")))
+    table = docs.sparkSession.sparkContext.broadcast(wanted_rows)
     rows = docs.select("doc_id", text_key().alias("text_key"), text_bytes().alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("doc_id", "text_key"))
+    out = T.StructType([*rows.schema.fields[:2], T.StructField("items", T.BinaryType())])
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            yield batch.filter(pa.array(table.value.may_hold(batch.column(3).to_numpy().view(np.uint64))))
-
-    rows = rows.mapInArrow(likely, rows.schema).drop("h")
-    hashes = WordHashes()
+            batch = batch.filter(pa.array(table.value.may_hold(batch.column(3).to_numpy().view(np.uint64))))
+            found = [shingle_set(text, hashes, shingle_words).tobytes() for text in values(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], names=out.names)
 
-    def items(text):
-        return (shingle_set(text, hashes, shingle_words).tobytes(),)
-
-    sets = settle(per_row(rows, items, "items binary", ["doc_id", "text_key"]))
+    sets = settle(rows.withColumn("h", F.xxhash64("doc_id", "text_key")).mapInArrow(run, out))
     left, right = sets.alias("s"), named.hint("merge").alias("n")
     same_row = F.col("s.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("s.text_key") == F.col("n.text_key"))
     # rows may repeat, their sets are equal
@@ -241,13 +249,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = spread_join(pairs, sets.toDF("a", "items_a"), "a")
     pairs = spread_join(settle(pairs), sets.toDF("b", "items_b"), "b")
 
-    def similar(x, y):
-        x, y = (np.frombuffer(s, dtype=np.uint64) for s in ((x, y) if len(x) <= len(y) else (y, x)))
-        both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-        return (100 * both >= percent * (len(x) + len(y) - both),)
+    def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+        for start, end in zip(ends[:-1], ends[1:]):
+            yield np.frombuffer(data, dtype="V8", count=(end - start) // 8, offset=start).view(np.uint64)
 
-    pairs = pairs.select("a", "b", "items_a", "items_b")
-    return per_row(pairs, similar, "similar boolean", ["a", "b"]).filter("similar").select("a", "b")
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            good = []
+            for x, y in zip(sets_of(batch.column(2)), sets_of(batch.column(3))):
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
+
+    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(similar, "a bigint, b bigint")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -269,12 +288,15 @@ def _hubs(shared: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _across(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every pair of one bucket in different components, each once: (a, b).
+def _across(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Every pair of one bucket in different components that may be similar enough, each once: (a, b).
 
     The members of a bucket's largest component are not paired with each
     other; each other member meets all those of other components. A bucket's
-    members are dealt over as many copies of the key as it has hundreds.
+    members are dealt over as many copies of the key as it has hundreds. Two
+    sets may be similar if their sizes allow it, and if the last bits of their
+    registers (128, half of them equal where registers differ) don't differ in
+    more than the margin above the number expected at the threshold.
     """
     labelled = settle(shared.join(labels.hint("merge"), "node"))
     parts = labelled.groupBy("t", "key", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -284,12 +306,20 @@ def _across(shared: DataFrame, labels: DataFrame) -> DataFrame:
     mixed = settle(buckets.filter("roots > 1").drop("roots"))
     rows = settle(counted_join(labelled, mixed, ["t", "key"], "n").withColumn("copies", F.ceil(F.col("n") / F.lit(100))))
     every = rows.withColumn("copy", F.pmod(F.xxhash64("node"), "copies"))
-    every = every.select("t", "key", "copy", F.col("node").alias("y"), F.col("root").alias("y_root"), "major")
+    every = every.select("t", "key", "copy", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n_items", "bits")], "major")
     minor = rows.filter("root != major").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
-    minor = minor.select("t", "key", "copy", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    met = minor.join(every, ["t", "key", "copy"]).filter((F.col("x_root") != F.col("y_root")))
-    met = met.filter((F.col("y_root") == F.col("major")) | (F.col("x") < F.col("y")))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    minor = minor.select("t", "key", "copy", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n_items", "bits")])
+    apart = (1 - percent / 100) / 2
+    most = int(REGISTERS * apart + MARGIN * (REGISTERS * apart * (1 - apart)) ** 0.5)
+    differ = [F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS // 64)]
+    sizes = F.least("x_n_items", "y_n_items") * 100 >= F.greatest("x_n_items", "y_n_items") * percent
+    met = minor.join(every, ["t", "key", "copy"]).filter(
+        (F.col("x_root") != F.col("y_root"))
+        & ((F.col("y_root") == F.col("major")) | (F.col("x_node") < F.col("y_node")))
+        & sizes
+        & (sum(differ[1:], differ[0]) <= most)
+    )
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -310,6 +340,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         F.min(F.struct("doc_id", "text_key")).alias("rep"),
         F.any_value("n_shingles").alias("n"),
         F.any_value("bands").alias("bands"),
+        F.any_value("bits").alias("bits"),
         F.count(F.lit(1)).alias("rows"),
     )
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -324,7 +355,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     sets = settle(_sets(docs, classes, _ends(likely), shingle_words))
     links = settle(_confirmed(likely, sets, percent))
 
-    rest = _across(shared, _labels(nodes, links))
+    labels = _labels(classes.select("node", F.col("n").alias("n_items"), "bits"), links)
+    rest = _across(shared, labels, percent)
     rest = settle(rest.join(met.hint("merge"), ["a", "b"], "left_anti"))
     likely = settle(_likely(rest, classes, percent))
     if not likely.isEmpty():
@@ -336,7 +368,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     placed = settle(classes.select("class", "node", "least", "rows").join(roots.hint("merge"), "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = settle(placed.join(ids.hint("merge"), "root").select("class", "component_id", "rows"))
-    found = counted_join(own.drop("bands"), of_class, ["class"], "rows", "left")
+    found = counted_join(own.drop("bands", "bits"), of_class, ["class"], "rows", "left")
     # a text without words is alone, whoever else has none
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(False))
