@@ -18,9 +18,12 @@ with the known set sizes; what lies more than six deviations below the
 threshold goes, and the rest is confirmed on the full sets.
 
 Equal sets are one class, and only classes are compared. In a band's bucket,
-classes are not paired with each other: all of them meet two hubs; then only classes that the links so far leave in different
-components are paired. So a group of copies costs about as much as its rows,
-and no pair that could connect two components is left out.
+classes are not paired with each other: first all of them meet two hubs. Only
+buckets that the links so far leave in several components are looked at again,
+in cells of bounded blocks: a cell compares the registers and then the sets of
+its members inside one task, and gives out links that connect what is to be
+connected, never its pairs. No pair that could connect two components is left
+out.
 """
 
 from __future__ import annotations
@@ -30,9 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowgauge.llm.bloom import bit_table
 from flowgauge.llm.common import text_bytes, text_key, values
@@ -53,6 +57,9 @@ HUBS = 2
 _ONE_WORD = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _CHUNK = 1 << 17
+#: Members of a bucket that meet in one cell, and pairs that are looked at together.
+BLOCK = 512
+_PAIRS = 1 << 14
 
 
 def shingle_set(text: bytes, hashes: WordHashes, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -106,42 +113,64 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def likely_similarity(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity of sets of sizes ``n_a`` and ``n_b``.
-
-    ``larger`` and ``smaller`` count the registers of the first set that are
-    above and below the second's. The derivative of the log-likelihood falls
-    in the similarity, so its zero is found by halving.
-    """
-    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
+def _slope(j, larger, smaller, u, v, m: int) -> np.ndarray:
+    """Derivative, at similarity ``j``, of the log-likelihood of the register counts; ``u + v = 1`` are the relative sizes."""
     equal = m - larger - smaller
     c, log_b = (BASE - 1) / BASE, np.log(BASE)
 
     def p(x):
         return -np.log1p(-x * c) / log_b
 
-    def slope(x):  # of p
+    def rise(x):  # of p
         return c / ((1 - x * c) * log_b)
 
+    x, y = u - v * j, v - u * j
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up = np.where(larger > 0, -larger * v * rise(x) / p(x), 0.0)
+        down = np.where(smaller > 0, -smaller * u * rise(y) / p(y), 0.0)
+        same = np.where(equal > 0, equal * (v * rise(x) + u * rise(y)) / np.maximum(1 - p(x) - p(y), 1e-12), 0.0)
+    return up + down + same
+
+
+def likely_similarity(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity of sets of sizes ``n_a`` and ``n_b``.
+
+    ``larger`` and ``smaller`` count the registers of the first set that are
+    above and below the second's. The derivative of the log-likelihood falls
+    in the similarity, so its zero is found by halving.
+    """
+    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
     low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
     for _ in range(30):
         j = (low + high) / 2
-        x, y = u - v * j, v - u * j
-        with np.errstate(divide="ignore", invalid="ignore"):
-            up = np.where(larger > 0, -larger * v * slope(x) / p(x), 0.0)
-            down = np.where(smaller > 0, -smaller * u * slope(y) / p(y), 0.0)
-            same = np.where(equal > 0, equal * (v * slope(x) + u * slope(y)) / np.maximum(1 - p(x) - p(y), 1e-12), 0.0)
-        rising = up + down + same > 0
+        rising = _slope(j, larger, smaller, u, v, m) > 0
         low, high = np.where(rising, j, low), np.where(rising, high, j)
     return (low + high) / 2
 
 
+def may_be_similar(x: np.ndarray, y: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the estimate from registers ``x`` and ``y`` is at most ``MARGIN`` deviations below the threshold.
+
+    The estimate lies above a similarity if the likelihood still rises there.
+    """
+    m, least = x.shape[1], percent / 100
+    floor = max(least - MARGIN * (least * (1 - least) / m) ** 0.5, 0.01)
+    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
+    sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)  # alone they bound the similarity
+    return sizes & (_slope(floor, (x > y).sum(axis=1), (x < y).sum(axis=1), u, v, m) > 0)
+
+
+def _intersection(x: np.ndarray, y: np.ndarray) -> int:
+    """Common elements of two sorted arrays without repeats."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
 def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class binary, bands array, bits array) of every row.
+    """(doc_id, text_key, n_shingles, class binary, bands array) of every row.
 
-    ``class`` is a 128-bit hash of the set, ``bands`` are the registers, four
-    to a bigint, and ``bits`` their last bits, 64 to a bigint; all are NULL for
-    texts without words.
+    ``class`` is a 128-bit hash of the set, and ``bands`` are the registers,
+    four to a bigint; both are NULL for texts without words.
     """
     rows = docs.select("doc_id", text_key().alias("text_key"), text_bytes().alias("text"))
     out = T.StructType(
@@ -151,7 +180,6 @@ def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
             T.StructField("n_shingles", T.LongType()),
             T.StructField("class", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
-            T.StructField("bits", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -163,8 +191,6 @@ def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
             owner = np.repeat(np.arange(len(sets)), sizes)
             registers = sketches(np.concatenate(sets) if sets else np.empty(0, np.uint64), owner, len(sets))
             bands = [None if not n else r for n, r in zip(sizes, registers.view("<i8"))]
-            last = np.packbits((registers & 1).astype(np.uint8), axis=1).view("<i8")
-            bits = [None if not n else r for n, r in zip(sizes, last)]
             classes = [None if not len(s) else xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             return pa.RecordBatch.from_arrays(
                 [
@@ -173,7 +199,6 @@ def _sketched(docs: DataFrame, shingle_words: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(bits, pa.list_(pa.int64())),
                 ],
                 names=out.names,
             )
@@ -218,28 +243,30 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle_words:
     return left.join(right, same_row).select("node", "items").dropDuplicates(["node"])
 
 
+def _registers(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().view("<u2").reshape(len(column), -1)
+
+
+def _items(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sets of a binary column, without copies."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    for start, end in zip(ends[:-1], ends[1:]):
+        yield np.frombuffer(data, dtype=np.uint8, count=end - start, offset=start).view("<u8")
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of a written table whose estimate isn't far below the threshold."""
     sketch = classes.select("node", "n", "bands")
     pairs = spread_join(pairs, sketch.toDF("a", "n_a", "bands_a"), "a")
     pairs = spread_join(settle(pairs), sketch.toDF("b", "n_b", "bands_b"), "b")
-    least = percent / 100
-    floor = least - MARGIN * (least * (1 - least) / REGISTERS) ** 0.5
-
-    def registers(column: pa.Array) -> np.ndarray:
-        return column.flatten().to_numpy().view("<u2").reshape(-1, REGISTERS)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            x, y = registers(at["bands_a"]), registers(at["bands_b"])
-            n_a, n_b = (at[c].to_numpy().astype(float) for c in ("n_a", "n_b"))
-            similar = likely_similarity((x > y).sum(axis=1), (x < y).sum(axis=1), n_a, n_b, REGISTERS)
-            # the sizes alone bound the similarity
-            good = (similar >= floor) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-            yield pa.RecordBatch.from_arrays([at["a"], at["b"]], names=["a", "b"]).filter(pa.array(good))
+            if batch.num_rows:
+                n_a, n_b = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
+                good = may_be_similar(_registers(batch.column(4)), _registers(batch.column(5)), n_a, n_b, percent)
+                yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return pairs.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(keep, "a bigint, b bigint")
 
@@ -249,20 +276,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = spread_join(pairs, sets.toDF("a", "items_a"), "a")
     pairs = spread_join(settle(pairs), sets.toDF("b", "items_b"), "b")
 
-    def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
-        _, offsets, data = column.buffers()
-        ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-        for start, end in zip(ends[:-1], ends[1:]):
-            yield np.frombuffer(data, dtype="V8", count=(end - start) // 8, offset=start).view(np.uint64)
-
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             good = []
-            for x, y in zip(sets_of(batch.column(2)), sets_of(batch.column(3))):
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            for x, y in zip(_items(batch.column(2)), _items(batch.column(3))):
+                both = _intersection(x, y)
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
@@ -288,38 +308,105 @@ def _hubs(shared: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _across(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Every pair of one bucket in different components that may be similar enough, each once: (a, b).
+def _cells(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with more than one component, dealt over cells (t, key, i, j).
 
-    The members of a bucket's largest component are not paired with each
-    other; each other member meets all those of other components. A bucket's
-    members are dealt over as many copies of the key as it has hundreds. Two
-    sets may be similar if their sizes allow it, and if the last bits of their
-    registers (128, half of them equal where registers differ) don't differ in
-    more than the margin above the number expected at the threshold.
+    The members of a bucket's largest component need not meet each other; the
+    others ("minor") meet all. So minor ones are dealt over rows ``i`` and all
+    members over columns ``j`` of a grid of blocks, and a cell holds one block
+    of each, however many members a bucket has.
     """
     labelled = settle(shared.join(labels.hint("merge"), "node"))
     parts = labelled.groupBy("t", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    buckets = parts.groupBy("t", "key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("major"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")
-    )
-    mixed = settle(buckets.filter("roots > 1").drop("roots"))
-    rows = settle(counted_join(labelled, mixed, ["t", "key"], "n").withColumn("copies", F.ceil(F.col("n") / F.lit(100))))
-    every = rows.withColumn("copy", F.pmod(F.xxhash64("node"), "copies"))
-    every = every.select("t", "key", "copy", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n_items", "bits")], "major")
-    minor = rows.filter("root != major").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
-    minor = minor.select("t", "key", "copy", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n_items", "bits")])
-    apart = (1 - percent / 100) / 2
-    most = int(REGISTERS * apart + MARGIN * (REGISTERS * apart * (1 - apart)) ** 0.5)
-    differ = [F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS // 64)]
-    sizes = F.least("x_n_items", "y_n_items") * 100 >= F.greatest("x_n_items", "y_n_items") * percent
-    met = minor.join(every, ["t", "key", "copy"]).filter(
-        (F.col("x_root") != F.col("y_root"))
-        & ((F.col("y_root") == F.col("major")) | (F.col("x_node") < F.col("y_node")))
-        & sizes
-        & (sum(differ[1:], differ[0]) <= most)
-    )
-    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    buckets = parts.groupBy("t", "key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
+    mixed = settle(buckets.filter("top.n < n").select("t", "key", F.col("top.root").alias("major"), "n", F.expr("n - top.n").alias("n_minor")))
+    rows = settle(counted_join(labelled, mixed, ["t", "key"], "n"))
+
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / F.lit(BLOCK))).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / F.lit(BLOCK)).cast("int") - 1))
+
+    names = ["t", "key", "i", "j", "minor", "node", "root"]
+    minor = rows.filter("root != major").withColumn("i", block("n_minor")).withColumn("j", every("n"))
+    members = rows.withColumn("j", block("n")).withColumn("i", every("n_minor"))
+    dealt = minor.withColumn("minor", F.lit(True)).select(*names)
+    return dealt.unionByName(members.withColumn("minor", F.lit(False)).select(*names))
+
+
+def _in_cells(rows: DataFrame, percent: int, confirm: bool) -> DataFrame:
+    """Compare the minor members of each cell with its others.
+
+    Pairs of one component and pairs that share an earlier band (they meet
+    there) are left out, then those that can't be similar enough. Without
+    ``confirm`` the result is the rows (t, key, i, j, minor, node, root) of members
+    that are left in some pair; with it, the sets are compared and the result
+    is links (a, b) that join the cell's members like all its links would.
+    """
+    at = ["t", "key", "i", "j"]
+    used = [*at, "minor", "node", "root", "n", "bands", *(["items"] if confirm else [])]
+    out = "a bigint, b bigint" if confirm else "t int, key bigint, i int, j int, minor boolean, node bigint, root bigint"
+    out_schema = to_arrow_schema(T.StructType.fromDDL(out))
+
+    def pairs_of(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs that may be similar."""
+        node, root, n = (cell.column(c).to_numpy() for c in ("node", "root", "n"))
+        registers = _registers(cell.column("bands").combine_chunks())
+        bands = registers.view("<i8")
+        minor = cell.column("minor").to_numpy()
+        xs, ys, t = np.flatnonzero(minor), np.flatnonzero(~minor), cell.column("t")[0].as_py()
+        left, right = [], []
+        step = max(1, _PAIRS // max(len(ys), 1))
+        for start in range(0, len(xs), step):
+            x = xs[start : start + step]
+            apart = root[x][:, None] != root[ys][None, :]
+            for earlier in range(t):
+                apart &= bands[x, earlier][:, None] != bands[ys, earlier][None, :]
+            a, b = np.nonzero(apart)
+            a, b = x[a], ys[b]
+            good = may_be_similar(registers[a], registers[b], n[a].astype(float), n[b].astype(float), percent)
+            left.append(a[good])
+            right.append(b[good])
+        return np.concatenate(left), np.concatenate(right)
+
+    def compare(cell: pa.Table) -> pa.RecordBatch:
+        a, b = pairs_of(cell)
+        if not confirm:
+            found = cell.select(out_schema.names).take(pa.array(np.union1d(a, b)))
+            return found.combine_chunks().to_batches()[0] if found.num_rows else None
+        node, label, n = cell.column("node").to_numpy(), cell.column("root").to_numpy().copy(), cell.column("n").to_numpy()
+        items = list(_items(cell.column("items").combine_chunks()))
+        links = []
+        for x, y in zip(a.tolist(), b.tolist()):
+            if label[x] == label[y]:  # by links of this cell
+                continue
+            both = _intersection(items[x], items[y])
+            if 100 * both >= percent * (int(n[x]) + int(n[y]) - both):
+                label[label == label[y]] = label[x]
+                links.append((min(node[x], node[y]), max(node[x], node[y])))
+        if links:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=out_schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, mark = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in at], axis=1)
+            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), batch.num_rows]
+            for start, end in zip(starts[:-1], starts[1:]):
+                if mark != (now := tuple(keys[start])) and kept:
+                    if (found := compare(pa.Table.from_batches(kept))) is not None:
+                        yield found
+                    kept = []
+                mark = now
+                kept.append(batch.slice(start, end - start))
+        if kept and (found := compare(pa.Table.from_batches(kept))) is not None:
+            yield found
+
+    together = rows.select(*used).repartition(*at).sortWithinPartitions(*at)
+    return together.mapInArrow(run, out)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -340,7 +427,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         F.min(F.struct("doc_id", "text_key")).alias("rep"),
         F.any_value("n_shingles").alias("n"),
         F.any_value("bands").alias("bands"),
-        F.any_value("bits").alias("bits"),
         F.count(F.lit(1)).alias("rows"),
     )
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -355,20 +441,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     sets = settle(_sets(docs, classes, _ends(likely), shingle_words))
     links = settle(_confirmed(likely, sets, percent))
 
-    labels = _labels(classes.select("node", F.col("n").alias("n_items"), "bits"), links)
-    rest = _across(shared, labels, percent)
-    rest = settle(rest.join(met.hint("merge"), ["a", "b"], "left_anti"))
-    likely = settle(_likely(rest, classes, percent))
-    if not likely.isEmpty():
-        more = _ends(likely).join(sets.select("node").hint("merge"), "node", "left_anti")
+    sketch = classes.select("node", "n", "bands")
+    cells = settle(_cells(shared, _labels(nodes, links)))
+    left = settle(_in_cells(cells.join(sketch.hint("merge"), "node"), percent, confirm=False))
+    if not left.isEmpty():
+        more = left.select("node").distinct().join(sets.select("node").hint("merge"), "node", "left_anti")
         sets = sets.unionByName(settle(_sets(docs, classes, more, shingle_words)))
-        links = settle(links.unionByName(_confirmed(likely, sets, percent)))
+        left = left.join(sketch.hint("merge"), "node").join(sets.hint("merge"), "node")
+        links = links.unionByName(settle(_in_cells(left, percent, confirm=True)))
     roots = _labels(nodes, links)
 
     placed = settle(classes.select("class", "node", "least", "rows").join(roots.hint("merge"), "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = settle(placed.join(ids.hint("merge"), "root").select("class", "component_id", "rows"))
-    found = counted_join(own.drop("bands", "bits"), of_class, ["class"], "rows", "left")
+    found = counted_join(own.drop("bands"), of_class, ["class"], "rows", "left")
     # a text without words is alone, whoever else has none
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(False))
