@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
+    lexical_search,
     line_dedup,
     packing,
     quality,
@@ -133,3 +135,77 @@ FROM marked GROUP BY doc_id
 @query
 def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS t(k) WHERE len(w) >= k)
+), f AS (
+    SELECT lang, k, phrase, count(*)::HUGEINT AS a, string_split(phrase, ' ') AS w
+    FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS covered
+    FROM (SELECT lang, k, w, a, m, unnest(range(1, k - m + 2)) AS i FROM f, range(2, 5) AS t(m) WHERE m < k)
+    GROUP BY 1, 2
+), cuts AS (
+    SELECT f.lang, f.phrase, f.a, x.a AS l, y.a AS r, n, c, (1000 * f.a * n) // (x.a * y.a) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1) f
+    JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(f.w[1:f.c], ' ')
+    JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(f.w[f.c + 1:f.k], ' ')
+    JOIN totals ON totals.lang = f.lang
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE i.covered IS NULL OR 100 * i.covered < 100 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+impacts AS (
+    SELECT t.doc_id, t.term,
+           floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+           * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))) AS impact
+    FROM tfs t JOIN dfs USING (term) JOIN sizes USING (doc_id), corpus
+), scores AS (
+    SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
