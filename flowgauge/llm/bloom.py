@@ -8,8 +8,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: 2**27 bits are 16 MB, whatever the table holds; a fuller table only lets more rows pass.
-BITS = 27
+#: A table has 32 bits for each hash as far as 2**27 (16 MB) go; a fuller table only lets more rows pass.
+MOST_BITS = 27
+LEAST_BITS = 13
+_BITS_EACH = 32
 
 
 @dataclass
@@ -29,12 +31,14 @@ class BitTable:
         return found
 
 
-def bit_table(hashes: DataFrame, bits: int = BITS) -> BitTable:
-    """The bit table of ``hashes`` (one column, ``h bigint``; NULLs are left out).
+def bit_table(hashes: DataFrame, bits: int | None = None) -> BitTable:
+    """The bit table of ``hashes`` (a written table with one column, ``h bigint``; NULLs are left out).
 
     Bits are set by an aggregation per 64-bit word, so the driver gets at most
     ``2**bits / 64`` words, however many hashes there are.
     """
+    if bits is None:
+        bits = min(max((hashes.count() * _BITS_EACH).bit_length(), LEAST_BITS), MOST_BITS)
     slices = [F.shiftrightunsigned("h", shift).bitwiseAND(F.lit((1 << bits) - 1)) for shift in (0, bits)]
     place = hashes.filter("h IS NOT NULL").select(F.explode(F.array(*slices)).alias("p"))
     bit = F.expr("shiftleft(1L, CAST(p & 63 AS INT))")

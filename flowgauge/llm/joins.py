@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.session import settle
+
 #: Keys that hold more than one row in ``SHARE`` are joined by broadcast; there can't be more than ``SHARE`` of them.
 SHARE = 1000
 #: Rows of one key that meet in one task in ``spread_join``.
@@ -30,16 +32,17 @@ def counted_join(left: DataFrame, right: DataFrame, on: list[str], weight: str,
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str, rows: int = ROWS_PER_COPY) -> DataFrame:
-    """Inner join of ``left`` (narrow, many rows of a key) with ``right`` (wide, one row per key).
+    """Inner join of ``left`` (a written, narrow table, many rows of a key) with ``right`` (wide, one row per key).
 
-    A key's row of ``right`` is copied once for every ``rows`` rows of
-    ``left``, and these are dealt over the copies, so a key with very many
-    partners is shared by many tasks. ``left`` is read three times.
+    The row of ``right`` whose key has more than one row of ``left`` in
+    ``SHARE`` is copied once for every ``rows`` of them, and these are dealt
+    over the copies, so a key with very many partners is shared by many tasks.
     """
     counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    copies = F.ceil(F.col("_n") / F.lit(rows))
-    copied = right.join(counts.hint("merge"), key)
+    least = max(rows, left.count() // SHARE)
+    often = F.broadcast(settle(counts.filter(F.col("_n") > least)))  # at most SHARE keys
+    copies = F.coalesce(F.ceil(F.col("_n") / F.lit(rows)), F.lit(1))
+    copied = right.join(often, key, "left")
     copied = copied.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))).drop("_n")
-    dealt = counted_join(left, counts, [key], "_n")
-    dealt = dealt.withColumn("_copy", F.pmod(F.xxhash64(*left.columns), copies)).drop("_n")
+    dealt = left.join(often, key, "left").withColumn("_copy", F.pmod(F.xxhash64(*left.columns), copies)).drop("_n")
     return dealt.join(copied.hint("merge"), [key, "_copy"]).drop("_copy")

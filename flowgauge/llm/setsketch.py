@@ -255,57 +255,45 @@ def _items(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.frombuffer(data, dtype=np.uint8, count=end - start, offset=start).view("<u8")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of a written table whose estimate isn't far below the threshold."""
-    sketch = classes.select("node", "n", "bands")
-    pairs = spread_join(pairs, sketch.toDF("a", "n_a", "bands_a"), "a")
-    pairs = spread_join(settle(pairs), sketch.toDF("b", "n_b", "bands_b"), "b")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                n_a, n_b = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
-                good = may_be_similar(_registers(batch.column(4)), _registers(batch.column(5)), n_a, n_b, percent)
-                yield batch.select(["a", "b"]).filter(pa.array(good))
-
-    return pairs.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(keep, "a bigint, b bigint")
+def _confirmed(met: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the written pairs (node, hub): those that may be similar, confirmed on the full sets.
 
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of a written table whose full sets are similar enough."""
-    pairs = spread_join(pairs, sets.toDF("a", "items_a"), "a")
-    pairs = spread_join(settle(pairs), sets.toDF("b", "items_b"), "b")
+    A class has a few hubs, but a hub may have very many classes.
+    """
+    names = ["n", "bands", "items"]
+    pairs = spread_join(met, sketched.toDF("hub", *[f"hub_{c}" for c in names]), "hub")
+    pairs = pairs.join(sketched.hint("merge"), "node")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            good = []
-            for x, y in zip(_items(batch.column(2)), _items(batch.column(3))):
-                both = _intersection(x, y)
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
-
-    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(similar, "a bigint, b bigint")
-
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                at = {name: part.column(i) for i, name in enumerate(part.schema.names)}
+                n, m = (at[c].to_numpy() for c in ("n", "hub_n"))
+                good = may_be_similar(
+                    _registers(at["bands"]), _registers(at["hub_bands"]), n.astype(float), m.astype(float), percent
+                )
+                for i, (x, y) in enumerate(zip(_items(at["items"]), _items(at["hub_items"]))):
+                    if good[i]:
+                        both = _intersection(x, y)
+                        good[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                found = part.filter(pa.array(good))
+                yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], names=["a", "b"])
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return pairs.select("node", "hub", *names, *[f"hub_{c}" for c in names]).mapInArrow(similar, "a bigint, b bigint")
 
 
-def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root) of all ``nodes``."""
-    roots = components(links)
-    return settle(nodes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")))
+def _labels(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of all ``nodes``, also of those without links."""
+    return nodes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _hubs(shared: DataFrame) -> DataFrame:
-    """Each bucket's classes with the bucket's hubs: (a, b), each pair once."""
+    """(node, hub): each bucket's classes with the bucket's hubs, each pair once."""
     hubs = [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HUBS)]
     hubs = shared.groupBy("t", "key").agg(F.array_distinct(F.array(*hubs)).alias("hubs"), F.count(F.lit(1)).alias("n"))
     met = counted_join(shared, settle(hubs), ["t", "key"], "n").select("node", F.explode("hubs").alias("hub"))
-    met = met.filter("node != hub")
-    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    return met.filter("node != hub").distinct()
 
 
 def _cells(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -437,21 +425,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     shared = settle(filed.join(sizes.drop("n").hint("merge"), ["t", "key"]))
 
     met = settle(_hubs(shared))
-    likely = settle(_likely(met, classes, percent))
-    sets = settle(_sets(docs, classes, _ends(likely), shingle_words))
-    links = settle(_confirmed(likely, sets, percent))
-
+    ends = met.select(F.explode(F.array("node", "hub")).alias("node")).distinct()
     sketch = classes.select("node", "n", "bands")
-    cells = settle(_cells(shared, _labels(nodes, links)))
+    sets = settle(_sets(docs, classes, ends, shingle_words))
+    sketched = sketch.join(sets.hint("merge"), "node")
+    roots = components(_confirmed(met, sketched, percent))
+
+    cells = settle(_cells(shared, _labels(nodes, roots)))
     left = settle(_in_cells(cells.join(sketch.hint("merge"), "node"), percent, confirm=False))
     if not left.isEmpty():
-        more = left.select("node").distinct().join(sets.select("node").hint("merge"), "node", "left_anti")
-        sets = sets.unionByName(settle(_sets(docs, classes, more, shingle_words)))
-        left = left.join(sketch.hint("merge"), "node").join(sets.hint("merge"), "node")
-        links = links.unionByName(settle(_in_cells(left, percent, confirm=True)))
-    roots = _labels(nodes, links)
-
-    placed = settle(classes.select("class", "node", "least", "rows").join(roots.hint("merge"), "node"))
+        # every class of a shared bucket has met a hub, so its set is known
+        links = _in_cells(left.join(sketched.hint("merge"), "node"), percent, confirm=True)
+        roots = components(links.unionByName(roots.toDF("a", "b")))
+    placed = settle(_labels(classes.select("class", "node", "least", "rows"), roots))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = settle(placed.join(ids.hint("merge"), "root").select("class", "component_id", "rows"))
     found = counted_join(own.drop("bands"), of_class, ["class"], "rows", "left")
