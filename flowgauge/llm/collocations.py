@@ -84,7 +84,7 @@ def _grams(chunk: np.ndarray, hashes: np.ndarray, proposals: list[BitTable | Non
     ``chunk`` are word numbers, ``hashes`` those of the words with their
     language. A phrase is open to a proposal if all its shorter parts are
     in it (None holds everything). Counted are phrases open to the last proposal
-    but to none of those before it.
+    but not to the one before it, which has counted its own.
     """
     word = chunk > 0
     places = np.flatnonzero(word)
@@ -109,7 +109,7 @@ def _grams(chunk: np.ndarray, hashes: np.ndarray, proposals: list[BitTable | Non
         is_open = [b[at] for b in both]
         number = np.full(len(chunk), -1)
         number[places] = inverse
-        new = ~np.logical_or.reduce(is_open[:-1]) if len(proposals) > 1 else np.ones(len(at), dtype=bool)
+        new = ~is_open[0] if len(proposals) > 1 else np.ones(len(at), dtype=bool)
         yield k, places[at[new]], counts[new], current[new]
 
 
@@ -166,7 +166,7 @@ def _proposed(docs: DataFrame, least: int, sample_every: int) -> BitTable:
     """The bit table of the phrases that are frequent in the sample."""
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample_every)) == 0)
     found = _phrases(sample, [None], texts=False).groupBy("h").agg(F.sum("n").alias("n"))
-    return bit_table(found.filter(F.col("n") >= max(2, int(SLACK * least / sample_every))).select("h"))
+    return bit_table(settle(found.filter(F.col("n") >= max(2, int(SLACK * least / sample_every))).select("h")))
 
 
 def _missing(frequent: DataFrame, proposal) -> DataFrame:
@@ -198,7 +198,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_every: int = SA
             return out
         last = proposals[-1].value
         more = bit_table(missing, last.bits)
-        proposals.append(spark.sparkContext.broadcast(BitTable(last.words | more.words, last.bits)))
+        wider = spark.sparkContext.broadcast(BitTable(last.words | more.words, last.bits))
+        proposals = [proposals[-1], wider]  # what an earlier one holds, the last one holds too
 
 
 def _part(first: Column, n: Column) -> Column:
