@@ -7,10 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowgauge.operators.exact_sums import ExactDoubles, value_range
 from flowgauge.operators.slices import (
     SLICE_ROWS,
     as_number,
     join_groups,
+    names_apart,
     over_preceding_rows,
     slice_hot_groups,
 )
@@ -19,9 +21,8 @@ from flowgauge.session import settle
 ROW_LAGS = {"speed_lag1h": 2, "speed_lag24h": 48}
 ROLLING_NAME = "speed_rolling3h"
 ROLLING_ROWS = 6
-#: Running sums are kept in this type; values from ``_LARGEST`` on never enter one.
-_EXACT = "decimal(38,10)"
-_LARGEST = 1e17
+#: Running sums of limbs are kept in this type.
+_EXACT = "decimal(38,0)"
 
 
 def lag_rolling(
@@ -85,10 +86,20 @@ def time_lag_rolling(
     row. Keys with more than ``slice_rows`` rows, or with more than
     ``frame_rows`` rows within one ``rolling_minutes``, take running sums
     instead: each time looks up the sums at the ends of its frames (see
-    ``_running_at``). The sums are exact to ten decimals, so their differences
-    lose nothing; a key with values that these don't hold (NaN, infinite or
-    beyond 1e17) keeps the window.
+    ``_running_at``). Both ways add whole numbers (``exact_sums``), so the mean
+    is the same to the last bit, also with tiny and huge values, NaN and the
+    infinities.
     """
+    renamed, back = names_apart(df)
+    if back:  # columns that begin with an underscore stand aside meanwhile
+        to = {old: new for new, old in back.items()}
+        found = time_lag_rolling(
+            renamed, to.get(key, key), to.get(ts, ts), to.get(tie, tie), to.get(value, value),
+            lag_minutes=lag_minutes, tolerance_minutes=tolerance_minutes, rolling_minutes=rolling_minutes,
+            rolling_name=rolling_name, slice_rows=slice_rows, frame_rows=frame_rows,
+        )
+        return found.withColumnsRenamed(back)
+
     micro = 60_000_000
     names = [*lag_minutes, rolling_name, f"{rolling_name}_n"]
     whole, df = df, df.filter(F.col(ts).isNotNull())
@@ -98,53 +109,59 @@ def time_lag_rolling(
     timeless = whole.filter(F.col(ts).isNull()).withColumns(nothing)
 
     number = F.col(value).cast("double")
-    odd = F.coalesce(F.isnan(number) | (F.abs(number) >= F.lit(_LARGEST)), F.lit(False))
     spans = df.groupBy(key, F.window(ts, f"{rolling_minutes} minutes").alias("_w")).agg(
-        F.count(F.lit(1)).alias("_n"), F.bool_or(odd).alias("_odd")
+        F.count(F.lit(1)).alias("_n"), *value_range(number, ("_low", "_high", "_odd"))
     )
-    hot = spans.groupBy(key).agg(
-        F.sum("_n").alias("_n"), F.max("_n").alias("_dense"), F.bool_or("_odd").alias("_odd")
+    keys = settle(
+        spans.groupBy(key).agg(
+            F.sum("_n").alias("_n"), F.max("_n").alias("_dense"),
+            F.min("_low").alias("_low"), F.max("_high").alias("_high"), F.bool_or("_odd").alias("_odd"),
+        )
     )
-    hot = hot.filter(((F.col("_n") > slice_rows) | (F.col("_dense") > frame_rows)) & ~F.col("_odd"))
+    seen = keys.agg(F.min("_low"), F.max("_high"), F.coalesce(F.bool_or("_odd"), F.lit(False))).first()
+    exact = ExactDoubles.of_range(*seen, rows=2 * frame_rows)
+    hot = keys.filter((F.col("_n") > slice_rows) | (F.col("_dense") > frame_rows))
     hot = settle(hot.select(F.col(key).alias("_hot")))
-    if hot.isEmpty():
+
+    def plain(rows: DataFrame) -> DataFrame:
         found = _range_windows(
-            df, key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name
+            exact.split(rows, number), exact,
+            key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name,
         )
-        return found.unionByName(timeless)
+        return found.select(*df.columns, *names)
+
+    if hot.isEmpty():
+        return plain(df).unionByName(timeless)
 
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = _range_windows(
-        df.join(hot, is_hot, "left_anti"),
-        key, ts, tie, value, lag_minutes, tolerance_minutes, rolling_minutes, rolling_name,
-    )
+    cold = plain(df.join(hot, is_hot, "left_anti"))
 
     rows = df.join(hot, is_hot, "left_semi").withColumn("_t", as_number(df, ts))
-    points = rows.groupBy(key, "_t").agg(
-        F.sum(F.col(value).cast(_EXACT)).alias("_sum"),
+    points = exact.split(rows, number).groupBy(key, "_t").agg(
+        *[F.sum(F.col(n).cast("decimal(28,0)")).alias(n) for n in exact.names],
         F.count(value).alias("_values"),
         F.count(F.lit(1)).alias("_rows"),
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(tie))).alias("_v"),
     )
-    shifts = {"to": (0, False), "from": (rolling_minutes * micro, True)}
-    shifts |= {name: (m * micro, False) for name, m in lag_minutes.items()}
-    found = _running_at(settle(points), key, shifts, slice_rows)
+    shifts = {"_to": (0, False), "_from": (rolling_minutes * micro, True)}
+    shifts |= {f"_lag_{name}": (m * micro, False) for name, m in lag_minutes.items()}
+    found = _running_at(settle(points), key, shifts, exact.names, slice_rows)
 
-    total = F.col("to._sum") - F.col("from._sum")
-    n_values = F.col("to._values") - F.col("from._values")
+    n_values = F.col("_to._values") - F.col("_from._values")
+    sums = {n: F.col(f"_to.{n}") - F.col(f"_from.{n}") for n in exact.names}
     out = {}
     for name, minutes in lag_minutes.items():
         oldest = F.col("_t") - (minutes + tolerance_minutes) * micro
-        last = F.col(name)["_last"]
+        last = F.col(f"_lag_{name}")["_last"]
         out[name] = F.when(last["t"] >= oldest, last["v"])
-    out[rolling_name] = F.when(n_values > 0, total.cast("double") / n_values)
-    out[f"{rolling_name}_n"] = F.col("to._rows") - F.col("from._rows")
+    out[rolling_name] = F.when(n_values > 0, exact.total(sums) / n_values)
+    out[f"{rolling_name}_n"] = F.col("_to._rows") - F.col("_from._rows")
     found = found.select(key, "_t", *[c.alias(n) for n, c in out.items()])
     warm = join_groups(rows, found, [key, "_t"]).select(*df.columns, *names)
-    return cold.select(*df.columns, *names).unionByName(warm).unionByName(timeless)
+    return cold.unionByName(warm).unionByName(timeless)
 
 
-def _range_windows(df, key, ts, tie, value, lag_minutes, tolerance, rolling, rolling_name):
+def _range_windows(df, exact, key, ts, tie, value, lag_minutes, tolerance, rolling, rolling_name):
     def minutes(n: int) -> str:
         return f"INTERVAL '{n}' MINUTE"
 
@@ -162,13 +179,15 @@ def _range_windows(df, key, ts, tie, value, lag_minutes, tolerance, rolling, rol
         )
         for name, n in lag_minutes.items()
     }
-    out[rolling_name] = over(f"avg(`{value}`)", rolling, "CURRENT ROW")
+    out |= {n: over(f"sum({n})", rolling, "CURRENT ROW") for n in exact.names}
+    out["_values"] = over(f"count(`{value}`)", rolling, "CURRENT ROW")
     out[f"{rolling_name}_n"] = over("count(*)", rolling, "CURRENT ROW")
-    return df.withColumns(out)
+    mean = exact.total({n: F.col(n) for n in exact.names}) / F.col("_values")
+    return df.withColumns(out).withColumn(rolling_name, F.when(F.col("_values") > 0, mean))
 
 
 def _running_at(
-    points: DataFrame, key: str, shifts: Mapping[str, tuple[int, bool]], slice_rows: int
+    points: DataFrame, key: str, shifts: Mapping[str, tuple[int, bool]], sums: list[str], slice_rows: int
 ) -> DataFrame:
     """Running totals of ``points`` at shifted times, one struct per shift.
 
@@ -180,7 +199,7 @@ def _running_at(
     zero = F.lit(0).cast("bigint")
     data = points.select(
         key, "_t", F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_asked"),
-        F.lit(None).cast("string").alias("_shift"), "_sum", "_values", "_rows",
+        F.lit(None).cast("string").alias("_shift"), *[F.col(n).cast(_EXACT) for n in sums], "_values", "_rows",
         F.when(F.col("_v").isNotNull(), F.struct(F.col("_t").alias("t"), F.col("_v").alias("v"))).alias("_last"),
     )
     asks = F.array(
@@ -195,15 +214,13 @@ def _running_at(
     )
     questions = points.select(key, F.col("_t").alias("_asked"), F.explode(asks).alias("a")).select(
         key, F.col("a.at").alias("_t"), "a._kind", "_asked", "a._shift",
-        F.lit(None).cast(_EXACT).alias("_sum"), zero.alias("_values"),
+        *[zero.cast(_EXACT).alias(n) for n in sums], zero.alias("_values"),
         zero.alias("_rows"), F.lit(None).cast(data.schema["_last"].dataType).alias("_last"),
     )
     sliced = slice_hot_groups(data.unionByName(questions), [key], ["_t"], slice_rows)
     part = sliced.partition
-    totals = {
-        "_sum": F.sum("_sum"), "_values": F.sum("_values"),
-        "_rows": F.sum("_rows"), "_last": F.max("_last"),
-    }
+    counts = [*sums, "_values", "_rows"]
+    totals = {**{n: F.sum(n) for n in counts}, "_last": F.max("_last")}
     w = Window.partitionBy(*part).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     answers = sliced.spread(sliced.rows).withColumns({n: a.over(w) for n, a in totals.items()}).filter(
         F.col("_shift").isNotNull()
@@ -216,12 +233,11 @@ def _running_at(
             {
                 **{
                     n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_b{n}"), F.lit(0))
-                    for n in ("_sum", "_values", "_rows")
+                    for n in counts
                 },
                 "_last": F.greatest("_last", "_b_last"),
             }
         )
-    answers = answers.withColumn("_sum", F.coalesce(F.col("_sum"), F.lit(0).cast(_EXACT)))
-    state = F.struct("_sum", "_values", "_rows", "_last")
+    state = F.struct(*counts, "_last")
     per_shift = [F.any_value(F.when(F.col("_shift") == n, state), True).alias(n) for n in shifts]
     return answers.groupBy(key, F.col("_asked").alias("_t")).agg(*per_shift)

@@ -69,6 +69,21 @@ class Sliced:
         )
 
 
+def names_apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns that begin with an underscore renamed, and the old name of each new one.
+
+    Columns made on the way begin with an underscore here, so they never meet the user's.
+    """
+    taken, back = {c.lower() for c in df.columns}, {}
+    for name in (c for c in df.columns if c.startswith("_")):
+        new = f"own{name}"
+        while new.lower() in taken:
+            new = f"own{new}"
+        taken.add(new.lower())
+        back[new] = name
+    return df.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def wall_micros(ts: Column) -> Column:
     """Microseconds of a zone-less time, independent of the session time zone."""
     minutes = (F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60 + F.minute(ts)

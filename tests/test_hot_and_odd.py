@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,40 @@ def test_status_stream_stays_bounded(spark, tmp_path):
         assert found == wanted
     folders = [p.name for kind in ("merged", "changes") for p in (tmp_path / "out" / kind).iterdir() if p.name.startswith("batch_id")]
     assert len(folders) <= 2 + 2 * 2 + 1
+
+
+PROBE = [1e-11, 1.5e-11, 1e17, 3.25, -1e17, 1e300, 5e-324, None, math.nan, math.inf, -math.inf, 0.1, 0.0]
+
+
+@pytest.mark.parametrize("values", [[1e-11 * i for i in range(1, 9)], PROBE[:5] * 3, PROBE, [0.1] * 30, [None] * 6])
+def test_rolling_means_are_the_same_to_the_last_bit(spark, values):
+    rng = random.Random(len(values))
+    rows = [("a", START + timedelta(minutes=7 * (i // 2)), i, rng.choice(values)) for i in range(60)]
+    df = spark.createDataFrame(rows, "segment_id string, recorded_at timestamp_ntz, id int, avg_speed_kmh double")
+    found = [
+        {r.id: (repr(r.speed_rolling3h), r.speed_rolling3h_n) for r in series.time_lag_rolling(df, **options).collect()}
+        for options in ({}, {"slice_rows": 4}, {"frame_rows": 1})
+    ]
+    assert found[0] == found[1] == found[2]
+    for _, t, i, _ in rows:  # against exact fractions
+        inside = [v for _, u, _, v in rows if timedelta(0) <= t - u <= timedelta(minutes=180) and v is not None]
+        if not inside:
+            assert found[0][i][0] == "None"
+        elif all(map(math.isfinite, inside)):
+            mean = float(sum(map(Fraction, inside)) / len(inside))
+            assert float(found[0][i][0]) == pytest.approx(mean, rel=1e-15)
+        else:
+            signs = {v for v in inside if math.isinf(v)}
+            odd = math.nan if len(signs) != 1 or any(map(math.isnan, inside)) else signs.pop()
+            assert same(float(found[0][i][0]), odd)
+
+
+def test_time_windows_with_names_like_the_internal_ones(spark):
+    rows = [(i % 2, START + timedelta(minutes=i), i, float(i), "x", i, 2 * i) for i in range(40)]
+    names = ["_hot", "_t", "_n", "avg_speed_kmh", "_slice", "_limb0", "own_t"]
+    df = spark.createDataFrame(rows, "_hot int, _t timestamp_ntz, _n int, avg_speed_kmh double, _slice string, _limb0 int, own_t int")
+    columns = {"key": "_hot", "ts": "_t", "tie": "_n"}
+    plain = series.time_lag_rolling(df, **columns)
+    hot = series.time_lag_rolling(df, slice_rows=3, **columns)
+    assert plain.columns == hot.columns and plain.columns[:7] == names
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, hot.collect())) != []
