@@ -1,22 +1,23 @@
-"""Phrase collocations by Toivonen's mining: a sample proposes, full passes count exactly until nothing is missing.
+"""Phrase collocations by Toivonen's mining: a sample proposes, full passes count exactly what it may have missed too.
 
-A sample of the documents gives the phrases that are frequent in it at a
+A sample of the texts' pieces gives the phrases that are frequent in it at a
 lowered threshold. They are only a proposal, and go into a bit table of bounded
 size. The full pass then counts every phrase whose first and last ``k - 1``
 words were proposed: the proposed phrases and their negative border. A border
-phrase that turns out frequent is a failure of the sample; it is added to the
-proposal, and another pass counts the phrases that this opens up, until a pass
-has no failures. Counts are exact whatever the sample was: a poor or a full bit
-table costs more passes or more counted phrases, never a phrase.
-
-Tasks number the words of about a million tokens at a time, and phrases by
-(number of the phrase without its last word, last word), so phrases are told
-apart exactly; only the proposal is looked up by hash.
+phrase that turns out frequent is a failure of the sample. A frequent phrase that
+this pass did not count has a shortest part that was not proposed; all parts of
+that one were, so it was counted and is a failure. Another pass therefore counts
+all phrases that hold a failure, whatever else they hold, and with it the mining
+is closed. Counts are exact whatever the sample was: a poor or a full bit table
+costs more counted phrases, never a phrase.
+
+The counts of these passes are by 64-bit hash, which is enough to find out
+which phrases may be frequent. A last pass counts those by their text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ from flowgauge.session import settle
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
-#: One document in so many is in the sample; there a phrase is proposed at ``SLACK`` times its share of ``LEAST``.
-SAMPLE_EVERY = 10
-SLACK = 0.5
+#: One piece in so many is in the sample; there a phrase is proposed at ``SLACK`` times its share of ``LEAST``.
+SAMPLE_EVERY = 20
+SLACK = 0.6
 NO_LANG = "und"
 #: Words that a task gathers before it counts.
 _TOKENS = 1 << 20
@@ -70,103 +71,142 @@ def _lang_seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode(), 1))
 
 
-def phrase_hash(lang: str, words: list[bytes]) -> np.uint64:
-    digests = [np.array([xxhash.xxh64_intdigest(w)], np.uint64) for w in words]
-    out = mix(digests[0] ^ _lang_seed(lang))
-    for d in digests[1:]:
-        out = followed_by(out, d)
-    return out[0]
-
-
-def _grams(chunk: np.ndarray, hashes: np.ndarray, proposals: list[BitTable | None]) -> Iterator[tuple]:
-    """(k, first places, counts, hashes) of the phrases to count in one language's tokens.
-
-    ``chunk`` are word numbers, ``hashes`` those of the words with their
-    language. A phrase is open to a proposal if all its shorter parts are
-    in it (None holds everything). Counted are phrases open to the last proposal
-    but not to the one before it, which has counted its own.
-    """
-    word = chunk > 0
-    places = np.flatnonzero(word)
-    first = mix(hashes[1])
-    counts = np.bincount(chunk, minlength=len(first))
-    seen, at = np.unique(chunk[places], return_index=True)
-    if len(proposals) == 1:
-        yield 1, places[at], counts[seen], first[seen]
-    number, current = np.where(word, chunk, -1), first
-    is_open = [np.ones(len(first), dtype=bool) for _ in proposals]
+def _rolling(first: np.ndarray, words: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, valid, hashes) of the phrases of ``k`` words that begin at each place of a chunk."""
+    valid, hashes = is_word, first
+    yield 1, valid, hashes
     for k in range(2, MAX_WORDS + 1):
-        held = [o if p is None else o & p.may_hold(current) for o, p in zip(is_open, proposals)]
-        places = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
-        both = [h[number[places]] & h[number[places + 1]] for h in held]
-        places, both = places[both[-1]], [b[both[-1]] for b in both]
+        valid = valid[:-1] & is_word[k - 1 :]
+        hashes = followed_by(hashes[:-1], words[k - 1 :])
+        yield k, valid, hashes
+
+
+def _at(mask: np.ndarray, table: BitTable, hashes: np.ndarray) -> np.ndarray:
+    """The places of ``mask`` whose hash may be in the table."""
+    out = np.zeros(len(mask), dtype=bool)
+    places = np.flatnonzero(mask)
+    out[places] = table.may_hold(hashes[places])
+    return out
+
+
+def _proposed_border(first, words, is_word, proposal: BitTable | None) -> Iterator[tuple]:
+    """(k, hashes, counts) of a chunk's phrases whose shorter parts are all proposed (None proposes everything)."""
+    is_open, before = None, None
+    for k, valid, hashes in _rolling(first, words, is_word):
+        if k == 1:
+            is_open = valid
+        else:
+            held = is_open if proposal is None else _at(is_open, proposal, before)
+            is_open = held[:-1] & held[1:]  # so all words are in one piece
+        if not is_open.any():
+            return
+        yield k, *np.unique(hashes[is_open], return_counts=True)
+        before = hashes
+
+
+def _around(first, words, is_word, failures: BitTable) -> Iterator[tuple]:
+    """(k, hashes, counts) of a chunk's phrases that hold a failure as a shorter part."""
+    holds = None
+    for k, valid, hashes in _rolling(first, words, is_word):
+        longer = np.zeros(len(valid), dtype=bool) if holds is None else (holds[:-1] | holds[1:]) & valid
+        if longer.any():
+            yield k, *np.unique(hashes[longer], return_counts=True)
+        holds = longer | _at(valid, failures, hashes)
+
+
+def _spelled(chunk, first, words, is_word, wanted: BitTable) -> Iterator[tuple]:
+    """(k, word numbers, counts) of the phrases of a chunk whose hash, and those of their parts, may be in the table."""
+    found = None
+    for k, valid, hashes in _rolling(first, words, is_word):
+        found = _at(valid if found is None else found[:-1] & found[1:], wanted, hashes)
+        places = np.flatnonzero(found)
         if not len(places):
             return
-        last = chunk[places + k - 1]
-        key = number[places] * len(first) + last
-        _, at, inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        current = followed_by(current[number[places[at]]], hashes[0][last[at]])
-        is_open = [b[at] for b in both]
-        number = np.full(len(chunk), -1)
-        number[places] = inverse
-        new = ~is_open[0] if len(proposals) > 1 else np.ones(len(at), dtype=bool)
-        yield k, places[at[new]], counts[new], current[new]
+        if k == 1:
+            counts = np.bincount(chunk[places])
+            numbers = np.flatnonzero(counts)
+            yield 1, numbers[:, None], counts[numbers]
+            continue
+        _, at, inverse, counts = np.unique(hashes[places], return_index=True, return_inverse=True, return_counts=True)
+        first_at = places[at]
+        if any((chunk[places + i] != chunk[first_at + i][inverse]).any() for i in range(k)):  # one hash, two phrases
+            phrases, counts = np.unique(chunk[places[:, None] + np.arange(k)], axis=0, return_counts=True)
+            yield k, phrases, counts
+        else:
+            yield k, chunk[first_at[:, None] + np.arange(k)], counts
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], cut: Callable | None = None) -> Iterator[tuple]:
+    """(lang, words, word numbers, and per place: first hash, word hash, is a word) of about a million words each."""
+    cache, gathered = WordHashes(), {}
+
+    def done(lang: str, numbers: _Numbers) -> tuple:
+        chunk, words = np.concatenate(numbers.parts), list(numbers)
+        own = cache.of(words)
+        return lang, words, chunk, mix(own ^ _lang_seed(lang))[chunk], own[chunk], chunk > 0
 
+    for batch in batches:
+        marks = batch.column(2).to_pylist() if cut else None
+        for i, (lang, text) in enumerate(zip(batch.column(0).to_pylist(), values(batch.column(1)))):
+            if lang not in gathered:
+                gathered[lang] = _Numbers()
+            gathered[lang].add(tokens(cut(text, marks[i]) if cut else text))
+            if sum(g.size for g in gathered.values()) > _TOKENS:
+                largest = max(gathered, key=lambda x: gathered[x].size)
+                yield done(largest, gathered.pop(largest))
+    for lang, numbers in gathered.items():
+        yield done(lang, numbers)
 
-def _phrases(docs: DataFrame, proposals, texts: bool) -> DataFrame:
-    """Counts of phrases in parts of the corpus: (lang, k, phrase, n) or, without ``texts``, (h, n).
 
-    The number of words of a part comes as the count of ``k = 0``.
-    """
-    rows = docs.select(F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang"), text_bytes().alias("text"))
+def _texts(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang"), text_bytes().alias("text"), *more)
 
-    def count(lang: str, numbers: _Numbers, cache: WordHashes, shared) -> Iterator[pa.RecordBatch]:
-        chunk, words = np.concatenate(numbers.parts).astype(np.int64), list(numbers)
-        own = cache.of(words)
-        mine = (own, own ^ _lang_seed(lang))
-        if texts:
-            total = int((chunk > 0).sum())
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "k": pa.array([0], pa.int32()), "phrase": [""], "n": [total]})
-        for k, places, counts, hashes in _grams(chunk, mine, shared):
-            if not texts:
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["h", "n"])
-                continue
-            for start in range(0, len(places), 1 << 16):
-                parts = chunk[places[start : start + (1 << 16), None] + np.arange(k)].tolist()
-                found = [b" ".join([words[w] for w in part]) for part in parts]
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * n),
-                        pa.array(np.full(n, k, np.int32)),
-                        pa.array(found, pa.binary()).cast(pa.string()),
-                        pa.array(counts[start : start + n]),
-                    ],
-                    names=["lang", "k", "phrase", "n"],
-                )
+
+def _hash_counts(rows: DataFrame, table, of_chunk: Callable, cut: Callable | None = None) -> DataFrame:
+    """(k, h, n) of the phrases that ``of_chunk`` counts with the broadcast table, summed over the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = [None if p is None else p.value for p in proposals]
-        cache, gathered = WordHashes(), {}
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), values(batch.column(1))):
-                if lang not in gathered:
-                    gathered[lang] = _Numbers()
-                gathered[lang].add(tokens(text))
-                if sum(g.size for g in gathered.values()) > _TOKENS:
-                    largest = max(gathered, key=lambda x: gathered[x].size)
-                    yield from count(largest, gathered.pop(largest), cache, shared)
-        for lang, numbers in gathered.items():
-            yield from count(lang, numbers, cache, shared)
+        for _, _, _, first, words, is_word in _chunks(batches, cut):
+            for k, hashes, counts in of_chunk(first, words, is_word, table and table.value):
+                columns = [pa.array(np.full(len(hashes), k, np.int32)), pa.array(hashes.view(np.int64)), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "n"])
+
+    return rows.mapInArrow(run, "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n"))
+
+
+def _text_counts(rows: DataFrame, wanted) -> DataFrame:
+    """(lang, k, phrase, n) of the phrases whose hash may be wanted; ``k = 0`` counts all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", "k", "phrase", "n"]
+        for lang, words, chunk, first, own, is_word in _chunks(batches):
+            total = [pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([int(is_word.sum())])]
+            yield pa.RecordBatch.from_arrays(total, names=names)
+            for k, phrases, counts in _spelled(chunk, first, own, is_word, wanted.value):
+                for start in range(0, len(phrases), 1 << 15):
+                    part = phrases[start : start + (1 << 15)]
+                    found = [b" ".join([words[w] for w in p]) for p in part.tolist()]
+                    columns = [
+                        pa.array([lang] * len(found)),
+                        pa.array(np.full(len(found), k, np.int32)),
+                        pa.array(found, pa.binary()).cast(pa.string()),
+                        pa.array(counts[start : start + len(found)]),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    counted = rows.mapInArrow(run, "lang string, k int, phrase string, n bigint")
+    return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
-    return rows.mapInArrow(run, "lang string, k int, phrase string, n bigint" if texts else "h bigint, n bigint")
 
+def _proposed(docs: DataFrame, least: int, every: int) -> BitTable:
+    """The bit table of the phrases that are frequent in the sample: one piece in ``every`` of each document."""
 
-def _proposed(docs: DataFrame, least: int, sample_every: int) -> BitTable:
-    """The bit table of the phrases that are frequent in the sample."""
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample_every)) == 0)
-    found = _phrases(sample, [None], texts=False).groupBy("h").agg(F.sum("n").alias("n"))
-    return bit_table(settle(found.filter(F.col("n") >= max(2, int(SLACK * least / sample_every))).select("h")))
+    def cut(text: bytes, start: int) -> bytes:
+        return _BREAK.join(text.translate(_TO_BREAK).split(_BREAK)[start::every])
+
+    rows = _texts(docs, F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)).alias("start"))
+    found = _hash_counts(rows, None, _proposed_border, cut).filter(F.col("n") >= max(2, int(SLACK * least / every)))
+    return bit_table(settle(found.select("h")))
 
 
 def _missing(frequent: DataFrame, proposal) -> DataFrame:
@@ -174,32 +214,26 @@ def _missing(frequent: DataFrame, proposal) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            hashes = np.array([phrase_hash(lang, p.encode().split(b" ")) for lang, p in pairs], np.uint64)
-            hashes = hashes[~proposal.value.may_hold(hashes)]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["h"])
+            yield batch.filter(pa.array(~proposal.value.may_hold(batch.column(0).to_numpy().view(np.uint64))))
 
-    return frequent.filter(F.col("k").between(1, MAX_WORDS - 1)).select("lang", "phrase").mapInArrow(run, "h bigint")
+    return frequent.filter(F.col("k") < MAX_WORDS).select("h").mapInArrow(run, "h bigint")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_every: int = SAMPLE_EVERY) -> DataFrame:
     """Exact counts (lang, k, phrase, n) of all phrases of 1 to 5 words with ``n >= least``, and ``k = 0`` with all words."""
     spark = docs.sparkSession
-    proposals = [spark.sparkContext.broadcast(_proposed(docs, least, sample_every))]
-    out = None
-    while True:
-        counted = _phrases(docs, proposals, texts=True).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-        found = settle(counted.filter((F.col("k") == 0) | (F.col("n") >= least)))
-        if out is not None:  # the number of words is known from the first pass
-            found = found.filter("k > 0")
-        out = found if out is None else out.unionByName(found)
-        missing = settle(_missing(found, proposals[-1]))
-        if missing.isEmpty():
-            return out
-        last = proposals[-1].value
-        more = bit_table(missing, last.bits)
-        wider = spark.sparkContext.broadcast(BitTable(last.words | more.words, last.bits))
-        proposals = [proposals[-1], wider]  # what an earlier one holds, the last one holds too
+
+    def shared(table: BitTable):
+        return spark.sparkContext.broadcast(table)
+
+    proposal = shared(_proposed(docs, least, sample_every))
+    frequent = settle(_hash_counts(_texts(docs), proposal, _proposed_border).filter(F.col("n") >= least))
+    failures = settle(_missing(frequent, proposal))
+    if not failures.isEmpty():
+        around = _hash_counts(_texts(docs), shared(bit_table(failures)), _around)
+        frequent = frequent.unionByName(settle(around.filter(F.col("n") >= least)))
+    counted = _text_counts(_texts(docs), shared(bit_table(frequent.select("h"))))
+    return counted.filter((F.col("k") == 0) | (F.col("n") >= least))
 
 
 def _part(first: Column, n: Column) -> Column:
