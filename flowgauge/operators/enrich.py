@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions import calendar as cal
 from flowgauge.functions import codes
-from flowgauge.operators.slices import wall_micros
+from flowgauge.operators.slices import as_number, names_apart, wall_micros
+from flowgauge.session import settle
 
 
 def join_segments(
@@ -68,6 +69,15 @@ def hour_profile_columns(df: DataFrame) -> DataFrame:
     )
 
 
+#: Length of the smallest time cell; each level's cells are twice as long as those of the level before.
+_CELL_MICROS = 60_000_000
+
+
+def _cell(micros: Column, size: Column) -> Column:
+    """Number of the cell of ``size`` microseconds that holds a time."""
+    return F.call_function("div", micros - F.pmod(micros, size), size)
+
+
 def tag_special_events(
     readings: DataFrame,
     events: DataFrame,
@@ -77,23 +87,39 @@ def tag_special_events(
 ) -> DataFrame:
     """Each reading with the special events active at its time, ends included.
 
-    Events are listed per day they touch, so the join is an equality on the
-    day with the exact interval checked on the few events of that day. A stored
-    event table of small size is broadcast; a large one is merged by day, with
-    crowded days split at run time.
+    An event is filed under the one or two time cells it touches at the level
+    whose cells are just longer than the event, however long it lasts. A
+    reading looks into one cell of each level that some event has, and the
+    exact interval is checked there. So ten-year events cost two rows, and the
+    short events of a busy day are spread over short cells. ``how`` is inner
+    or left; events that end before they start tag nothing.
     """
-    days = events.select(
-        F.explode(
-            F.sequence(F.col("start_time").cast("date"), F.col("end_time").cast("date"))
-        ).alias("_day"),
-        F.col("start_time").alias("_start"),
-        F.col("end_time").alias("_end"),
-        *columns,
-    )
-    active = (F.col(ts).cast("date") == F.col("_day")) & F.col(ts).between(
-        F.col("_start"), F.col("_end")
+    if how not in ("inner", "left"):
+        raise ValueError("how is inner or left")
+    renamed, back = names_apart(readings)
+    ts = next((new for new, old in back.items() if old == ts), ts)
+    own = renamed.columns
+    start, end = as_number(events, "start_time"), as_number(events, "end_time")
+    span = F.call_function("div", end - start, F.lit(_CELL_MICROS))
+    level = F.when(span > 0, F.length(F.bin(span))).otherwise(0)
+    filed = events.filter(F.col("start_time") <= F.col("end_time")).select(
+        level.alias("_level"), start.alias("_first"), end.alias("_last"), *columns,
     )
-    return readings.join(days, active, how).drop("_day", "_start", "_end")
+    size = F.expr(f"shiftleft({_CELL_MICROS}L, _level)")
+    cells = F.explode(F.sequence(_cell(F.col("_first"), size), _cell(F.col("_last"), size)))
+    filed = settle(filed.withColumn("_cell", cells))
+    levels = sorted(r["_level"] for r in filed.select("_level").distinct().collect())  # 63 at most
+
+    rows = renamed if how == "inner" else settle(renamed.withColumn("_row", F.monotonically_increasing_id()))
+    probes = F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))
+    asking = rows.withColumn("_at", as_number(rows, ts)).filter("_at IS NOT NULL").withColumn("_level", probes)
+    asking = asking.withColumn("_cell", _cell(F.col("_at"), size))
+    found = asking.join(filed, ["_level", "_cell"]).filter(F.col("_at").between(F.col("_first"), F.col("_last")))
+    if how == "inner":
+        return found.select(*own, *columns).withColumnsRenamed(back)
+    tags = found.select("_row", *[F.col(c).alias(f"_tag_{c}") for c in columns])
+    tagged = rows.join(tags, "_row", "left").select(*own, *[F.col(f"_tag_{c}").alias(c) for c in columns])
+    return tagged.withColumnsRenamed(back)
 
 
 def step_micros(step: str) -> int:

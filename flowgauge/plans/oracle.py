@@ -362,6 +362,12 @@ SELECT id, recorded_at, CAST(recorded_at AS DATE) IN ({HOLIDAY_LIST}) AS is_holi
 happenings(event_name, event_type, start_time, end_time, impact_level) AS (VALUES {EVENT_ROWS})
 SELECT id, segment_id, recorded_at, event_name, event_type, impact_level
 FROM readings JOIN happenings ON recorded_at BETWEEN start_time AND end_time""",
+    "event_tagging_long": f"""{R},
+happenings AS (
+  SELECT 'e' || id AS event_name, recorded_at AS start_time, recorded_at + to_hours(id % 401) AS end_time
+  FROM readings WHERE id % 331 = 0)
+SELECT id, recorded_at, event_name
+FROM readings LEFT JOIN happenings ON recorded_at BETWEEN start_time AND end_time""",
     "slot_gaps": f"""{R},{GRID}
 SELECT segment_id, count(*) AS n_slots,
        count(*) FILTER (n_readings > 0) AS n_observed, count(*) FILTER (n_readings = 0) AS n_missing,
@@ -433,6 +439,10 @@ SELECT id, segment_id, {r6("l1", "speed_lag1h")}, {r6("l24", "speed_lag24h")},
        {r6("a", "speed_rolling3h")}, n AS speed_rolling3h_n
 FROM lagged""",
     "one_hot_road": f"{with_(SEGMENTS)} SELECT segment_id, {ROAD_DUMMIES} FROM segments",
+    "one_hot_street": f"""{with_(SEGMENTS)}
+SELECT segment_id, (SELECT count(DISTINCT street_name) FROM segments) - 1 AS n_places,
+       dense_rank() OVER (ORDER BY street_name) - 1 AS place
+FROM segments""",
     "feature_frame": f"""{RSC}
 SELECT id, segment_id, recorded_at, hour, day_of_week, month,
        CAST(is_holiday AS INT) AS is_holiday, weather_condition,
@@ -543,6 +553,10 @@ FROM filled""",
 SELECT id, nullif(errors, '') AS error, errors = '' AS has_level, errors = '' AS level_fits,
        errors = '' AS odds_fit
 FROM checked""",
+    "prediction_log": f"""{R},{CHECKED}
+SELECT CAST(r.recorded_at AS DATE) AS target_date, 'v1.0' AS model_version, 2 * count(*) AS n_predictions,
+       CAST(2 AS BIGINT) AS n_runs, count(DISTINCT r.segment_id) AS n_segments
+FROM checked c JOIN readings r ON r.id = c.id WHERE errors = '' GROUP BY 1""",
     "stream_status": f"""{with_(READINGS, SEGMENTS, STATUS)}
 SELECT segment_id, avg_speed_kmh, vehicle_count, congestion_level, weather_condition, recorded_at
 FROM newest""",

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ from flowgauge.streaming import live
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-AS_OF = "2024-01-31 00:00:00"
+AS_OF, LATER = "2024-01-31 00:00:00", "2024-01-31 06:00:00"
 GRID_START, GRID_END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 OFFSET_START, OFFSET_END = "2024-01-03 00:10:00", "2024-01-09 06:40:00"
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 8}
@@ -227,6 +228,19 @@ def event_tagging(spark, sf):
     return enrich.tag_special_events(readings, src.special_events(spark))
 
 
+@query
+def event_tagging_long(spark, sf):
+    """Some readings as events of up to 400 hours, many of them at once; readings without one stay."""
+    readings = src.readings(spark, sf).select("id", "recorded_at")
+    hours = F.make_dt_interval(F.lit(0), (F.col("id") % 401).cast("int"))
+    events = readings.filter("id % 331 = 0").select(
+        F.concat(F.lit("e"), F.col("id")).alias("event_name"),
+        F.col("recorded_at").alias("start_time"),
+        (F.col("recorded_at") + hours).alias("end_time"),
+    )
+    return enrich.tag_special_events(readings, events, how="left", columns=["event_name"])
+
+
 @query
 def slot_gaps(spark, sf):
     readings = src.readings(spark, sf)
@@ -357,6 +371,20 @@ def one_hot_road(spark, sf):
     )
 
 
+@query
+def one_hot_street(spark, sf):
+    """A vector place for every street but the first: the places with a one, and the vector's length."""
+    segments = src.segments(spark, sf)
+    positions = encoding.category_positions(segments, "street_name")
+    coded = encoding.sparse_one_hot(segments, positions, "street_name", "street")
+    values = vector_to_array("street")
+    return coded.select(
+        "segment_id",
+        F.size(values).cast("bigint").alias("n_places"),
+        F.array_position(values, 1.0).cast("bigint").alias("place"),
+    )
+
+
 @query
 def feature_frame(spark, sf):
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
@@ -576,6 +604,20 @@ def prediction_rows(spark, sf):
     )
 
 
+@query
+def prediction_log(spark, sf):
+    """The log after a load, the same load again, and a later prediction of the same requests."""
+    model, path = small_model(spark, sf), scratch_path(spark, "predictions")
+    for at in (AS_OF, AS_OF, LATER):
+        rows = scoring.prediction_rows(src.requests(spark, sf), model, predicted_at=ntz(at))
+        tables.append_predictions(rows, path)
+    return spark.read.parquet(path).groupBy(F.col("date").alias("target_date"), "model_version").agg(
+        F.count(F.lit(1)).alias("n_predictions"),
+        F.count_distinct("predicted_at").alias("n_runs"),
+        F.count_distinct("segment_id").alias("n_segments"),
+    )
+
+
 @query
 def feature_importance(spark, sf):
     return training.feature_importances(spark, small_model(spark, sf))

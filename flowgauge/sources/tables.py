@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from flowgauge.operators.cleaning import fill_defaults
 from flowgauge.operators.quality import duplicate_keys, keep_first, null_violations
+from flowgauge.session import settle
 from flowgauge.sources import schemas
 
 
@@ -185,25 +186,34 @@ def read_requests(spark: SparkSession, path: str, schema: str = schemas.REQUESTS
     )
 
 
+#: What makes a prediction the same one on another load.
+PREDICTION_KEY = [
+    "segment_id", "target_datetime", "predicted_at", "model_version", "input_features",
+    "predicted_level", "confidence_score",
+]
+
+
 def append_predictions(rows: DataFrame, path: str) -> None:
-    """Append predictions below one folder per target date; a prediction that is there already is not added.
+    """Append predictions below one folder per target date, as a log.
 
-    Each gets an ``id`` made of its segment, target, version and inputs, which
-    is equal on every load, and its time of writing as ``created_at``.
+    A row that is there already with the same values is not added, so a load
+    that runs again adds nothing; predictions that differ in any value, such as
+    a later one for the same target, are all kept. Rows are compared by their
+    values, and only the target dates of the new rows are read. Each row gets
+    an ``id`` (a hash of its values) and its time of writing as ``created_at``.
     """
-    made = ["segment_id", "target_datetime", "model_version", "input_features"]
-    named = rows.withColumns(
-        {
-            "id": F.xxhash64(*made),
-            "created_at": F.current_timestamp(),
-            "date": F.col("target_datetime").cast("date"),
-        }
-    )
     spark = rows.sparkSession
-    fresh = keep_first(named, ["id"], "predicted_at")
+    dated = rows.withColumn("date", F.col("target_datetime").cast("date"))
+    fresh = settle(dated.dropDuplicates(PREDICTION_KEY))  # the values must not change between the two jobs
     if exists(spark, path):
-        fresh = fresh.join(spark.read.parquet(path).select("id"), "id", "left_anti")
-    fresh.write.mode("append").partitionBy("date").parquet(path)
+        dates = [r["date"] for r in fresh.select("date").distinct().collect()]
+        stored = spark.read.parquet(path).filter(F.col("date").isin(dates)).select("date", *PREDICTION_KEY)
+        same = F.col("_new.date") == F.col("_old.date")
+        for name in PREDICTION_KEY:
+            same = same & F.col(f"_new.{name}").eqNullSafe(F.col(f"_old.{name}"))
+        fresh = fresh.alias("_new").join(stored.alias("_old"), same, "left_anti")
+    stamped = fresh.withColumns({"id": F.xxhash64(*PREDICTION_KEY), "created_at": F.current_timestamp()})
+    stamped.write.mode("append").partitionBy("date").parquet(path)
 
 
 def counts_while_writing(df: DataFrame, path: str, name: str = "load") -> Mapping[str, int]:

@@ -2,9 +2,13 @@
 
 import json
 import math
-from datetime import date, datetime
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from flowgauge.functions import calendar as cal
@@ -338,3 +342,55 @@ def test_metrics_sink(spark, tmp_path):
     assert tables.read_metrics(spark, str(tmp_path / "m")).first() == record.first()
     (part,) = (tmp_path / "m").glob("part-*.json")
     assert json.loads(part.read_text())["confusion_matrix"] == [[1, 0], [2, 3]]
+
+
+def test_predictions_are_a_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    schema = """segment_id string, predicted_at timestamp, target_datetime timestamp, predicted_level smallint,
+                confidence_score decimal(4,3), model_version string, input_features string"""
+    at, later, target = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 5, 7)
+    first = [("a", at, target, 1, Decimal("0.9"), "v1", "{}"), ("b", at, target, 2, None, None, None)]
+    again = [("a", later, target, 3, Decimal("0.9"), "v1", "{}"), ("a", at, datetime(2024, 2, 1), 1, Decimal("0.9"), "v1", "{}")]
+    for rows in (first + first, first, again, first + again):
+        tables.append_predictions(spark.createDataFrame(rows, schema), path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4 and stored.select("id").distinct().count() == 4
+    assert {(r.segment_id, r.predicted_level, r.date.isoformat()) for r in stored.collect()} == {
+        ("a", 1, "2024-01-05"), ("b", 2, "2024-01-05"), ("a", 3, "2024-01-05"), ("a", 1, "2024-02-01"),
+    }
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_event_tagging_against_all_pairs(spark, how):
+    rng = random.Random(3)
+    start = datetime(2020, 1, 1)
+    times = [start + timedelta(seconds=rng.randint(0, 10**8)) for _ in range(150)] + [start, None, start]
+    lengths = [0, 1, 59, 60, 61, 3600, 86_400, 10**7, 315_360_000]
+    events = [(f"e{i}", s, s + timedelta(seconds=rng.choice(lengths))) for i, s in enumerate(t for t in times[:100])]
+    events += [("backwards", start + timedelta(days=1), start), ("minute", start, start + timedelta(minutes=1))]
+    readings = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "_row int, recorded_at timestamp_ntz")
+    table = spark.createDataFrame(events, "event_name string, start_time timestamp_ntz, end_time timestamp_ntz")
+    found = enrich.tag_special_events(readings, table, how=how, columns=["event_name"])
+    wanted = Counter((i, n) for i, t in enumerate(times) if t for n, a, b in events if a <= t <= b)
+    if how == "left":
+        wanted += Counter((i, None) for i in range(len(times)) if i not in {x for x, _ in wanted})
+    assert found.columns == ["_row", "recorded_at", "event_name"]
+    assert Counter((r[0], r[2]) for r in found.collect()) == wanted
+
+
+def test_sparse_one_hot_of_many_categories_reaches_a_model(spark):
+    rows = spark.range(3001).select(
+        F.when(F.col("id") < 3000, F.concat(F.lit("d"), F.lpad((F.col("id") % 1500).cast("string"), 4, "0"))).alias("district"),
+        (F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 7).cast("double").alias("x"),
+    )
+    positions = encoding.category_positions(rows, "district")
+    coded = encoding.sparse_one_hot(rows.unionByName(rows.limit(1).withColumn("district", F.lit("new"))), positions, "district", "d")
+    at = {r.district: r.d for r in coded.collect()}
+    assert {v.size for v in at.values()} == {1499}
+    assert not list(at["d0000"].indices) and not list(at["new"].indices) and not list(at[None].indices)
+    assert all(list(at[f"d{i:04d}"].indices) == [i - 1] for i in range(1, 1500))
+    whole = encoding.assembler(["x", "d"]).transform(coded)
+    assert whole.first().features.size == 1500
+    assert DecisionTreeClassifier(maxDepth=2).fit(whole).numFeatures == 1500
+    with pytest.raises(ValueError):
+        encoding.sparse_one_hot(rows, positions.limit(1), "district", "d")
