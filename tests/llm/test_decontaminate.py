@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from llm_helpers import rows_of
@@ -89,12 +90,12 @@ UNIT = "|".join(sorted(decontaminate.UNITS, key=len, reverse=True))
 
 
 def brute_words(text):
-    """Template words by a scan of the text, one word after the other."""
+    """(kind, word) of a text by a scan, one word after the other; numbers have a point wherever one stands."""
     out = []
     for m in re.finditer(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+", text or ""):
         word, before = m[0], text[: m.start()]
         if word[0].isdigit():
-            out.append(("#", word))
+            out.append(("#", word.replace(",", ".")))
         elif out and out[-1][0] == "#" and re.search(r"[0-9] ?$", before) and re.fullmatch(UNIT, word.lower()):
             out.append(("u", word.lower()))
         elif re.match(r"[A-ZÀ-Ý][a-zß-ÿ]", word) and re.search(r"[a-zß-ÿ0-9,;:] $", before):
@@ -104,26 +105,59 @@ def brute_words(text):
     return out
 
 
-def brute_leaks(docs, items):
+def brute_item(text):
+    """(word, kind, key) of an item's words: a word seen as a name is one everywhere, a number's key holds its unit."""
+    words = brute_words(text)
+    names = {w for kind, w in words if kind == "n"}
+    out = []
+    for i, (kind, word) in enumerate(words):
+        kind = kind if kind in "#u" else "n" if word in names else "w"
+        unit = words[i + 1] if kind == "#" and words[i + 1 : i + 2] and words[i + 1][0] == "u" else None
+        out.append((word, kind, None if kind == "w" else (kind, word, unit)))
+    return out
+
+
+def brute_covered(item, doc, shift, size, needed):
+    """Windows of the item that its alignment with the document covers."""
+    spots, votes = [], {}
+    for i, (word, kind, key) in enumerate(item):
+        other, value = doc[i + shift] if 0 <= i + shift < len(doc) else (None, None)
+        same = value == word
+        fits = same or (other == kind if kind in "#u" else kind == "n" and other in ("w", "n"))
+        spots.append((key, value, same, fits))
+        if key and fits:
+            votes.setdefault(key, Counter())[(same, value)] += 1
+    best = {key: max((n, same, value) for (same, value), n in found.items())[2] for key, found in votes.items()}
+    literal, agrees, leads = set(), set(), False
+    for i in range(max(1, len(item) - size + 1)):
+        part = spots[i : i + size]
+        if all(same for _, _, same, _ in part):
+            literal.add(i)
+        if all(fits and (key is None or best[key] == value) for key, value, _, fits in part):
+            agrees.add(i)
+            leads |= sum(key is None for key, *_ in part) >= needed
+    return literal | agrees if leads else literal
+
+
+def brute_leaks(docs, items, size=5):
     out = set()
-    template = lambda words: tuple(w if kind == "w" else kind for kind, w in words)
+    described = [(i, brute_item(text)) for i, text in items]
     for doc_id, text in docs:
-        doc = brute_words(text)
-        at = {}
-        for p in range(max(0, len(doc) - 4)):
-            at.setdefault(template(doc[p : p + 5]), []).append(p)
-        for item_id, item_text in items:
-            item = brute_words(item_text)
-            n, lines = len(item) - 4, {}
-            for i in range(n):
-                for p in at.get(template(item[i : i + 5]), []):
-                    lines.setdefault(p - i, set()).add(i)
+        doc, at = brute_words(text), {}
+        for p, (_, word) in enumerate(doc):
+            at.setdefault(word, []).append(p)
+        for item_id, item in described:
+            if not item or (len(item) < size and len(doc) != len(item)):
+                continue
+            n = max(1, len(item) - size + 1)
+            plain = max(sum(key is None for *_, key in item[i : i + size]) for i in range(n))
+            needed = 2 if plain >= 2 else 1
+            shifts = Counter(p - i for i, (word, *_) in enumerate(item) for p in at.get(word, ()))
             covered = set()
-            for shift, places in lines.items():
-                pairs = {(item[i + j], doc[i + j + shift]) for i in places for j in range(5) if item[i + j][0] != "w"}
-                if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                    covered |= places
-            if n > 0 and len(covered) >= 0.8 * n - 1e-9:
+            for shift, equal in shifts.items():
+                if equal >= needed:
+                    covered |= brute_covered(item, doc, shift, size, needed)
+            if len(covered) >= 0.8 * n - 1e-9:
                 out.add((doc_id, item_id, n, len(covered)))
     return out
 
