@@ -2,8 +2,11 @@
 
 ``percentile`` and ``median`` keep every distinct value of a column in one
 buffer. That is used only where the rows, or the estimated distinct values, are
-few enough. Beyond that the value at a rank is found by counting rows in
-ranges: each pass keeps the range that holds the rank and cuts it finer.
+few enough. Beyond that two passes over the table answer all ranks of all
+columns: a mergeable sketch per task brackets each rank between two values, and
+the second pass counts the rows below each bracket and keeps the few inside. The
+value at a rank is then found among those by counting rows in ever finer ranges.
+A rank that the sketch misses is looked for that way in the whole table.
 """
 
 from __future__ import annotations
@@ -11,11 +14,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from flowgauge.session import settle
+
 BUFFER_ROWS = 1_000_000
 _BINS = 16_384
+#: The sketch's ranks are off by at most one row in so many; a bracket reaches twice as far to either side.
+_ACCURACY = 10_000
 
 
 def _known(column: Column) -> Column:
@@ -92,6 +99,56 @@ def _narrow(values: DataFrame, spans: dict) -> dict:
     return out
 
 
+def _brackets(wanted: Mapping[str, list[float]]) -> list[Column]:
+    """Per column one aggregate: the sketched values at both sides of each probability."""
+    far = 2 / _ACCURACY
+    return [
+        F.percentile_approx(
+            f"q_{n}", [p for q in ps for p in (max(q - far, 0.0), min(q + far, 1.0))], _ACCURACY
+        ).alias(f"b_{n}")
+        for n, ps in wanted.items()
+        if ps
+    ]
+
+
+def _between_brackets(
+    values: DataFrame, brackets: Mapping[tuple[str, int], tuple[float, float]]
+) -> dict[tuple[str, int], float]:
+    """Value of a column at each rank whose bracket holds it, from one pass that counts and keeps what is inside.
+
+    ``brackets`` maps (column, rank) to two values. Rows equal to an end of a
+    bracket are only counted, so a value that many rows share is never kept.
+    """
+    spans = sorted({(n, *ends) for (n, _), ends in brackets.items()})
+    seen, counts, inside = Observation(), [], []
+    for i, (n, low, high) in enumerate(spans):
+        at = F.col(n)
+        counts += [
+            F.count_if(at < F.lit(low)).alias(f"below{i}"),
+            F.count_if(at == F.lit(low)).alias(f"low{i}"),
+            F.count_if((at > F.lit(low)) & (at < F.lit(high))).alias(f"inside{i}"),
+            F.count_if((at == F.lit(high)) & F.lit(low < high)).alias(f"high{i}"),
+        ]
+        inside.append(F.when((at > F.lit(low)) & (at < F.lit(high)), F.struct(F.lit(i).alias("i"), at.alias("v"))))
+    kept = values.observe(seen, *counts).select(F.explode(F.array_compact(F.array(*inside))).alias("h"))
+    kept = settle(kept.select("h.i", "h.v"))
+    n_rows, out, ranks = seen.get, {}, {}
+    for (n, rank), ends in brackets.items():
+        i = spans.index((n, *ends))
+        left = rank - n_rows[f"below{i}"]
+        if 0 <= left < n_rows[f"low{i}"]:
+            out[n, rank] = ends[0]
+        elif 0 <= (left := left - n_rows[f"low{i}"]) < n_rows[f"inside{i}"]:
+            ranks[n, rank] = (f"v{i}", left)
+        elif 0 <= left - n_rows[f"inside{i}"] < n_rows[f"high{i}"]:
+            out[n, rank] = ends[1]
+    if ranks:
+        of_span = {name: F.when(F.col("i") == int(name[1:]), F.col("v")) for name, _ in ranks.values()}
+        found = values_at_ranks(kept, of_span, set(ranks.values()))
+        out |= {target: found[place] for target, place in ranks.items()}
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, list[float]],
@@ -116,7 +173,8 @@ def exact_quantiles(
     else:
         sketch = [F.approx_count_distinct(f"q_{n}").alias(f"d_{n}") for n in wanted]
         sketched = numeric.agg(
-            *_ends(f"q_{n}" for n in wanted), *sketch, *[c.alias(f"also_{n}") for n, c in also.items()]
+            *_ends(f"q_{n}" for n in wanted), *sketch, *_brackets(wanted),
+            *[c.alias(f"also_{n}") for n, c in also.items()],
         ).first()
         extra = {n: sketched[f"also_{n}"] for n in also}
         few = max(sketched[f"d_{n}"] for n in wanted) <= buffer_rows
@@ -134,8 +192,16 @@ def exact_quantiles(
 
     ends = {n: sketched[f"q_{n}"] for n in wanted}
     places = {(n, p): (ends[n][0] - 1) * p for n, ps in wanted.items() for p in ps if ends[n][0]}
-    ranks = {(n, f(h)) for (n, _), h in places.items() for f in (math.floor, math.ceil)}
-    at = values_at_ranks(numeric, {n: F.col(f"q_{n}") for n in wanted}, ranks, ends)
+    brackets = {}
+    for (n, p), h in places.items():
+        i = 2 * wanted[n].index(p)
+        for rank in (math.floor(h), math.ceil(h)):
+            brackets.setdefault((n, rank), tuple(sketched[f"b_{n}"][i : i + 2]))
+    values = numeric.select(*[F.col(f"q_{n}").alias(n) for n in wanted])
+    at = _between_brackets(values, brackets) if brackets else {}
+    missed = set(brackets) - set(at)
+    if missed:
+        at |= values_at_ranks(values, {n: F.col(n) for n in wanted}, missed, ends)
     found = {(n, p): None for n, ps in wanted.items() for p in ps}
     for (n, p), h in places.items():
         low, high = at[n, math.floor(h)], at[n, math.ceil(h)]

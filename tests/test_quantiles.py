@@ -38,3 +38,22 @@ def test_rank_search_is_exact(spark, values, p):
     rank = int(p * (len(values) - 1))
     found = quantiles.values_at_ranks(df, {"v": F.col("v")}, [("v", rank)])
     assert found["v", rank] == sorted(values)[rank]
+
+
+def test_two_passes_answer_all_ranks(spark, monkeypatch):
+    """Brackets hold the ranks, and a rank outside its bracket is found as well."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(0, 1, 30_000), rng.integers(0, 5, 30_000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(7)
+    wanted = {"a": [0.0, 0.01, 0.5, 0.999, 1.0], "b": [0.5, 0.8]}
+    whole = []
+    search = quantiles.values_at_ranks
+    monkeypatch.setattr(quantiles, "values_at_ranks", lambda df, *args: whole.append(df.count()) or search(df, *args))
+    for accuracy in (10_000, 50, 10**9):  # the last one leaves brackets without room
+        monkeypatch.setattr(quantiles, "_ACCURACY", min(accuracy, 2**31 - 1))
+        found = quantiles.exact_quantiles(df, wanted, buffer_rows=0)
+        assert all(found["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12) for p in wanted["a"])
+        assert all(found["b", p] == np.quantile(b, p) for p in wanted["b"])
+    assert whole[0] < 300
+    lows = quantiles._between_brackets(df, {("a", 100): (5.0, 6.0)})
+    assert lows == {}
