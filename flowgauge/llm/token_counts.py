@@ -24,6 +24,8 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowgauge.llm.common import text_bytes, values
 from flowgauge.session import settle
@@ -53,11 +55,12 @@ def write_flat(docs: DataFrame, ranks: str, separator: int = SEPARATOR, block_id
     the names for what is counted, not used to count.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    id_type = to_arrow_schema(T.StructType([docs.schema["doc_id"]])).field(0).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, file = encoding(ranks).encode_ordinary, TaskContext.get().partitionId()
         full, held, names, block = 2 * block_ids, bytearray(), [], 0
-        id_kind = pa.list_(pa.int64() if kind == "bigint" else pa.string())
+        id_kind = pa.list_(id_type)
 
         def flush() -> pa.RecordBatch:
             mine = [n for at, n in names if at < full]

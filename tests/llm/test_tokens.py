@@ -178,3 +178,12 @@ def test_separators_of_any_flat_file(spark, id_bytes):
 def test_wide_separator_is_refused(make):
     with pytest.raises(ValueError):
         token_counts.write_flat(make([(1, "x")]), RANKS, separator=1 << 16)
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "smallint"])
+def test_token_counts_with_ids_of_other_types(spark, kind):
+    rows = spark.createDataFrame([(1, "some words"), (2, None), (3, "x " * 500), (None, "")], "doc_id bigint, text string")
+    plain = {r.doc_id: r.n_tokens for r in token_counts.token_counts(rows, vocabulary(BYTE_TOKENIZER)).collect()}
+    other = token_counts.token_counts(rows.withColumn("doc_id", rows.doc_id.cast(kind)), vocabulary(BYTE_TOKENIZER))
+    assert dict(other.dtypes)["doc_id"] == kind
+    assert {r.doc_id and int(r.doc_id): r.n_tokens for r in other.collect()} == plain
