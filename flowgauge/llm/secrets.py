@@ -15,9 +15,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import accumulate, pairwise
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -145,12 +146,14 @@ def candidates(text: str, run_start: int, run_end: int) -> Iterator[tuple[int, i
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], least: float = NOVELTY) -> list[tuple[int, int, str]]:
     """Candidates after a sensitive word that lie outside ``taken`` and add ``least`` of their length."""
-    found = []
+    found, taken = [], sorted(taken)
+    starts, reach = [a for a, _, _ in taken], list(accumulate((b for _, b, _ in taken), max))
     for m in _RUN.finditer(text):
         done = m.start()
         for start, end in candidates(text, *m.span()):
             value = text[start:end]
-            if start < done or not any(c.isalpha() for c in value) or any(a < end and start < b for a, b, _ in taken):
+            before = bisect_left(starts, end)  # of the spans that begin before the candidate's end, the farthest end
+            if start < done or not any(c.isalpha() for c in value) or (before and reach[before - 1] > start):
                 continue
             if not any(c.isdigit() for c in value) and like_words(value):
                 continue

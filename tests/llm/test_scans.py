@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -198,3 +199,11 @@ def test_held_out_urls_are_told_apart(spark):
     found = {r.page_id: r.p_block for r in url_filter.judge(pages, train, rules=()).collect()}
     right = sum((found[i] >= 0.5) == (y == 1) for i, (_, y) in enumerate(test))
     assert right >= 0.75 * len(test)
+
+
+def test_many_spans_and_candidates_take_linear_time():
+    text = 'password = "abcdefgh1234"\nauth = "Zk39vQ1xLp0Wm7Rt"\n' * 6000
+    start = time.perf_counter()
+    found = secrets.scan(text)
+    assert found[0] == 6000 and found[4].count("novel") == 6000
+    assert time.perf_counter() - start < 20
