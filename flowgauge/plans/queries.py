@@ -587,7 +587,9 @@ def score_isolation(spark, sf):
     texts = (F.col("congestion_label") == codes.level_label(level)) & (
         F.col("estimated_speed_kmh") == codes.level_speed_estimate(level)
     )
-    sums = (F.abs(total - 1) < 0.01) & (F.col("confidence") == F.array_max(odds))
+    # the level is one of the most likely ones, and the confidence is its share
+    likeliest = F.element_at("probabilities", F.col("congestion_label")) == F.array_max(odds)
+    sums = (F.abs(total - 1) < 0.01) & (F.col("confidence") == F.array_max(odds)) & likeliest
     return scored.select(
         "id",
         "error",
