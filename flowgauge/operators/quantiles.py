@@ -4,9 +4,9 @@
 buffer. That is used only where the rows, or the estimated distinct values, are
 few enough. Beyond that two passes over the table answer all ranks of all
 columns: a mergeable sketch per task brackets each rank between two values, and
-the second pass counts the rows below each bracket and keeps the few inside. The
-value at a rank is then found among those by counting rows in ever finer ranges.
-A rank that the sketch misses is looked for that way in the whole table.
+the second pass counts the rows below each bracket and the values inside, of
+which there are few. A rank that the sketch misses is found by counting rows of
+the whole table in ever finer ranges.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowgauge.operators.slices import running_offsets
 from flowgauge.session import settle
 
 BUFFER_ROWS = 1_000_000
@@ -116,36 +117,39 @@ def _between_brackets(
 ) -> dict[tuple[str, int], float]:
     """Value of a column at each rank whose bracket holds it, from one pass that counts and keeps what is inside.
 
-    ``brackets`` maps (column, rank) to two values. Rows equal to an end of a
-    bracket are only counted, so a value that many rows share is never kept.
+    ``brackets`` maps (column, rank) to two values. Equal values are combined
+    before the shuffle, and values outside a bracket are only counted.
     """
     spans = sorted({(n, *ends) for (n, _), ends in brackets.items()})
-    seen, counts, inside = Observation(), [], []
+    parts = []
     for i, (n, low, high) in enumerate(spans):
-        at = F.col(n)
-        counts += [
-            F.count_if(at < F.lit(low)).alias(f"below{i}"),
-            F.count_if(at == F.lit(low)).alias(f"low{i}"),
-            F.count_if((at > F.lit(low)) & (at < F.lit(high))).alias(f"inside{i}"),
-            F.count_if((at == F.lit(high)) & F.lit(low < high)).alias(f"high{i}"),
-        ]
-        inside.append(F.when((at > F.lit(low)) & (at < F.lit(high)), F.struct(F.lit(i).alias("i"), at.alias("v"))))
-    kept = values.observe(seen, *counts).select(F.explode(F.array_compact(F.array(*inside))).alias("h"))
-    kept = settle(kept.select("h.i", "h.v"))
-    n_rows, out, ranks = seen.get, {}, {}
+        at, low, high = F.col(n), F.lit(low), F.lit(high)
+        # below the bracket, at its lower end, inside, at its upper end
+        where = F.when(at < low, 0).when(at == low, 1).when(at < high, 2).when(at == high, 3)
+        part = F.struct(F.lit(i).alias("i"), where.alias("k"), F.when(where == 2, at).alias("v"))
+        parts.append(F.when(where.isNotNull(), part))
+    kept = values.select(F.explode(F.array_compact(F.array(*parts))).alias("h")).groupBy("h.i", "h.k", "h.v")
+    kept = settle(kept.agg(F.count(F.lit(1)).alias("n")))
+    sums = {(r["i"], r["k"]): r["n"] for r in kept.groupBy("i", "k").agg(F.sum("n").alias("n")).collect()}
+    out, inside = {}, {}
     for (n, rank), ends in brackets.items():
         i = spans.index((n, *ends))
-        left = rank - n_rows[f"below{i}"]
-        if 0 <= left < n_rows[f"low{i}"]:
+        below, low, within, high = (sums.get((i, k), 0) for k in range(4))
+        if below <= rank < below + low:
             out[n, rank] = ends[0]
-        elif 0 <= (left := left - n_rows[f"low{i}"]) < n_rows[f"inside{i}"]:
-            ranks[n, rank] = (f"v{i}", left)
-        elif 0 <= left - n_rows[f"inside{i}"] < n_rows[f"high{i}"]:
+        elif below + low <= rank < below + low + within:
+            inside[n, rank] = (i, rank - below - low)
+        elif below + low + within <= rank < below + low + within + high:
             out[n, rank] = ends[1]
-    if ranks:
-        of_span = {name: F.when(F.col("i") == int(name[1:]), F.col("v")) for name, _ in ranks.values()}
-        found = values_at_ranks(kept, of_span, set(ranks.values()))
-        out |= {target: found[place] for target, place in ranks.items()}
+    if inside:
+        placed = running_offsets(kept.filter("k = 2"), ["v"], "n", "before", by=["i"])
+        holds = [
+            F.when((F.col("i") == i) & (F.col("before") <= left) & (left < F.col("before") + F.col("n")), j)
+            for j, (i, left) in enumerate(inside.values())
+        ]
+        found = placed.select("v", F.explode(F.array_compact(F.array(*holds))).alias("j")).collect()
+        targets = list(inside)
+        out |= {targets[r["j"]]: r["v"] for r in found}
     return out
 
 

@@ -54,6 +54,6 @@ def test_two_passes_answer_all_ranks(spark, monkeypatch):
         found = quantiles.exact_quantiles(df, wanted, buffer_rows=0)
         assert all(found["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12) for p in wanted["a"])
         assert all(found["b", p] == np.quantile(b, p) for p in wanted["b"])
-    assert whole[0] < 300
+    assert not whole  # every rank lay in its bracket
     lows = quantiles._between_brackets(df, {("a", 100): (5.0, 6.0)})
     assert lows == {}
