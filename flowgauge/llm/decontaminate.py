@@ -1,17 +1,19 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
-Both sides are turned into templates: numbers, capitalised words inside a
-sentence and units after a number become typed placeholders that remember
-their value; everything else is lowered and loses its punctuation. Windows of
-five template words are joined by hash. A matched window lies on an alignment
-(its place in the document minus its place in the item), and an alignment
-counts only if its slots are consistent: one value of the item always stands
-for one value in the document, and no two values for the same one. A document
-holds an item if consistent alignments cover at least 0.8 of its windows.
+Both sides are turned into templates: numbers, capitalised words and units
+after a number become typed placeholders; everything else is lowered and loses
+its punctuation. Windows of five words are joined by hash, in three forms: all
+capitalised words as placeholders, only those inside a sentence, and none (with
+numbers and units as they are). A matched window leads to an alignment (its
+place in the document minus its place in the item), on which both are compared
+word by word: a window counts if it's the same, or if its plain words are the
+same and each slot holds the value that the most places of the alignment give
+to the item's value. A document holds an item if 0.8 of its windows count.
 
 DataFrame functions only. The items' windows are broadcast, in blocks of a
-fixed number of rows, so documents are read and matched in place and only
-matched windows are shuffled.
+fixed number of rows, so documents are matched in place. What leaves the match
+are distinct alignments without words, however often a window is shared; only
+documents with one are moved, once, and an alignment gets the words beside it.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.llm.common import text_key, whole_text, without
+from flowgauge.llm.joins import spread_join
 from flowgauge.session import settle
 
 WINDOW_WORDS = 5
@@ -164,34 +167,53 @@ def _plain_words(part: Column) -> Column:
     return F.size(F.filter(part, lambda m: m["key"].isNull()))
 
 
-def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """(item_id, item_key, ipos, hash, before) of the windows that documents are matched with."""
-    found = windows(items, "item_id", "item_key", "needed", size=size)
+def item_windows(texts: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(item_key, length, ipos, hash, before) of the windows that documents are matched with, one row of ``texts`` per item_key."""
+    found = windows(texts, "item_key", "needed", size=size)
     part = F.slice("words", F.col("pos") + 1, size)
     edge = F.when(F.col("form") == 0, "\x06").otherwise(_FIRST)
     plain = (F.col("form") == 2) | (F.size(F.filter(part, lambda w: w >= edge)) >= F.col("needed"))
     found = found.withColumn("plain", plain).filter("plain AND hash IS NOT NULL")
-    ways = found.select("item_id", "item_key", F.col("pos").alias("ipos"), "hash", hash_before(size).alias("before"))
-    filed = Window.partitionBy("item_id", "item_key").orderBy("ipos").rangeBetween(-1, -1)
+    length, before = F.size("words").alias("length"), hash_before(size).alias("before")
+    ways = found.select("item_key", length, F.col("pos").alias("ipos"), "hash", before)
+    filed = Window.partitionBy("item_key").orderBy("ipos").rangeBetween(-1, -1)
     hit = F.array_contains(F.collect_set("hash").over(filed), F.col("before"))
     return ways.withColumn("before", F.when(hit, F.col("before")))
 
 
-def matches(docs: DataFrame, items: DataFrame, parts: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Places of documents that match one block of items: (doc_id, text_key, item_id, n_windows, ipos).
+def alignments(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(doc, item_key, length, shift): distinct alignments that one block of the items' windows leads to.
 
-    The first of matching windows in a row leads to the alignment, on which
-    the item and the document are compared word by word.
+    The first of matching windows in a row leads to the alignment. The words
+    stay behind: they would be copied once per hit.
     """
-    docs = docs.select("doc_id", text_key().alias("text_key"), "text")
-    found = windows(docs, "doc_id", "text_key", size=size).join(F.broadcast(items), "hash")
+    found = windows(docs.select(_document(), "text"), "doc", size=size).join(F.broadcast(items), "hash")
     found = found.filter((F.col("pos") == 0) | F.col("before").isNull() | (F.col("before") != hash_before(size)))
-    found = found.join(F.broadcast(parts.drop("item_id", "text").dropDuplicates(["item_key"])), "item_key")
-    shift = F.col("pos") - F.col("ipos")
-    places = covered(F.col("mine"), F.col("words"), shift, F.col("n_windows"), F.col("needed"), size)
+    return found.select("doc", "item_key", "length", (F.col("pos") - F.col("ipos")).alias("shift")).distinct()
+
+
+def _document() -> Column:
+    """(doc_id, text_key) of a row; a NULL id equals itself inside of it."""
+    return F.struct("doc_id", text_key().alias("text_key")).alias("doc")
+
+
+def matches(docs: DataFrame, found: DataFrame, texts: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(doc, item_key, n_windows, ipos): windows of items that count on the alignments ``found``, a written table.
+
+    Only documents with an alignment are moved. An alignment gets the words
+    that lie beside its item, and those of a document with very many alignments
+    are dealt over copies of it.
+    """
+    here = docs.select(_document(), "text").join(found.select("doc").distinct(), "doc", "left_semi")
+    here = here.dropDuplicates(["doc"]).select("doc", marked_words(whole_text()).alias("words"))
+    first = F.greatest("shift", F.lit(0))
+    beside = F.slice("words", first + 1, F.greatest(F.col("shift") + F.col("length") - first, F.lit(0)))
+    near = spread_join(found, here, "doc").select("doc", "item_key", beside.alias("words"), (F.col("shift") - first).alias("shift"))
+    near = near.join(texts.select("item_key", "mine", "n_windows", "needed"), "item_key")
+    places = covered(F.col("mine"), F.col("words"), F.col("shift"), F.col("n_windows"), F.col("needed"), size)
     # the outer form here too: the inner one would compare twice
-    found = found.select("doc_id", "text_key", "item_id", "n_windows", F.explode_outer(places).alias("ipos"))
-    return found.filter("ipos IS NOT NULL")
+    near = near.select("doc", "item_key", "n_windows", F.explode_outer(places).alias("ipos"))
+    return near.filter("ipos IS NOT NULL")
 
 
 def covered(mine: Column, words: Column, shift: Column, n: Column, needed: Column, size: int) -> Column:
@@ -254,14 +276,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share
     columns are not read.
     """
     parts = settle(item_words(benchmark, size))
-    items = settle(item_windows(parts, size))
+    texts = settle(parts.dropDuplicates(["item_key"]))
+    items = settle(item_windows(texts, size))
     blocks = max(1, -(-items.count() // BLOCK_ROWS))
-    of_block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)) if blocks > 1 else F.lit(0)
-    found = [matches(docs, items.filter(of_block == b), parts.filter(of_block == b), size) for b in range(blocks)]
-    places = reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_key", "item_id", "n_windows")
-    n = places.agg(F.count_distinct("ipos").alias("n_found"))
+    of_block = F.pmod(F.xxhash64("hash", "item_key", "ipos"), F.lit(blocks)) if blocks > 1 else F.lit(0)
+    found = [alignments(docs, items.filter(of_block == b), size) for b in range(blocks)]
+    found = settle(reduce(DataFrame.unionByName, found).distinct() if blocks > 1 else found[0])
+    places = matches(docs, found, texts, size).join(parts.select("item_id", "item_key"), "item_key")
+    n = places.groupBy("doc", "item_id", "n_windows").agg(F.count_distinct("ipos").alias("n_found"))
     part = F.col("n_found") / F.col("n_windows")
-    return n.withColumn("share", part).filter(F.col("n_found") >= F.ceil(F.col("n_windows") * share - 1e-9))
+    n = n.select("doc.doc_id", "doc.text_key", "item_id", "n_windows", "n_found", part.alias("share"))
+    return n.filter(F.col("n_found") >= F.ceil(F.col("n_windows") * share - 1e-9))
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: float = SHARE) -> DataFrame:
