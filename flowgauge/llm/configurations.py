@@ -144,7 +144,12 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Configuration,
 
 
 def pack(histogram: dict[int, int], capacity: int) -> list[tuple[Configuration, int]]:
-    """length -> count to [(configuration, times)], using every piece exactly once."""
+    """length -> count to [(configuration, times)], using every piece exactly once.
+
+    The program is always solved. Plain best-fit takes its place only if it
+    needs fewer sequences; longer rounds follow while the better of both stays
+    above what the tokens need.
+    """
     left = {size: n for size, n in histogram.items() if n > 0}
     if any(not 0 < size <= capacity for size in left):
         raise ValueError(f"lengths are from 1 to {capacity}")
@@ -154,12 +159,14 @@ def pack(histogram: dict[int, int], capacity: int) -> list[tuple[Configuration,
     sizes = np.array(sorted(left, reverse=True), dtype=np.int64)
     counts = np.array([left[s] for s in sizes.tolist()], dtype=np.int64)
     least = sum(size * n for size, n in left.items()) / capacity
-    best = rounded(left, [], capacity)
+    enough = math.ceil(least) + (1 - LEAST_FILL) * least
+    ways: list[Counter] = []
+    plain = rounded(left, [], capacity)
     for share, patient in ((SHARE, False), (SHARE, True), (SMALL_SHARE, True)):
-        if sum(best.values()) <= math.ceil(least) + (1 - LEAST_FILL) * least:
+        ways.append(rounded(left, fractional(sizes, counts, capacity, share, patient), capacity))
+        best = min(*ways, plain, key=lambda way: sum(way.values()))
+        if sum(best.values()) <= enough:
             break
-        solution = fractional(sizes, counts, capacity, share, patient)
-        best = min(best, rounded(left, solution, capacity), key=lambda way: sum(way.values()))
     packed.update(best)
     return list(packed.items())
 

@@ -72,6 +72,21 @@ def test_few_lengths_against_the_optimum(histogram, capacity, optimum):
     assert sum(times for _, times in packed) <= 1.002 * optimum
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_the_program_packs_documents(spark, folder, monkeypatch):
+    """The configuration program is solved for the lengths of documents, and its fillings are those that are used."""
+    solve, solved = configurations.fractional, []
+    monkeypatch.setattr(configurations, "fractional", lambda *given: solved.append(solve(*given)) or solved[-1])
+    texts = [r.text for r in table(spark, f"/root/testdata/{folder}", "documents").select("text").collect()]
+    histogram = Counter(min(len(ids_of(t)) + 1, 4096) for t in texts)
+    packed = configurations.pack(histogram, 4096)
+    volume = -(-sum(size * n for size, n in histogram.items()) // 4096)
+    assert len(solved) >= 1 and sum(times for _, times in solved[0]) > 0
+    assert volume <= sum(times for _, times in packed) <= 1.001 * volume + 1
+    fillings = {c for found in solved for c, _ in found}
+    assert sum(times for c, times in packed if c in fillings) >= 0.5 * volume
+
+
 def test_fractional_solution_covers_no_more_than_there_is():
     sizes, counts = np.array([7, 5, 4, 3]), np.array([10, 20, 30, 40])
     covered = Counter()
