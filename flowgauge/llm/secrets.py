@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor cannot shorten.
 
 The patterns find assignments to password-like names, access keys and long
-hexadecimal strings. Beyond them, a string with letters that follows a
-sensitive word is a candidate, also right after the ``=`` of an unquoted
-assignment. Its novelty is what it adds to the
+hexadecimal strings. Beyond them, a string that follows a sensitive word is a
+candidate, also right after the ``=`` of an unquoted assignment, after the
+scheme of an Authorization header, the head of a private key and the user of a
+URL. Its novelty is what it adds to the
 compressed size of its surroundings: zstandard, primed with a dictionary of
 common identifiers, compresses the text before it without and with the
 candidate. Names, paths and repeated values add little; a key adds nearly its
@@ -42,13 +43,13 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=~$-]{12,}")
 _INNER = re.compile(r"=+(?=[^=])")
 _SENSITIVE = re.compile(
     r"(?:passphrase|pass|pwd|credentials?|private|secret|token|auth|bearer|signature|access|client|session|cookie|key|salt|hmac|jwt|oauth)"
-    r"[A-Za-z0-9_]*[\"']?\x20*(?:[:=]|=>|\x20is\x20|\x20)[\x20\"'`(\[]*$",
+    r"[A-Za-z0-9_]*[\"']?[\x20\t]*(?:[:=]|=>|\x20is\x20|[\x20\t])[\x20\t\"'`(\[]*(?:(?:basic|bearer|digest|token)\x20+)?$"
+    r"|private\x20key-----\s+$|://[^\s:/@]+:$",
     re.ASCII | re.IGNORECASE,
 )
+_ASSIGNED = re.compile(r"[:=][\x20\t\"'`(\[]*$")
 #: Characters of a candidate.
 LEAST_CHARS = 12
-#: Characters of a run that are measured again from each of its starts; a longer rest only from the first.
-REST = 4096
 #: Characters before a candidate in which the sensitive word must stand.
 REACH = 48
 #: Characters before a candidate that count as its surroundings.
@@ -130,18 +131,29 @@ def novelty(before: str, candidate: str) -> float:
 
 
 def candidates(text: str, run_start: int, run_end: int) -> Iterator[tuple[int, int]]:
-    """Parts of a run that follow a sensitive word: from its start or an inner ``=``, to its end or the next ``=``."""
+    """Parts of a run that follow a sensitive word, the longer ones of a start first.
+
+    They begin at the run's start or after an inner ``=``. The first one goes to
+    the run's end; all go up to the next one that follows a sensitive word, and
+    up to the next ``=``. So a run is measured three times at most, however
+    long it is and however many starts it has.
+    """
     inner = [(m.start(), m.end()) for m in _INNER.finditer(text, run_start, run_end)]
     starts = [run_start] + [after for _, after in inner]
     ends = [at for at, _ in inner] + [run_end]
-    first = True
-    for start, end in zip(starts, ends):
-        if run_end - start >= LEAST_CHARS and _SENSITIVE.search(text, max(0, start - REACH), start):
-            if first or run_end - start <= REST:
-                yield start, run_end
-            if LEAST_CHARS <= end - start < run_end - start:
-                yield start, end
-            first = False
+    led = [k for k, start in enumerate(starts) if _SENSITIVE.search(text, max(0, start - REACH), start)]
+    for k, following in zip(led, [*led[1:], len(starts)]):
+        for end in sorted({run_end if k == led[0] else ends[k], ends[following - 1], ends[k]}, reverse=True):
+            if end - starts[k] >= LEAST_CHARS:
+                yield starts[k], end
+
+
+def readable(text: str, start: int, end: int) -> bool:
+    """Whether a candidate is made of words, or of signs and digits other than an assigned number."""
+    value = text[start:end]
+    if not any(c.isalpha() for c in value):
+        return not (value.isdigit() and _ASSIGNED.search(text, max(0, start - REACH), start))
+    return not any(c.isdigit() for c in value) and like_words(value)
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], least: float = NOVELTY) -> list[tuple[int, int, str]]:
@@ -153,9 +165,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], least: float = NOV
         for start, end in candidates(text, *m.span()):
             value = text[start:end]
             before = bisect_left(starts, end)  # of the spans that begin before the candidate's end, the farthest end
-            if start < done or not any(c.isalpha() for c in value) or (before and reach[before - 1] > start):
-                continue
-            if not any(c.isdigit() for c in value) and like_words(value):
+            if start < done or (before and reach[before - 1] > start) or readable(text, start, end):
                 continue
             if novelty(text[max(0, start - SURROUNDINGS) : start], value) >= least:
                 found.append((start, end, "novel"))
