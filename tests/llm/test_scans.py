@@ -184,6 +184,24 @@ def test_urls_and_rules(spark):
     assert url_filter.judge(pages.limit(0), url_filter.labelled_urls(spark)).count() == 0
 
 
+def test_labels_of_fewer_than_two_classes(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://example.com/en/1"), (3, None)], "page_id bigint, url string")
+    for rows, said in (([], "allow"), ([("http://b.org/", 0.0)], "allow"), ([("http://b.org/", 1.0), (None, 0.0)], "block")):
+        labelled = spark.createDataFrame(rows, "url string, label double")
+        found = {r.page_id: r.verdict for r in url_filter.judge(pages, labelled).collect()}
+        assert found == {1: said, 2: "block", 3: said}
+
+
+def test_labels_name_no_host_of_the_pages(spark, sf_dir):
+    named = set(url_filter.BLOCKED_HOSTS + url_filter.ALLOWED_HOSTS)
+    hosts = {part for r in table(spark, sf_dir, "pages").collect() for part in host_of(r.url).split(".")}
+    assert not named & hosts
+
+
+def host_of(url):
+    return brute_url(url, ())[0]
+
+
 def test_longest_rule_wins(spark):
     rng = random.Random(4)
     labels = ["a", "b", "c"]
@@ -209,6 +227,20 @@ def test_held_out_urls_are_told_apart(spark):
     assert right >= 0.75 * len(test)
 
 
+def test_held_out_hosts_are_told_apart(spark):
+    """Every host by a model of the other four fifths."""
+    hosts = [(h, 1.0) for h in url_filter.BLOCKED_HOSTS] + [(h, 0.0) for h in url_filter.ALLOWED_HOSTS]
+    rows = [(i, f"https://{before}{h}.test{path}", y) for i, (h, y) in enumerate(hosts) for before, path in url_filter.URL_FORMS]
+    right = 0
+    for fold in range(5):
+        train = spark.createDataFrame([r[1:] for r in rows if r[0] % 5 != fold], "url string, label double")
+        pages = spark.createDataFrame([r[:2] for r in rows if r[0] % 5 == fold], "page_id bigint, url string")
+        found = url_filter.judge(pages, train, rules=()).collect()
+        right += sum((r.verdict == "block") == (hosts[r.page_id][1] == 1) for r in found)
+    print(right / len(rows))
+    assert right >= 0.7 * len(rows)
+
+
 @pytest.mark.parametrize("size", [40, 4096, 4097, 60_000])
 def test_the_length_of_a_tail_changes_nothing(size):
     rng = random.Random(size)
