@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.session import settle
+
 READING_RANGES = {"hour": (0, 23), "day_of_week": (0, 6), "month": (1, 12)}
 
 REQUEST_RANGES = {
@@ -67,12 +71,38 @@ def orphan_rows(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> Data
     return fact.join(orphan_keys(fact, key, dim, dim_key).select(key), key, "left_semi")
 
 
+#: Keys that occur more than once, up to which their rows are told apart before any row moves.
+REPEATED_KEYS = 100_000
+
+
 def keep_first(df: DataFrame, key: Sequence[str], tie: str | Column) -> DataFrame:
-    """One row per key value, the one with the smallest ``tie``."""
+    """One row per key value, the one with the smallest ``tie``; NULL keys are equal to each other.
+
+    Keys are counted first, which moves keys alone. With few repeated keys all
+    other rows stay where they are, and only rows of repeated keys are
+    compared; with many, all rows are. Both ways combine rows of a key before
+    the shuffle and give the same rows.
+    """
+    repeated = settle(_repeated(df, key))
+    if repeated.count() > REPEATED_KEYS:
+        return _first_rows(df, key, tie)
+    same = reduce(and_, [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_repeated.k{i}")) for i, k in enumerate(key)])
+    rows, repeated = df.alias("_rows"), repeated.alias("_repeated")
+    several = rows.join(repeated, same, "left_semi")
+    return rows.join(repeated, same, "left_anti").unionByName(_first_rows(several, key, tie))
+
+
+def _first_rows(df: DataFrame, key: Sequence[str], tie: str | Column) -> DataFrame:
     first = F.min_by(F.struct(*df.columns), F.col(tie) if isinstance(tie, str) else tie)
     return df.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(first.alias("_r")).select("_r.*")
 
 
+def _repeated(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(k0, k1, ...): key values that occur more than once, also NULLs."""
+    counts = df.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)]).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter("n > 1").drop("n")
+
+
 def request_errors(
     df: DataFrame,
     ranges: Mapping[str, tuple] = REQUEST_RANGES,

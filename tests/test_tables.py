@@ -124,6 +124,19 @@ def test_quality_checks(spark):
     assert sorted(r.id for r in kept) == [0, 2, 3]
 
 
+@pytest.mark.parametrize("most", [quality.REPEATED_KEYS, 0])
+def test_first_row_of_a_key(spark, monkeypatch, most):
+    monkeypatch.setattr(quality, "REPEATED_KEYS", most)
+    rows = [(i, i // 2 if i < 40 else i, None if i % 7 == 0 else "x", "v") for i in range(200)] + [(500 + i, -1, None, "v") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k0 int, n string, _k0 string").repartition(5)
+    first = {}
+    for row in rows:
+        first[row[1:3]] = min(first.get(row[1:3], row), row)
+    kept = [tuple(r) for r in quality.keep_first(df, ["k0", "n"], "id").collect()]
+    assert sorted(kept, key=lambda r: r[0]) == sorted(first.values())
+    assert quality.keep_first(df.limit(0), ["k0"], "id").count() == 0
+
+
 def test_request_rules(spark):
     df = spark.createDataFrame(
         [("a", 23, 6, 12, 120.0, 0, 10), ("b", 24, 7, 0, -1.0, -5, 0), (None, None, 1, 1, None, None, None)],
