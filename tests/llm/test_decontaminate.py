@@ -187,6 +187,22 @@ def test_names_and_numbers_wherever_they_stand(make, spark):
     assert found(make, items, texts) == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 3), (5, 3), (6, 2)}
 
 
+def test_a_window_that_items_share_and_a_document_repeats(make, spark):
+    rows = [(i, f"what is the value of alpha{'abcdefgh'[i % 8]} under beta{'abcdefgh'[i // 8]} seen by the old gate") for i in range(64)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    repeats = " ".join(f"what is the value of {'xyz'[k % 3] * (2 + k % 5)} near" for k in range(300))
+    shared = decontaminate.leaks(make([(1, repeats), (None, repeats), (2, f"{repeats} {rows[9][1]}"), (3, FILLER)]), items).collect()
+    n_windows = len(rows[9][1].split()) - 4
+    assert {(r.doc_id, r.item_id, r.n_found, r.n_windows) for r in shared} == {(2, 9, n_windows, n_windows)}
+
+
+def test_alignments_carry_no_words(make, benchmark):
+    texts = decontaminate.item_words(benchmark).dropDuplicates(["item_key"])
+    found = decontaminate.alignments(make([(1, f"{QUESTION} {QUESTION}")] * 3), decontaminate.item_windows(texts))
+    assert found.columns == ["doc", "item_key", "length", "shift"]
+    assert found.count() == found.distinct().count() <= 20
+
+
 def test_slots_that_disagree_cost_only_their_windows(make, spark):
     items = spark.createDataFrame([(1, QUESTION), (2, TRAVEL), (3, PAY)], "item_id bigint, text string")
     one_altered = QUESTION.replace("gave 12", "gave 13")  # 5 of 24 windows differ, the others are the same
