@@ -45,11 +45,16 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(table(spark, sf_dir, "events"))
 
 
-def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream; times become zoned, as watermarks ask."""
-    schema = table(spark, sf_dir, "events").schema
+def reading_stream(
+    spark: SparkSession, folder: str, files: str = "events.parquet", **options
+) -> DataFrame:
+    """The event files of a folder as a stream; times become zoned, as watermarks ask."""
+    schema = spark.read.option("pathGlobFilter", files).parquet(folder).schema
     events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", files)
+        .options(**options)
+        .parquet(folder)
     )
     return as_readings(events).withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
 

@@ -312,6 +312,16 @@ def counted(checks: dict[str, str]) -> str:
     )
 
 
+CLOSED_HOURS = f"""
+windows AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, recorded_at) AS window_start,
+         time_bucket(INTERVAL 1 HOUR, recorded_at) + INTERVAL 1 HOUR AS window_end,
+         avg(CAST(congestion_level AS DOUBLE)) AS c, avg(avg_speed_kmh) AS s, count(*) AS record_count
+  FROM readings GROUP BY ALL)
+SELECT window_start, window_end, {r6("c", "avg_congestion")}, {r6("s", "avg_speed")}, record_count
+FROM windows
+WHERE window_end <= (SELECT max(recorded_at) FROM readings) - INTERVAL 10 MINUTE"""
+
 ORACLE: dict[str, str] = {
     "segments_with_district": f"""{with_(SEGMENTS, DISTRICTS)}
 SELECT s.*, d.name AS district_name FROM segments s JOIN districts d ON s.district_code = d.code""",
@@ -560,15 +570,8 @@ FROM checked c JOIN readings r ON r.id = c.id WHERE errors = '' GROUP BY 1""",
     "stream_status": f"""{with_(READINGS, SEGMENTS, STATUS)}
 SELECT segment_id, avg_speed_kmh, vehicle_count, congestion_level, weather_condition, recorded_at
 FROM newest""",
-    "stream_hourly": f"""{R},
-windows AS (
-  SELECT time_bucket(INTERVAL 1 HOUR, recorded_at) AS window_start,
-         time_bucket(INTERVAL 1 HOUR, recorded_at) + INTERVAL 1 HOUR AS window_end,
-         avg(CAST(congestion_level AS DOUBLE)) AS c, avg(avg_speed_kmh) AS s, count(*) AS record_count
-  FROM readings GROUP BY ALL)
-SELECT window_start, window_end, {r6("c", "avg_congestion")}, {r6("s", "avg_speed")}, record_count
-FROM windows
-WHERE window_end <= (SELECT max(recorded_at) FROM readings) - INTERVAL 10 MINUTE""",
+    "stream_hourly": f"{R},{CLOSED_HOURS}",
+    "stream_hourly_corrected": f"{R},{CLOSED_HOURS}",
     "importance_sum": "SELECT 18::BIGINT AS n_features, TRUE AS sums_to_one, TRUE AS none_negative",
     "model_info": """
 SELECT TRUE AS loaded, 'RandomForestClassificationModel' AS model_type, 18 AS n_features, 10 AS n_trees,

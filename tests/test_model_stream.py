@@ -11,7 +11,7 @@ from flowgauge.operators import scoring, training
 from flowgauge.plans import adapters as src
 from flowgauge.plans import jobs
 from flowgauge.sources import schemas, tables
-from flowgauge.streaming import live
+from flowgauge.streaming import live, windows
 
 SF = "/root/testdata/sf0.001"
 FOREST = {"numTrees": 3, "maxDepth": 4}
@@ -189,6 +189,54 @@ def test_hourly_windows_close_once_and_drop_late_rows(spark, tmp_path):
     assert run() == {10: (3, 20.0), 11: (1, 1.0)}
 
 
+def _windows(spark, tmp_path, publish_every, by=()):
+    source, out, state = (tmp_path / n for n in ("in", "out", "state"))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(source))
+    windows.start_windows(stream, str(out), str(state), by=by, publish_every=publish_every, availableNow=True).awaitTermination()
+    rows = windows.read_windows(spark, str(out), by).collect()
+    late = sorted(r.id for r in windows.read_late(spark, str(out)).collect())
+    return {(r.window_start.day, r.window_start.hour, *(r[b] for b in by)): (r.record_count, r.avg_speed, r.n_late) for r in rows}, late
+
+
+@pytest.mark.parametrize("publish_every", [1, 2, 50])
+def test_late_readings_correct_closed_windows(spark, tmp_path, publish_every):
+    source = tmp_path / "in"
+
+    def run():
+        return _windows(spark, tmp_path, publish_every)
+
+    write(spark, source, [(1, "a", "2024-01-01 10:10:00", 10.0, 0), (2, "a", "2024-01-01 10:50:00", 20.0, 2), (3, "a", "2024-01-01 11:05:00", 1.0, 0)])
+    assert run() == ({}, [])
+    write(spark, source, [(4, "a", "2024-01-01 10:59:00", 30.0, 0), (5, "a", "2024-01-02 12:30:00", None, 0)])
+    first = {(1, 10): (3, 20.0, 0), (1, 11): (1, 1.0, 0)}
+    assert run() == (first, [])
+    write(spark, source, [(6, "a", "2024-01-01 10:00:00", 100.0, 0), (7, "a", "2024-01-02 12:10:00", None, 1), (8, "a", "2024-01-01 08:30:00", None, 1)])
+    corrected = {**first, (1, 10): (4, 40.0, 1), (1, 8): (1, None, 1)}
+    assert run() == (corrected, [6, 8])
+    assert run() == (corrected, [6, 8])  # nothing new: nothing added
+    write(spark, source, [(9, "a", "2024-01-02 13:20:00", 1.0, 0)])
+    assert run() == ({**corrected, (2, 12): (2, None, 0)}, [6, 8])
+
+
+def test_readings_without_time_go_to_the_side_output(spark, tmp_path):
+    rows = [(1, "a", None, 1.0, 0), (2, None, datetime(2024, 1, 1, 10), 2.0, None), (3, "b", datetime(2024, 1, 1, 12), 2.0, 0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
+    assert _windows(spark, tmp_path, 1, ["segment_id"]) == ({(1, 10, None): (1, 2.0, 0)}, [1])
+
+
+def test_a_repeated_publication_adds_nothing(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for n, hour in enumerate(("10", "12", "10", "14")):
+        write(spark, source, [(n, "a", f"2024-01-01 {hour}:00:00", float(n), 0)])
+        found, late = _windows(spark, tmp_path, 2)
+    assert found == {(1, 10): (2, 1.0, 1), (1, 12): (1, 1.0, 0)} and late == [2]
+    windows.publish(spark, out, 3)
+    (tmp_path / "out/windows/batch_id=3/_SUCCESS").unlink()  # as if it had died half way
+    assert _windows(spark, tmp_path, 2) == (found, late)
+    windows.publish(spark, out, 3)
+    assert _windows(spark, tmp_path, 2) == (found, late)
+
+
 def test_stream_scoring_equals_batch(spark, trained, tmp_path):
     requests = src.requests(spark, SF)
     requests.write.parquet(str(tmp_path / "in"))
