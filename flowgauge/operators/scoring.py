@@ -94,6 +94,17 @@ def score(
     )
 
 
+INPUTS = [
+    "segment_id", "hour", "day_of_week", "month", "is_holiday",
+    "weather_condition", "avg_speed_kmh", "vehicle_count", "lanes",
+]
+
+
+def _packed(requests: DataFrame) -> DataFrame:
+    inputs = [c for c in INPUTS if c in requests.columns]
+    return requests.withColumn("input_features", F.to_json(F.struct(*inputs)))
+
+
 def prediction_rows(
     requests: DataFrame,
     model: PipelineModel,
@@ -101,14 +112,8 @@ def prediction_rows(
     model_version: str = "v1.0",
     predicted_at=None,
 ) -> DataFrame:
-    """Scored requests in the shape of the ``predictions`` table."""
-    inputs = [
-        "segment_id", "hour", "day_of_week", "month", "is_holiday",
-        "weather_condition", "avg_speed_kmh", "vehicle_count", "lanes",
-    ]
-    packed = requests.withColumn(
-        "input_features", F.to_json(F.struct(*[c for c in inputs if c in requests.columns]))
-    )
+    """Scored requests in the shape of the ``predictions`` table; ``refused_rows`` has the others."""
+    packed = _packed(requests)
     scored = score(packed, model, carry=[target, "input_features"])
     now = F.current_timestamp() if predicted_at is None else F.lit(predicted_at)
     return scored.filter(F.col("error").isNull()).select(
@@ -120,3 +125,19 @@ def prediction_rows(
         F.lit(model_version).alias("model_version"),
         "input_features",
     )
+
+
+def refused_rows(requests: DataFrame, target: str = "recorded_at", carry: Sequence[str] = ()) -> DataFrame:
+    """The quarantine beside ``prediction_rows``: requests that break a rule, with their messages and what they asked.
+
+    Every request is in one of the two tables. The rules need no model, so a
+    load can write this one first.
+    """
+    checked = request_errors(with_request_defaults(_packed(requests))).filter(~F.col("valid"))
+    return checked.select(
+        "segment_id",
+        *carry,
+        F.col(target).cast("timestamp").alias("target_datetime"),
+        F.array_join("errors", "; ").alias("error"),
+        "input_features",
+    )

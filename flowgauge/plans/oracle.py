@@ -546,6 +546,10 @@ SELECT id, coalesce(weather_condition, 'clear') AS weather_condition,
     "insert_if_absent": f"""{RS}
 SELECT * FROM segments WHERE segment_id NOT IN (SELECT segment_id FROM readings)""",
     "validate_requests": f"{R},{CHECKED} SELECT id, errors = '' AS valid, errors FROM checked",
+    "prediction_quarantine": f"""{R},{CHECKED}
+SELECT r.id, r.segment_id, r.recorded_at AS target_datetime, errors AS error,
+       r.segment_id AS asked_segment, r.hour AS asked_hour, CAST(r.id % 12 AS INT) AS asked_lanes
+FROM checked c JOIN readings r ON r.id = c.id WHERE errors <> ''""",
     "fallback_speed": f"""{R},
 probs AS (SELECT id, {WEEKEND.format(SERVING)} AS s FROM readings)
 SELECT id, {FALLBACK} AS fallback_speed FROM probs""",

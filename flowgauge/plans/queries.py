@@ -606,6 +606,22 @@ def prediction_rows(spark, sf):
     )
 
 
+@query
+def prediction_quarantine(spark, sf):
+    """The requests that are refused, and what they asked, read back from JSON."""
+    refused = scoring.refused_rows(src.requests(spark, sf), carry=["id"])
+    asked = F.from_json("input_features", "segment_id bigint, hour int, lanes int")
+    return refused.select(
+        "id",
+        "segment_id",
+        F.col("target_datetime").cast("timestamp_ntz").alias("target_datetime"),
+        "error",
+        asked["segment_id"].alias("asked_segment"),
+        asked["hour"].alias("asked_hour"),
+        asked["lanes"].alias("asked_lanes"),
+    )
+
+
 @query
 def prediction_log(spark, sf):
     """The log after a load, the same load again, and a later prediction of the same requests."""

@@ -142,6 +142,16 @@ def test_prediction_table(spark, trained, tmp_path):
     assert dict(stored.dtypes)["confidence_score"] == "decimal(4,3)"
 
 
+def test_every_request_is_predicted_or_refused(spark, trained):
+    requests = src.requests(spark, SF)
+    predicted = scoring.prediction_rows(requests, trained["model"])
+    refused = scoring.refused_rows(requests, carry=["id"])
+    errors = scoring.score(requests, trained["model"], carry=["id"]).filter("error IS NOT NULL").select("id", "error")
+    assert refused.select("id", "error").exceptAll(errors).isEmpty() and refused.count() == errors.count() > 0
+    assert predicted.count() + refused.count() == requests.count()
+    assert refused.filter("input_features IS NULL").isEmpty()
+
+
 # ---- streams ----------------------------------------------------------------
 
 SCHEMA = "id bigint, segment_id string, recorded_at timestamp, avg_speed_kmh double, congestion_level int"
