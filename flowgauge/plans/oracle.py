@@ -580,6 +580,10 @@ FROM newest""",
     "model_info": """
 SELECT TRUE AS loaded, 'RandomForestClassificationModel' AS model_type, 18 AS n_features, 10 AS n_trees,
        CAST(NULL AS VARCHAR) AS metrics""",
+    "model_info_metrics": f"""{RSC},
+levels(label) AS (VALUES (0), (1), (2), (3))
+SELECT TRUE AS loaded, 18 AS n_features, label, count(clean.id) AS n_test, TRUE AS accuracy_fits
+FROM levels LEFT JOIN clean ON congestion_level = label AND epoch_us(recorded_at) >= {CUTOFF} GROUP BY label""",
     "stream_score_check": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM events",
 }
 

@@ -671,12 +671,15 @@ def tuned_parameters(spark, sf):
     return spark.createDataFrame(rows, "parameters string, f1_weighted double")
 
 
-@query
-def evaluation_record(spark, sf):
+def _record(spark, sf) -> DataFrame:
     frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
     test = splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[1]
-    record = training.evaluate(small_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
-    return record.withColumns(
+    return training.evaluate(small_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
+
+
+@query
+def evaluation_record(spark, sf):
+    return _record(spark, sf).withColumns(
         {
             "confusion_matrix": F.to_json("confusion_matrix"),
             "feature_names": F.array_join("feature_names", ","),
@@ -689,6 +692,19 @@ def model_info(spark, sf):
     return training.model_info(spark, small_model(spark, sf))
 
 
+@query
+def model_info_metrics(spark, sf):
+    """Model info with the metrics of the test rows: rows per level, and whether the accuracy is that of the matrix."""
+    info = training.model_info(spark, small_model(spark, sf), _record(spark, sf))
+    known = "accuracy double, n_features int, confusion_matrix array<array<bigint>>"
+    parsed = info.select("loaded", F.from_json("metrics", known).alias("m"))
+    rows = parsed.select("loaded", "m.*", F.posexplode("m.confusion_matrix").alias("label", "cells"))
+    rows = rows.withColumn("n_test", F.aggregate("cells", F.lit(0).cast("bigint"), lambda a, b: a + b))
+    hits, total = rows.agg(F.sum(F.col("cells")[F.col("label")])), rows.agg(F.sum("n_test"))
+    same = F.abs(F.col("accuracy") - hits.scalar() / total.scalar()) <= 0.00005001
+    return rows.select("loaded", "n_features", "label", "n_test", same.alias("accuracy_fits"))
+
+
 # ---- streams ----------------------------------------------------------------
 
 
