@@ -86,6 +86,18 @@ def sparse_one_hot(
     return encoder.transform(placed.withColumn("_at", at)).select(*df.columns, out)
 
 
+def vector_places(vector: str) -> tuple[Column, Column]:
+    """Length of a sparse 0/1 vector, and the place of its first one from 1 (0: none).
+
+    Both are read from the stored places, so a row costs what it holds and not
+    the vector's length, as an array of it would.
+    """
+    stored = F.unwrap_udt(F.col(vector))
+    nth = F.array_position(stored["values"], F.lit(1.0)).cast("int")
+    place = F.coalesce(F.get(stored["indices"], nth - 1) + 1, F.lit(0))
+    return stored["size"].cast("bigint"), place.cast("bigint")
+
+
 def assembler(features: Sequence[str] = MODEL_FEATURES, out: str = "features") -> VectorAssembler:
     """Feature vector by column name; a NULL feature is an error."""
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")

@@ -1,8 +1,11 @@
 """Cleaning, quality, joins, encoding, scaling, metrics and the sources."""
 
+import contextlib
+import io
 import json
 import math
 import random
+import re
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -391,6 +394,32 @@ def test_event_tagging_against_all_pairs(spark, how):
     assert Counter((r[0], r[2]) for r in found.collect()) == wanted
 
 
+def test_event_tags_are_not_shuffled(spark):
+    readings = spark.range(40).select("id", F.lit(datetime(2024, 1, 5)).cast("timestamp_ntz").alias("recorded_at"))
+    events = spark.range(50).select(
+        F.col("id").alias("event_name"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("start_time"),
+        F.lit(datetime(2024, 1, 9)).cast("timestamp_ntz").alias("end_time"),
+    )
+    found = enrich.tag_special_events(readings, events, how="left", columns=["event_name"])
+    assert found.count() == 2000
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        found.explain(mode="formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan.getvalue())
+    assert moved and not [c for c in moved if "_row" in c and "_tag" in c]  # hits and rows, but no (reading, event)
+
+
+def test_places_of_long_sparse_vectors(spark):
+    positions = spark.range(400_000).select(F.col("id").alias("street"), F.col("id").alias("position"))
+    rows = spark.range(4000).select(F.when(F.col("id") < 3998, F.col("id") * 100).alias("street"), F.col("id"))
+    rows = rows.withColumn("street", F.when(F.col("id") == 3999, F.lit(-1)).otherwise(F.col("street")))
+    size, place = encoding.vector_places("v")
+    found = encoding.sparse_one_hot(rows, positions, "street", "v").select("id", size.alias("n"), place.alias("p")).collect()
+    assert {r.n for r in found} == {399_999}
+    assert {r.id: r.p for r in found} == {i: i * 100 if i < 3998 else 0 for i in range(4000)}
+
+
 def test_sparse_one_hot_of_many_categories_reaches_a_model(spark):
     rows = spark.range(3001).select(
         F.when(F.col("id") < 3000, F.concat(F.lit("d"), F.lpad((F.col("id") % 1500).cast("string"), 4, "0"))).alias("district"),
