@@ -12,12 +12,13 @@ from hypothesis import strategies as st
 from llm_helpers import ordered, rows_of
 from pyspark.sql import functions as F
 
-from flowgauge.llm import configurations, packing, token_counts
+from flowgauge.llm import configurations, packing, token_counts, tokens
 from flowgauge.llm.common import table
 from flowgauge.llm.queries import BYTE_TOKENIZER, WORD_TOKENIZER, vocabulary
 from flowgauge.llm.tokens import word_ids
 
 TOKENIZER, RANKS = vocabulary(WORD_TOKENIZER), vocabulary(BYTE_TOKENIZER)
+MERGES = []
 TEXTS = ["One, two. three", None, "", "   ", "<|endoftext|> <|EndOfText|>", "É́ J̌ ² ½ 日本 it's We'LL", "word " * 9000, "a" * 3000]
 
 
@@ -42,6 +43,23 @@ def test_full_memory_changes_nothing(monkeypatch):
     assert len(fresh.known) <= 3
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abstzé\xdf\xe0\xed\xf7\xffà,.!#$'_-`~^|<>&9", min_size=1, max_size=12))
+def test_ids_by_the_merges_alone(text):
+    words = tokens.WordIds(TOKENIZER) if not MERGES else MERGES[0]
+    MERGES[:] = [words]
+    assert words.direct
+    assert words._merged(text) in (None, ids_of(text))
+
+
+def test_plain_words_do_not_pass_the_whole_tokenizer():
+    words = tokens.WordIds(TOKENIZER)
+    assert all(words._merged(w) == ids_of(w) for w in ["word", "caf\xe9", "\xfcber###", "end.", "x_", "\xff"])
+    assert all(words._merged(w) is None for w in ["Word", "it's", "a1", "\xc9", "a\u0301", "12", "#", "a.b"])
+    words.tokenizer = None  # would fail if it were asked
+    assert list(np.frombuffer(words.ids("Plain words caf\xe9 again%%%".encode()), "<u4")) == ids_of("plain words caf\xe9 again%%%")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 40), st.dictionaries(st.integers(1, 40), st.integers(0, 60), max_size=25))
 def test_packing_uses_every_piece_once(capacity, histogram):
