@@ -18,6 +18,7 @@ which phrases may be frequent. A last pass counts those by their text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,9 @@ SLACK = 0.6
 NO_LANG = "und"
 #: Words that a task gathers before it counts.
 _TOKENS = 1 << 20
+#: Phrases whose counts a task holds, and those that are spelled at once.
+_SUMMED = 1 << 19
+_SPELLED = 1 << 15
 _SALTS = 64
 _BREAK = b"\xff"  # no byte of UTF-8
 _TO_BREAK = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", _BREAK * 10)
@@ -174,28 +178,47 @@ def _hash_counts(rows: DataFrame, table, of_chunk: Callable, cut: Callable | Non
     return rows.mapInArrow(run, "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n"))
 
 
-def _text_counts(rows: DataFrame, wanted) -> DataFrame:
-    """(lang, k, phrase, n) of the phrases whose hash may be wanted; ``k = 0`` counts all words."""
+def _task_counts(rows: DataFrame, wanted, most: int = _SUMMED) -> DataFrame:
+    """(lang, k, phrase, n) of the phrases in each task whose hash may be wanted; ``k = 0`` counts all words.
+
+    A task adds the counts of its chunks up before it gives them out, and
+    gives out what it has whenever it holds more than ``most`` phrases.
+    """
+
+    def batch_of(lang: str, k: int, counts: dict[bytes, int]) -> pa.RecordBatch:
+        columns = [
+            pa.array([lang] * len(counts)),
+            pa.array(np.full(len(counts), k, np.int32)),
+            pa.array(list(counts), pa.binary()).cast(pa.string()),
+            pa.array(list(counts.values()), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "k", "phrase", "n"]
+        summed: dict[tuple[str, int], dict[bytes, int]] = {}
+        size = 0
         for lang, words, chunk, first, own, is_word in _chunks(batches):
-            total = [pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([int(is_word.sum())])]
-            yield pa.RecordBatch.from_arrays(total, names=names)
-            for k, phrases, counts in _spelled(chunk, first, own, is_word, wanted.value):
-                for start in range(0, len(phrases), 1 << 15):
-                    part = phrases[start : start + (1 << 15)]
-                    found = [b" ".join([words[w] for w in p]) for p in part.tolist()]
-                    columns = [
-                        pa.array([lang] * len(found)),
-                        pa.array(np.full(len(found), k, np.int32)),
-                        pa.array(found, pa.binary()).cast(pa.string()),
-                        pa.array(counts[start : start + len(found)]),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    counted = rows.mapInArrow(run, "lang string, k int, phrase string, n bigint")
-    return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+            spelled = _spelled(chunk, first, own, is_word, wanted.value)
+            for k, phrases, counts in chain([(0, None, is_word.sum(keepdims=True))], spelled):
+                sums = summed.setdefault((lang, k), {})
+                size -= len(sums)
+                for start in range(0, len(counts), _SPELLED):
+                    part = [()] if phrases is None else phrases[start : start + _SPELLED].tolist()
+                    for p, n in zip(part, counts[start : start + _SPELLED].tolist()):
+                        phrase = b" ".join([words[w] for w in p])
+                        sums[phrase] = sums.get(phrase, 0) + n
+                size += len(sums)
+            if size > most:
+                yield from (batch_of(*key, sums) for key, sums in summed.items())
+                summed, size = {}, 0
+        yield from (batch_of(*key, sums) for key, sums in summed.items())
+
+    return rows.mapInArrow(run, "lang string, k int, phrase string, n bigint")
+
+
+def _text_counts(rows: DataFrame, wanted) -> DataFrame:
+    """The counts of ``_task_counts`` summed over the corpus."""
+    return _task_counts(rows, wanted).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _proposed(docs: DataFrame, least: int, every: int) -> BitTable:
