@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.functions import codes
+from flowgauge.session import dealt
 
 EVENT_WEATHER = {"view": "clear", "click": "rain", "purchase": "heavy_rain", "signup": "fog"}
 
@@ -105,8 +106,8 @@ def special_events(spark: SparkSession) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reading as a scoring request; some break the rules."""
-    return readings(spark, sf_dir).select(
+    """Every reading as a scoring request, dealt evenly as scoring needs no shuffle; some break the rules."""
+    return as_readings(dealt(table(spark, sf_dir, "events"))).select(
         "id",
         "segment_id",
         "recorded_at",

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowgauge.operators.scoring import score
 from flowgauge.operators.status import STATUS_COLUMNS, latest_per_key
+from flowgauge.session import dealt
 
 BATCH = "batch_id"
 #: After so many batches the changes are merged into one table by key.
@@ -146,7 +147,7 @@ def hourly_windows(
 
 def score_stream(requests: DataFrame, model: PipelineModel, carry: Sequence[str] = ()) -> DataFrame:
     """Scored requests; the model is stateless, so this works row by row."""
-    return score(requests, model, carry=carry)
+    return score(dealt(requests), model, carry=carry)
 
 
 def start_append(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -257,3 +257,10 @@ def test_stream_scoring_equals_batch(spark, trained, tmp_path):
     live_rows = spark.read.parquet(str(tmp_path / "out")).select(columns)
     batch_rows = scoring.score(requests, trained["model"], carry=["id"]).select(columns)
     assert live_rows.exceptAll(batch_rows).isEmpty() and live_rows.count() == requests.count()
+
+
+def test_requests_of_one_row_group_are_scored_in_many_tasks(spark, trained):
+    assert src.table(spark, SF, "events").rdd.getNumPartitions() == 1
+    scored = scoring.score(src.requests(spark, SF), trained["model"], carry=["id"])
+    assert scored.rdd.getNumPartitions() == 4
+    assert scored.count() == src.readings(spark, SF).count()
