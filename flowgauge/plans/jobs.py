@@ -15,7 +15,7 @@ from flowgauge.operators import cleaning, encoding, enrich, series, splits, trai
 from flowgauge.operators.metrics import score_summary
 from flowgauge.operators.quantiles import medians
 from flowgauge.operators.slices import SLICE_ROWS, group_sizes
-from flowgauge.session import settle
+from flowgauge.session import dealt, settle
 from flowgauge.sources import tables
 
 ONE_HOT = {"district_code": "dist", "road_type": "road"}
@@ -71,12 +71,14 @@ def feature_frame(
 ) -> DataFrame:
     """Join, clean, calendar, lag/rolling and one-hot columns.
 
-    Where Spark broadcasts the segments, the only shuffle of the readings is
+    The readings are written once, dealt evenly, as they are read three times.
+    Where Spark broadcasts the segments, the only further shuffle of them is
     the one of the lag window. Pass the ``fit`` of the training rows to keep
     test rows out of the medians, and ``include_current=False`` to keep the
     current speed out of the rolling mean. ``one_hot=False`` leaves out the
     0/1 column per district and road type; the categories stay as columns.
     """
+    readings = settle(dealt(readings))
     rows, largest = group_sizes(readings, [key])
     if fit is None:
         fit = fit_features(readings, segments, key, rows, one_hot)

@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -264,3 +265,10 @@ def test_requests_of_one_row_group_are_scored_in_many_tasks(spark, trained):
     scored = scoring.score(src.requests(spark, SF), trained["model"], carry=["id"])
     assert scored.rdd.getNumPartitions() == 4
     assert scored.count() == src.readings(spark, SF).count()
+
+
+def test_features_of_one_row_group_are_made_of_dealt_readings(spark):
+    frame = jobs.feature_frame(src.readings(spark, SF), src.segments(spark, SF))
+    parts = {Path(f).parent for f in frame.inputFiles()} - {Path(SF)}
+    files = [[f for f in folder.iterdir() if f.suffix == ".parquet"] for folder in (Path(str(p)[5:]) for p in parts)]
+    assert 4 in map(len, files) and frame.count() <= src.readings(spark, SF).count()
