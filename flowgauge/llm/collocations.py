@@ -11,8 +11,12 @@ all phrases that hold a failure, whatever else they hold, and with it the mining
 is closed. Counts are exact whatever the sample was: a poor or a full bit table
 costs more counted phrases, never a phrase.
 
-The counts of these passes are by 64-bit hash, which is enough to find out
-which phrases may be frequent. A last pass counts those by their text.
+The counts of these passes are by a 64-bit hash of the phrase and its last word's,
+from which the hash of the words before that one follows: the hash can be undone.
+So a frequent phrase is spelled by joining the frequent phrases with each other, word
+by word, and a last pass over the texts only counts frequent words by their text.
+Two words of one hash, or phrases of one hash with different last words, would show
+there; then a pass counts all phrases by their text instead.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from flowgauge.llm.bloom import BitTable, bit_table
 from flowgauge.llm.common import text_bytes, values
 from flowgauge.llm.joins import counted_join
-from flowgauge.llm.words import WordHashes, followed_by, mix
+from flowgauge.llm.words import WordHashes, followed_by, head_of, mix
 from flowgauge.session import settle
 
 MAX_WORDS = 5
@@ -89,8 +93,18 @@ def _at(mask: np.ndarray, table: BitTable, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _counted(hashes: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs of phrase hash and last word's, and how often each occurs (in several parts, if hashes are equal)."""
+    order = np.argsort(hashes)
+    hashes, last = hashes[order], last[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (last[1:] != last[:-1])
+    at = np.flatnonzero(new)
+    return hashes[at], last[at], np.diff(at, append=len(hashes))
+
+
 def _proposed_border(first, words, is_word, proposal: BitTable | None) -> Iterator[tuple]:
-    """(k, hashes, counts) of a chunk's phrases whose shorter parts are all proposed (None proposes everything)."""
+    """(k, hashes, last words, counts) of a chunk's phrases whose shorter parts are all proposed (None proposes everything)."""
     is_open, before = None, None
     for k, valid, hashes in _rolling(first, words, is_word):
         if k == 1:
@@ -100,17 +114,17 @@ def _proposed_border(first, words, is_word, proposal: BitTable | None) -> Iterat
             is_open = held[:-1] & held[1:]  # so all words are in one piece
         if not is_open.any():
             return
-        yield k, *np.unique(hashes[is_open], return_counts=True)
+        yield k, *_counted(hashes[is_open], words[k - 1 :][is_open])
         before = hashes
 
 
 def _around(first, words, is_word, failures: BitTable) -> Iterator[tuple]:
-    """(k, hashes, counts) of a chunk's phrases that hold a failure as a shorter part."""
+    """(k, hashes, last words, counts) of a chunk's phrases that hold a failure as a shorter part."""
     holds = None
     for k, valid, hashes in _rolling(first, words, is_word):
         longer = np.zeros(len(valid), dtype=bool) if holds is None else (holds[:-1] | holds[1:]) & valid
         if longer.any():
-            yield k, *np.unique(hashes[longer], return_counts=True)
+            yield k, *_counted(hashes[longer], words[k - 1 :][longer])
         holds = longer | _at(valid, failures, hashes)
 
 
@@ -163,15 +177,88 @@ def _texts(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def _hash_counts(rows: DataFrame, table, of_chunk: Callable, cut: Callable | None = None) -> DataFrame:
-    """(k, h, n) of the phrases that ``of_chunk`` counts with the broadcast table, summed over the corpus."""
+    """(k, h, n, w, other) of the phrases that ``of_chunk`` counts with the broadcast table, summed over the corpus.
+
+    ``w`` is the hash of the last word, and ``other`` a different one if phrases of one hash don't end in one word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, first, words, is_word in _chunks(batches, cut):
-            for k, hashes, counts in of_chunk(first, words, is_word, table and table.value):
-                columns = [pa.array(np.full(len(hashes), k, np.int32)), pa.array(hashes.view(np.int64)), pa.array(counts)]
-                yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "n"])
+            for k, hashes, last, counts in of_chunk(first, words, is_word, table and table.value):
+                numbers = [hashes.view(np.int64), last.view(np.int64), counts]
+                columns = [pa.array(np.full(len(hashes), k, np.int32)), *map(pa.array, numbers)]
+                yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "w", "n"])
+
+    counted = rows.mapInArrow(run, "k int, h bigint, w bigint, n bigint")
+    ends = (F.min("w").alias("w"), F.max("w").alias("other"))
+    return counted.groupBy("k", "h").agg(F.sum("n").alias("n"), *ends)
+
+
+def _word_counts(rows: DataFrame, wanted) -> DataFrame:
+    """(lang, h, w, word, n) of the words whose hash ``h`` may be wanted; a NULL word counts all words."""
+    schema = "lang string, h bigint, w bigint, word string, n bigint"
+    names = ["lang", "h", "w", "word", "n"]
 
-    return rows.mapInArrow(run, "k int, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, chunk, first, own, is_word in _chunks(batches):
+            counts = np.bincount(chunk, minlength=len(words))
+            hashes, last = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+            hashes[chunk], last[chunk] = first, own
+            found = np.flatnonzero(wanted.value.may_hold(hashes))
+            found = found[found > 0]  # 0 is the break
+            columns = [
+                pa.array([lang] * (len(found) + 1)),
+                pa.array([0, *hashes[found].view(np.int64).tolist()], pa.int64()),
+                pa.array([0, *last[found].view(np.int64).tolist()], pa.int64()),
+                pa.array([None, *(words[i] for i in found.tolist())], pa.binary()).cast(pa.string()),
+                pa.array([int(is_word.sum()), *counts[found].tolist()], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(run, schema).groupBy("lang", "h", "w", "word").agg(F.sum("n").alias("n"))
+
+
+def _with_heads(frequent: DataFrame) -> DataFrame:
+    """Frequent phrases of two words or more, with the hash ``head`` of the phrase without its last word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, w = (batch.column(i).to_numpy().view(np.uint64) for i in (1, 2))
+            yield batch.append_column("head", pa.array(head_of(h, w).view(np.int64)))
+
+    longer = frequent.filter("k > 1").select("k", "h", "w", "n")
+    return longer.mapInArrow(run, "k int, h bigint, w bigint, n bigint, head bigint")
+
+
+def _repeated(rows: DataFrame, *key: str) -> bool:
+    """Whether a key is held by more than one row."""
+    return not rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def _spelled_counts(rows: DataFrame, frequent: DataFrame, least: int, shared: Callable) -> DataFrame | None:
+    """(lang, k, phrase, n) of the frequent phrases, and ``k = 0`` with all words; None if two share a hash."""
+    single = frequent.filter("k = 1").select("h")
+    words = settle(_word_counts(rows, shared(bit_table(single))))
+    total = words.filter("word IS NULL").select("lang", F.lit(0).alias("k"), F.lit("").alias("phrase"), "n")
+    words = words.filter("word IS NOT NULL")
+    texts = settle(words.select("w", "word").distinct())
+    if not frequent.filter("w <> other").isEmpty() or _repeated(words, "h") or _repeated(texts, "w"):
+        return None
+    longer = settle(_with_heads(frequent))
+    uses = longer.groupBy("w").agg(F.count(F.lit(1)).alias("uses"))
+    longer = settle(counted_join(longer, settle(texts.join(uses.hint("merge"), "w")), ["w"], "uses"))
+    level = words.filter(F.col("n") >= least).select("lang", F.lit(1).alias("k"), "h", F.col("word").alias("phrase"), "n")
+    levels = [level]
+    for k in range(2, MAX_WORDS + 1):
+        heads = level.select("lang", F.col("h").alias("head"), F.col("phrase").alias("start"))
+        grown = longer.filter(F.col("k") == k).join(heads.hint("merge"), "head")
+        phrase = F.concat_ws(" ", "start", "word").alias("phrase")
+        level = settle(grown.select("lang", "k", "h", phrase, "n"))
+        levels.append(level)
+    found = total
+    for level in levels:
+        found = found.unionByName(level.drop("h"))
+    return found if found.filter("k > 0").count() == frequent.count() else None
 
 
 def _text_counts(rows: DataFrame, wanted) -> DataFrame:
@@ -231,7 +318,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_every: int = SA
     failures = settle(_missing(frequent, proposal))
     if not failures.isEmpty():
         around = _hash_counts(_texts(docs), shared(bit_table(failures)), _around)
-        frequent = frequent.unionByName(settle(around.filter(F.col("n") >= least)))
+        found = frequent.unionByName(around.filter(F.col("n") >= least))
+        frequent = settle(found.dropDuplicates(["k", "h"]))  # both passes count whole phrases
+    spelled = _spelled_counts(_texts(docs), frequent, least, shared)
+    if spelled is not None:
+        return spelled
     counted = _text_counts(_texts(docs), shared(bit_table(frequent.select("h"))))
     return counted.filter((F.col("k") == 0) | (F.col("n") >= least))
 

@@ -24,6 +24,27 @@ def followed_by(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(head * _ODD + word)
 
 
+def _inverse(odd: int) -> np.uint64:
+    return np.uint64(pow(odd, -1, 1 << 64))
+
+
+def _unshifted(x: np.ndarray, shift: int) -> np.ndarray:
+    """The numbers of which ``y ^ (y >> shift)`` made ``x``, for shifts above 21."""
+    return x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))
+
+
+def unmix(x: np.ndarray) -> np.ndarray:
+    """The number that ``mix`` made ``x`` of."""
+    x = _unshifted(x, 31) * _inverse(0x94D049BB133111EB)
+    x = _unshifted(x, 27) * _inverse(0xBF58476D1CE4E5B9)
+    return _unshifted(x, 30)
+
+
+def head_of(sequence: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hashes ``head`` with ``followed_by(head, word) == sequence``."""
+    return (unmix(sequence) - word) * _inverse(int(_ODD))
+
+
 class WordHashes(dict):
     """word (bytes) -> XXH64, each computed once while it is remembered."""
 

@@ -7,11 +7,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm_helpers import rows_of
 
 from flowgauge.llm import bloom, collocations, joins, lexical_search, setsketch
 from flowgauge.llm.common import table
-from flowgauge.llm.words import WordHashes
+from flowgauge.llm.words import WordHashes, followed_by, head_of, mix, unmix
 
 # ---- SetSketch --------------------------------------------------------------
 
@@ -151,6 +152,30 @@ def test_collocations_against_brute_force(spark, monkeypatch, every, tokens):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
+def test_a_head_is_found_from_its_sequence():
+    hashes = np.random.default_rng(1).integers(0, 1 << 64, (2, 1000), dtype=np.uint64)
+    assert (unmix(mix(hashes[0])) == hashes[0]).all()
+    assert (head_of(followed_by(*hashes), hashes[1]) == hashes[0]).all()
+
+
+@pytest.mark.parametrize("shared_hash", [False, True])
+def test_phrases_are_spelled_by_joins_or_counted_by_text(spark, monkeypatch, shared_hash):
+    by_text, by_hash = collocations._text_counts, collocations._hash_counts
+    passes = []
+
+    def hashes(*args):  # as if some phrases of one hash had another last word
+        return by_hash(*args).withColumn("other", F.col("w") + F.when(F.col("k") == 2, 1).otherwise(0))
+
+    monkeypatch.setattr(collocations, "_text_counts", lambda *a: passes.append(1) or by_text(*a))
+    if shared_hash:
+        monkeypatch.setattr(collocations, "_hash_counts", hashes)
+    rows = [(lang, f"{a} b c d{i % 3}. e f {a}") for i, (lang, a) in enumerate([("en", "a"), ("fr", "ä"), ("en", "x")] * 40)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id int, text string, lang string")
+    found = collocations.collocations(docs, least=20, top=50)
+    assert sorted(map(tuple, found.collect())) == brute_collocations(rows, 20, 50)
+    assert len(passes) == shared_hash
+
+
 # ---- ranked search ----------------------------------------------------------
 
 
