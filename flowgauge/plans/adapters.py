@@ -46,6 +46,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(table(spark, sf_dir, "events"))
 
 
+def dealt_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings, dealt evenly before anything is made of a row group's events."""
+    return as_readings(dealt(table(spark, sf_dir, "events")))
+
+
 def reading_stream(
     spark: SparkSession, folder: str, files: str = "events.parquet", **options
 ) -> DataFrame:
@@ -107,7 +112,7 @@ def special_events(spark: SparkSession) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading as a scoring request, dealt evenly as scoring needs no shuffle; some break the rules."""
-    return as_readings(dealt(table(spark, sf_dir, "events"))).select(
+    return dealt_readings(spark, sf_dir).select(
         "id",
         "segment_id",
         "recorded_at",

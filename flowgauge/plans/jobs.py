@@ -68,17 +68,20 @@ def feature_frame(
     include_current: bool = True,
     one_hot: bool = True,
     slice_rows: int = SLICE_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Join, clean, calendar, lag/rolling and one-hot columns.
 
-    The readings are written once, dealt evenly, as they are read three times.
+    The readings are written once, dealt evenly, as they are read three times,
+    unless they are a written table that was dealt already (``written``).
     Where Spark broadcasts the segments, the only further shuffle of them is
     the one of the lag window. Pass the ``fit`` of the training rows to keep
     test rows out of the medians, and ``include_current=False`` to keep the
     current speed out of the rolling mean. ``one_hot=False`` leaves out the
     0/1 column per district and road type; the categories stay as columns.
     """
-    readings = settle(dealt(readings))
+    if not written:
+        readings = settle(dealt(readings))
     rows, largest = group_sizes(readings, [key])
     if fit is None:
         fit = fit_features(readings, segments, key, rows, one_hot)

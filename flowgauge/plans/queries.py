@@ -29,7 +29,7 @@ from flowgauge.operators import (
 from flowgauge.operators.slices import group_sizes
 from flowgauge.plans import adapters as src
 from flowgauge.plans import jobs
-from flowgauge.session import scratch_path
+from flowgauge.session import scratch_path, settle
 from flowgauge.sources import tables
 from flowgauge.streaming import live, windows
 
@@ -382,7 +382,7 @@ def one_hot_street(spark, sf):
 
 @query
 def feature_frame(spark, sf):
-    frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
+    frame = jobs.feature_frame(settle(src.dealt_readings(spark, sf)), src.segments(spark, sf), written=True)
     return rounded(frame)
 
 
@@ -542,8 +542,14 @@ def request_features(spark, sf):
 
 
 def _train_frame(spark, sf) -> DataFrame:
-    frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
-    return splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[0]
+    return _frame_sets(spark, sf)[0]
+
+
+def _frame_sets(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows of the feature table; it and the cut read the readings once written."""
+    readings = settle(src.dealt_readings(spark, sf))
+    frame = jobs.feature_frame(readings, src.segments(spark, sf), written=True)
+    return splits.split(frame, splits.chronological_rule(readings))
 
 
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
@@ -667,8 +673,7 @@ def tuned_parameters(spark, sf):
 
 
 def _record(spark, sf) -> DataFrame:
-    frame = jobs.feature_frame(src.readings(spark, sf), src.segments(spark, sf))
-    test = splits.split(frame, splits.chronological_rule(src.readings(spark, sf)))[1]
+    test = _frame_sets(spark, sf)[1]
     return training.evaluate(small_model(spark, sf), test, trained_at=datetime(2024, 1, 31))
 
 

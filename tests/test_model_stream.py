@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowgauge.functions import codes
-from flowgauge.operators import scoring, training
+from flowgauge.operators import scoring, splits, training
 from flowgauge.plans import adapters as src
-from flowgauge.plans import jobs
+from flowgauge.plans import jobs, queries
 from flowgauge.sources import schemas, tables
 from flowgauge.streaming import live, windows
 
@@ -272,3 +272,21 @@ def test_features_of_one_row_group_are_made_of_dealt_readings(spark):
     parts = {Path(f).parent for f in frame.inputFiles()} - {Path(SF)}
     files = [[f for f in folder.iterdir() if f.suffix == ".parquet"] for folder in (Path(str(p)[5:]) for p in parts)]
     assert 4 in map(len, files) and frame.count() <= src.readings(spark, SF).count()
+
+
+def test_model_training_reads_events_once_and_cuts_dealt_readings(spark, monkeypatch):
+    tables_read, cut_of = [], []
+    table, rule = src.table, splits.chronological_rule
+    monkeypatch.setattr(src, "table", lambda *a: tables_read.append(a[2]) or table(*a))
+    monkeypatch.setattr(splits, "chronological_rule", lambda df, *a, **k: cut_of.append(df) or rule(df, *a, **k))
+    train = queries._train_frame(spark, SF)
+    assert tables_read.count("events") == 1
+    files = [Path(f[7:] if f.startswith("file://") else f[5:]) for f in cut_of[0].inputFiles()]
+    assert len(files) == 4 and "events.parquet" not in {f.name for f in files}
+    assert 0 < train.count() < src.readings(spark, SF).count()
+
+
+def test_requests_are_dealt_before_they_are_made_of_events(spark):
+    plan = src.requests(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Repartition") :]
+    assert "get_json_object" in plan[: plan.index("Repartition")] and "get_json_object" not in below
