@@ -14,14 +14,16 @@ costs more counted phrases, never a phrase.
 The counts of these passes are by a 64-bit hash of the phrase and its last word's,
 from which the hash of the words before that one follows: the hash can be undone.
 So a frequent phrase is spelled by joining the frequent phrases with each other, word
-by word, and a last pass over the texts only counts frequent words by their text.
-Two words of one hash, or phrases of one hash with different last words, would show
-there; then a pass counts all phrases by their text instead.
+by word. The full pass gives single words with their text, each chunk all of its words:
+as many rows as it would take without the text, and no further pass for it. Two words of
+one hash, or phrases of one hash with different last words, would show there; then a
+pass counts all phrases by their text instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -103,7 +105,7 @@ def _counted(hashes: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[at], last[at], np.diff(at, append=len(hashes))
 
 
-def _proposed_border(first, words, is_word, proposal: BitTable | None) -> Iterator[tuple]:
+def _proposed_border(first, words, is_word, proposal: BitTable | None, shortest: int = 1) -> Iterator[tuple]:
     """(k, hashes, last words, counts) of a chunk's phrases whose shorter parts are all proposed (None proposes everything)."""
     is_open, before = None, None
     for k, valid, hashes in _rolling(first, words, is_word):
@@ -114,7 +116,8 @@ def _proposed_border(first, words, is_word, proposal: BitTable | None) -> Iterat
             is_open = held[:-1] & held[1:]  # so all words are in one piece
         if not is_open.any():
             return
-        yield k, *_counted(hashes[is_open], words[k - 1 :][is_open])
+        if k >= shortest:
+            yield k, *_counted(hashes[is_open], words[k - 1 :][is_open])
         before = hashes
 
 
@@ -176,46 +179,47 @@ def _texts(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang"), text_bytes().alias("text"), *more)
 
 
-def _hash_counts(rows: DataFrame, table, of_chunk: Callable, cut: Callable | None = None) -> DataFrame:
+def _hash_counts(rows: DataFrame, table, of_chunk: Callable, cut: Callable | None = None, spell: bool = False) -> DataFrame:
     """(k, h, n, w, other) of the phrases that ``of_chunk`` counts with the broadcast table, summed over the corpus.
 
     ``w`` is the hash of the last word, and ``other`` a different one if phrases of one hash don't end in one word.
+    With ``spell`` all words are counted by lang and text too (``k = 1``, and ``k = 0`` with a language's number of
+    words); both are NULL for the phrases of ``of_chunk``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, first, words, is_word in _chunks(batches, cut):
-            for k, hashes, last, counts in of_chunk(first, words, is_word, table and table.value):
+        for lang, words, chunk, first, own, is_word in _chunks(batches, cut):
+            if spell:
+                yield _words_of_chunk(lang, words, chunk, first, own)
+            for k, hashes, last, counts in of_chunk(first, own, is_word, table and table.value):
                 numbers = [hashes.view(np.int64), last.view(np.int64), counts]
                 columns = [pa.array(np.full(len(hashes), k, np.int32)), *map(pa.array, numbers)]
-                yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "w", "n"])
-
-    counted = rows.mapInArrow(run, "k int, h bigint, w bigint, n bigint")
+                if spell:
+                    columns += [pa.nulls(len(hashes), pa.string()), pa.nulls(len(hashes), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema, by = "k int, h bigint, w bigint, n bigint", ["k", "h"]
+    if spell:
+        schema, by = f"{schema}, lang string, word binary", [*by, "lang", "word"]
+    names = [field.split()[0] for field in schema.split(", ")]
+    counted = rows.mapInArrow(run, schema)
+    if spell:
+        counted = counted.withColumn("word", F.col("word").cast("string"))
     ends = (F.min("w").alias("w"), F.max("w").alias("other"))
-    return counted.groupBy("k", "h").agg(F.sum("n").alias("n"), *ends)
-
+    return counted.groupBy(*by).agg(F.sum("n").alias("n"), *ends)
 
-def _word_counts(rows: DataFrame, wanted) -> DataFrame:
-    """(lang, h, w, word, n) of the words whose hash ``h`` may be wanted; a NULL word counts all words."""
-    schema = "lang string, h bigint, w bigint, word string, n bigint"
-    names = ["lang", "h", "w", "word", "n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, chunk, first, own, is_word in _chunks(batches):
-            counts = np.bincount(chunk, minlength=len(words))
-            hashes, last = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
-            hashes[chunk], last[chunk] = first, own
-            found = np.flatnonzero(wanted.value.may_hold(hashes))
-            found = found[found > 0]  # 0 is the break
-            columns = [
-                pa.array([lang] * (len(found) + 1)),
-                pa.array([0, *hashes[found].view(np.int64).tolist()], pa.int64()),
-                pa.array([0, *last[found].view(np.int64).tolist()], pa.int64()),
-                pa.array([None, *(words[i] for i in found.tolist())], pa.binary()).cast(pa.string()),
-                pa.array([int(is_word.sum()), *counts[found].tolist()], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return rows.mapInArrow(run, schema).groupBy("lang", "h", "w", "word").agg(F.sum("n").alias("n"))
+def _words_of_chunk(lang: str, words: list[bytes], chunk, first, own) -> pa.RecordBatch:
+    """(k, h, w, n, lang, word) of a chunk's different words, and of all together (``k = 0``)."""
+    numbers = np.zeros((3, len(words)), np.int64)  # 0 is the break, and stands for all words
+    numbers[0, chunk], numbers[1, chunk] = first.view(np.int64), own.view(np.int64)
+    numbers[2] = np.bincount(chunk, minlength=len(words))
+    numbers[:, 0] = 0, 0, numbers[2, 1:].sum()
+    k = np.ones(len(words), np.int32)
+    k[0] = 0
+    texts = pa.array([None, *words[1:]], pa.binary())
+    columns = [pa.array(k), *map(pa.array, numbers), pa.repeat(pa.scalar(lang, pa.string()), len(words)), texts]
+    return pa.RecordBatch.from_arrays(columns, names=["k", "h", "w", "n", "lang", "word"])
 
 
 def _with_heads(frequent: DataFrame) -> DataFrame:
@@ -235,30 +239,23 @@ def _repeated(rows: DataFrame, *key: str) -> bool:
     return not rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
 
-def _spelled_counts(rows: DataFrame, frequent: DataFrame, least: int, shared: Callable) -> DataFrame | None:
-    """(lang, k, phrase, n) of the frequent phrases, and ``k = 0`` with all words; None if two share a hash."""
-    single = frequent.filter("k = 1").select("h")
-    words = settle(_word_counts(rows, shared(bit_table(single))))
-    total = words.filter("word IS NULL").select("lang", F.lit(0).alias("k"), F.lit("").alias("phrase"), "n")
-    words = words.filter("word IS NOT NULL")
+def _spelled_counts(words: DataFrame, frequent: DataFrame) -> DataFrame | None:
+    """(lang, k, phrase, n) of the frequent phrases, put together of frequent ``words``; None if two share a hash."""
     texts = settle(words.select("w", "word").distinct())
-    if not frequent.filter("w <> other").isEmpty() or _repeated(words, "h") or _repeated(texts, "w"):
+    if not frequent.filter("w <> other OR texts > 1").isEmpty() or _repeated(texts, "w"):
         return None
     longer = settle(_with_heads(frequent))
     uses = longer.groupBy("w").agg(F.count(F.lit(1)).alias("uses"))
     longer = settle(counted_join(longer, settle(texts.join(uses.hint("merge"), "w")), ["w"], "uses"))
-    level = words.filter(F.col("n") >= least).select("lang", F.lit(1).alias("k"), "h", F.col("word").alias("phrase"), "n")
-    levels = [level]
+    level = words.select("lang", F.lit(1).alias("k"), "h", F.col("word").alias("phrase"), "n")
+    found = level
     for k in range(2, MAX_WORDS + 1):
         heads = level.select("lang", F.col("h").alias("head"), F.col("phrase").alias("start"))
         grown = longer.filter(F.col("k") == k).join(heads.hint("merge"), "head")
         phrase = F.concat_ws(" ", "start", "word").alias("phrase")
         level = settle(grown.select("lang", "k", "h", phrase, "n"))
-        levels.append(level)
-    found = total
-    for level in levels:
-        found = found.unionByName(level.drop("h"))
-    return found if found.filter("k > 0").count() == frequent.count() else None
+        found = found.unionByName(level)
+    return found.drop("h") if found.count() == frequent.count() else None
 
 
 def _text_counts(rows: DataFrame, wanted) -> DataFrame:
@@ -314,17 +311,30 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample_every: int = SA
         return spark.sparkContext.broadcast(table)
 
     proposal = shared(_proposed(docs, least, sample_every))
-    frequent = settle(_hash_counts(_texts(docs), proposal, _proposed_border).filter(F.col("n") >= least))
+    counted = _hash_counts(_texts(docs), proposal, partial(_proposed_border, shortest=2), None, True)
+    counted = settle(counted.filter((F.col("k") < 2) | (F.col("n") >= least)))
+    frequent = settle(_frequent_hashes(counted, least))
     failures = settle(_missing(frequent, proposal))
     if not failures.isEmpty():
-        around = _hash_counts(_texts(docs), shared(bit_table(failures)), _around)
+        around = _hash_counts(_texts(docs), shared(bit_table(failures)), _around).withColumn("texts", F.lit(1))
         found = frequent.unionByName(around.filter(F.col("n") >= least))
         frequent = settle(found.dropDuplicates(["k", "h"]))  # both passes count whole phrases
-    spelled = _spelled_counts(_texts(docs), frequent, least, shared)
+    words = counted.filter((F.col("k") == 1) & (F.col("n") >= least))
+    spelled = _spelled_counts(words, frequent)
     if spelled is not None:
-        return spelled
-    counted = _text_counts(_texts(docs), shared(bit_table(frequent.select("h"))))
-    return counted.filter((F.col("k") == 0) | (F.col("n") >= least))
+        total = counted.filter("k = 0").select("lang", "k", F.lit("").alias("phrase"), "n")
+        return total.unionByName(spelled)
+    by_text = _text_counts(_texts(docs), shared(bit_table(frequent.select("h"))))
+    return by_text.filter((F.col("k") == 0) | (F.col("n") >= least))
+
+
+def _frequent_hashes(counted: DataFrame, least: int) -> DataFrame:
+    """(k, h, n, w, other, texts) of what is frequent by hash; ``texts`` is above 1 if a hash counts several words."""
+    ends = (F.min("w").alias("w"), F.max("w").alias("other"))
+    texts = F.count(F.lit(1)).cast("int").alias("texts")
+    words = counted.filter("k = 1").groupBy("k", "h").agg(F.sum("n").alias("n"), *ends, texts)
+    phrases = counted.filter("k > 1").select("k", "h", "n", "w", "other", F.lit(1).alias("texts"))
+    return words.filter(F.col("n") >= least).unionByName(phrases)
 
 
 def _part(first: Column, n: Column) -> Column:

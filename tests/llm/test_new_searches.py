@@ -176,6 +176,39 @@ def test_phrases_are_spelled_by_joins_or_counted_by_text(spark, monkeypatch, sha
     assert len(passes) == shared_hash
 
 
+def collocation_rows():
+    return [(lang, f"{a} b c d{i % 3}. e f {a}") for i, (lang, a) in enumerate([("en", "a"), ("fr", "ä"), ("en", "x")] * 40)]
+
+
+def test_frequent_words_are_spelled_without_a_pass_of_their_own(spark, monkeypatch):
+    texts, passes = collocations._texts, []
+    monkeypatch.setattr(collocations, "_texts", lambda *a: passes.append(1) or texts(*a))
+    rows = [(lang, f"{text}. only{i}") for i, (lang, text) in enumerate(collocation_rows())]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id int, text string, lang string")
+    found = collocations.collocations(docs, least=20, top=50, sample_every=1)
+    assert sorted(map(tuple, found.collect())) == brute_collocations(rows, 20, 50)
+    assert len(passes) == 2  # the sample and the counts
+
+
+def test_a_rare_word_with_the_hash_of_a_frequent_one_is_noticed(spark, monkeypatch):
+    by_text, by_hash = collocations._text_counts, collocations._hash_counts
+    passes, h = [], mix(WordHashes().of([b"b"]) ^ collocations._lang_seed("en")).view(np.int64)[0]
+
+    def hashes(*args):
+        counted = by_hash(*args)
+        if "word" in counted.columns:
+            counted = counted.withColumn("h", F.when(F.col("word") == "rare", F.lit(int(h))).otherwise(F.col("h")))
+        return counted
+
+    monkeypatch.setattr(collocations, "_text_counts", lambda *a: passes.append(1) or by_text(*a))
+    monkeypatch.setattr(collocations, "_hash_counts", hashes)
+    rows = [*collocation_rows(), ("en", "rare")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id int, text string, lang string")
+    found = collocations.collocations(docs, least=20, top=50)
+    assert sorted(map(tuple, found.collect())) == brute_collocations(rows, 20, 50)
+    assert passes == [1]
+
+
 # ---- ranked search ----------------------------------------------------------
 
 
