@@ -410,6 +410,36 @@ def test_event_tags_are_not_shuffled(spark):
     assert moved and not [c for c in moved if "_row" in c and "_tag" in c]  # hits and rows, but no (reading, event)
 
 
+def test_events_of_a_cell_lie_together_and_are_few(spark, monkeypatch):
+    rng = random.Random(5)
+    start = datetime(1969, 12, 20)
+    times = [start + timedelta(seconds=rng.randint(0, 30 * 86_400)) for _ in range(400)]
+    hours = [i * 401 // 200 for i in range(200)]
+    events = [(f"e{h}-{i}", t, t + timedelta(hours=h)) for i, (t, h) in enumerate(zip(times, hours))]
+    readings = spark.createDataFrame(list(enumerate(times)), "id int, recorded_at timestamp_ntz")
+    table = spark.createDataFrame(events, "event_name string, start_time timestamp_ntz, end_time timestamp_ntz")
+    written, settle = [], enrich.settle
+    monkeypatch.setattr(enrich, "settle", lambda df: written.append(settle(df)) or written[-1])
+    found = enrich.tag_special_events(readings, table, how="left", columns=["event_name"])
+    wanted = Counter((i, n) for i, t in enumerate(times) for n, a, b in events if a <= t <= b)
+    wanted += Counter((i, None) for i in range(len(times)) if i not in {x for x, _ in wanted})
+    assert Counter((r[0], r[2]) for r in found.collect()) == wanted
+
+    filed = written[0].withColumn("_file", F.input_file_name()).collect()
+    for file in {r["_file"] for r in filed}:  # read in the order written
+        cells = [(r["_cell"], r["_first"]) for r in filed if r["_file"] == file]
+        assert cells == sorted(cells)
+    rows = Counter(r["_tag_event_name"] for r in filed)
+    assert all(rows[n] == 1 if a == b else 5 <= rows[n] <= 9 for n, a, b in events)
+
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        found.select("*").explain(mode="formatted")  # not run yet, so one plan
+    keys = re.findall(r"Left keys \[\d+\]: \[(\w+)#\w+\]", plan.getvalue())  # single numbers
+    assert sorted(keys) == ["_cell", "_cell", "_row"]
+    assert plan.getvalue().count("REPARTITION_BY_NUM") == 2  # written readings are dealt over tasks of both joins
+
+
 def test_places_of_long_sparse_vectors(spark):
     positions = spark.range(400_000).select(F.col("id").alias("street"), F.col("id").alias("position"))
     rows = spark.range(4000).select(F.when(F.col("id") < 3998, F.col("id") * 100).alias("street"), F.col("id"))
